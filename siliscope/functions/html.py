@@ -83,9 +83,13 @@ def text_of(fragment: Column, separator: str = "") -> Column:
     return F.array_join(text_nodes(fragment), separator)
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once; lambdas have no shared subexpressions."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _balanced(element: Column, tag: str) -> Column:
     """Inner HTML of the element that ``element`` starts with; what follows its end tag is dropped."""
-    start = opening(tag)
 
     def step(state: Column, piece: Column) -> Column:
         depth = state["depth"] + F.when(piece.startswith("/"), -1).otherwise(1)
@@ -97,24 +101,23 @@ def _balanced(element: Column, tag: str) -> Column:
         pieces = F.slice(split, F.lit(2), F.size(split))
         nothing = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("kept"))
         kept = F.aggregate(pieces, nothing, step, lambda state: state["kept"])
-        return F.concat(F.lit("<"), F.array_join(F.slice(pieces, F.lit(1), kept), "<"))
-
-    # Each piece starts with "tag" or "/tag"; the wrapping array makes Spark split only once.
-    pieces = F.split(element, rf"<(?=/?(?i:{tag})\b)")
-    whole = F.element_at(F.transform(F.array(pieces), cut), 1)
-    return F.regexp_replace(whole, f"^{start}", "")
+        return F.concat(F.lit("<"), F.array_join(F.slice(split, F.lit(2), kept), "<"))
 
-
-def has_element(html: Column, tag: str, condition: str = "") -> Column:
-    return html.rlike(opening(tag, condition))
+    # Each piece after the first starts with "tag" or "/tag".
+    whole = _once(F.split(element, rf"<(?=/?(?i:{tag})\b)"), cut)
+    return F.regexp_replace(whole, f"^{opening(tag)}", "")
 
 
 def first_inner(html: Column, tag: str, condition: str = "") -> Column:
     """Inner HTML of the first such element, NULL when there is none."""
     start = opening(tag, condition)
-    if tag in _FLAT_TAGS:
-        return F.when(html.rlike(start), F.regexp_extract(html, rf"{start}(.*?)(?:</{tag}\s*>|$)", 1))
-    return _balanced(F.nullif(F.regexp_extract(html, f"{start}.*", 0), F.lit("")), tag)
+    flat = rf"{start}(.*?)(?:</{tag}\s*>|$)"
+    element = F.regexp_extract(html, flat if tag in _FLAT_TAGS else f"{start}.*", 0)
+    found = F.filter(F.array(element), lambda e: e != "")
+    inner = F.transform(
+        found, lambda e: F.regexp_extract(e, flat, 1) if tag in _FLAT_TAGS else _balanced(e, tag)
+    )
+    return F.get(inner, 0)
 
 
 def all_inner(html: Column, tag: str, condition: str = "") -> Column:

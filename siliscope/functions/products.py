@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,9 +28,12 @@ COMBO_WORDS = {"cpu": CPU_COMBO_WORDS, "gpu": GPU_COMBO_WORDS}
 
 
 def mentions_any(text: Column, words: list[str]) -> Column:
-    """True when the lower-cased text contains one of the words."""
-    lowered = F.lower(text)
-    return reduce(lambda a, b: a | b, [lowered.contains(word) for word in words])
+    """True when the lower-cased text contains one of the words.
+
+    One pattern instead of one test per word: the text may be a long expression
+    that Spark repeats for each use when it pushes a filter down.
+    """
+    return F.lower(text).rlike("|".join(re.escape(word) for word in words))
 
 
 def _first_matching_label(text: Column, labels: dict[str, list[str]], otherwise: str) -> Column:

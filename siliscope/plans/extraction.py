@@ -38,97 +38,116 @@ UNCAPPED_LINKS = [(PRIME, "cpu"), (PRIME, "gpu")]
 OVERRIDABLE = ["name", "url", "source", "category", "brand", "form_factor"]
 
 
+def _per_site(md: Column, vedant: Column, prime: Column) -> Column:
+    return F.when(F.col("source") == MD, md).when(F.col("source") == VEDANT, vedant).otherwise(prime)
+
+
 def _is_monitor() -> Column:
     return F.col("category") == "monitor"
 
 
-def extract_name(html: Column) -> Column:
-    """Text of the first h1."""
-    return F.coalesce(H.text_of(H.first_inner(html, "h1")), F.lit(MISSING_NAME))
+def _visible(pages: DataFrame) -> DataFrame:
+    return pages.withColumn("html", H.visible(F.col("html")))
 
 
-def extract_price_text(html: Column, source: Column, monitor: Column) -> Column:
-    """Text of the price element of the site, after its fallbacks."""
+# Each step below is its own projection, so that a fragment used twice is cut out of the page once.
+
+
+def _with_name(pages: DataFrame) -> DataFrame:
+    heading = H.text_of(H.first_inner(F.col("html"), "h1"))
+    return pages.withColumn("name", F.coalesce(heading, F.lit(MISSING_NAME)))
+
 
-    def element(tag: str, condition: str, within: Column | None = None) -> Column:
-        return H.text_of(H.first_inner(html if within is None else within, tag, condition))
-
-    amount = H.has_class(AMOUNT_CLASS)
-    block = H.first_inner(html, "p", H.has_class(PRICE_BLOCK_CLASS))
-    new_price = element("span", H.has_class(NEW_PRICE_CLASS))
-    first_amount = element("span", amount, block)
-    reduced = element("span", amount, H.first_inner(block, "ins"))
-    text = (
-        F.when(source == MD, F.coalesce(new_price, element("ul", H.has_class(LIST_CLASS))))
-        .when(source == VEDANT, new_price)
-        .when(monitor, F.coalesce(reduced, first_amount))
-        .otherwise(first_amount)
+def _with_price_text(pages: DataFrame) -> DataFrame:
+    """Text of the price element of the site, after its fallbacks."""
+    html, block = F.col("html"), F.col("_price_block")
+    new_price = H.first_inner(html, "span", H.has_class(NEW_PRICE_CLASS))
+    price_list = H.first_inner(html, "ul", H.has_class(LIST_CLASS))
+    priced = H.first_inner(html, "p", H.has_class(PRICE_BLOCK_CLASS))
+    reduced = H.first_inner(H.first_inner(block, "ins"), "span", H.has_class(AMOUNT_CLASS))
+    amount = H.first_inner(block, "span", H.has_class(AMOUNT_CLASS))
+    return (
+        pages.withColumn("_price_block", _per_site(F.coalesce(new_price, price_list), new_price, priced))
+        .withColumn("_price", _per_site(block, block, F.coalesce(F.when(_is_monitor(), reduced), amount)))
+        .withColumn("price_text", F.coalesce(H.text_of(F.col("_price")), F.lit(MISSING_PRICE)))
+        .drop("_price_block", "_price")
     )
-    return F.coalesce(text, F.lit(MISSING_PRICE))
 
 
-def _pairs(rows: Column, key_tag: str, least: int, most: int | None, drop_colon: bool) -> Column:
-    """(key, value) of each table row with a fitting number of cells."""
+def _with_highlights(pages: DataFrame) -> DataFrame:
+    """Texts of the short description joined by a bar, NULL without one."""
+    described = (F.col("source") == PRIME) & ~_is_monitor()
+    short = F.when(described, H.first_inner(F.col("html"), "div", H.has_class(HIGHLIGHTS_CLASS)))
+    return pages.withColumn("_short", short).withColumn(
+        "highlights", H.text_of(F.col("_short"), HIGHLIGHTS_SEPARATOR)
+    ).drop("_short")
+
+
+def _with_specs(pages: DataFrame) -> DataFrame:
+    """Specification rows of the page as map key -> value, the last of equal keys; empty without any."""
+    html = F.col("html")
+    table = _per_site(
+        H.first_inner(html, "div", H.has_id(SPEC_TAB_ID)),
+        H.first_inner(html, "table", H.has_class(VEDANT_SPEC_CLASS)),
+        F.when(_is_monitor(), H.first_inner(html, "table", H.has_class(PRIME_SPEC_CLASS))),
+    )
+    cells = F.transform(
+        H.flat_elements(F.coalesce("_table", F.lit("")), "tr"),
+        lambda row: F.struct(H.flat_elements(row, "th").alias("th"), H.flat_elements(row, "td").alias("td")),
+    )
+
+    def fits(row: Column) -> Column:
+        n = F.size(row["td"])
+        return _per_site(n == 2, n >= 2, (n >= 1) & (F.size(row["th"]) >= 1))
 
     def pair(row: Column) -> Column:
-        cells = H.flat_elements(row, "td")
-        keys = cells if key_tag == "td" else H.flat_elements(row, key_tag)
-        value = F.get(cells, F.lit(1 if key_tag == "td" else 0))
-        count = F.size(cells)
-        fits = (count >= least) & (F.lit(True) if most is None else count <= most) & (F.size(keys) > 0)
-        key = normalize_spec_key(H.text_of(F.get(keys, F.lit(0))), drop_colon)
-        return F.when(fits, F.struct(key.alias("key"), H.text_of(value).alias("value")))
-
-    return F.filter(F.transform(rows, pair), lambda p: p.isNotNull())
-
-
-def _last_wins(pairs: Column) -> Column:
-    """A map in which the last of equal keys stays."""
-    names = F.transform(pairs, lambda p: p["key"])
-    kept = F.filter(
-        pairs,
-        lambda p, i: F.array_position(F.reverse(names), p["key"]) == (F.size(names) - i).cast("bigint"),
+        key = _per_site(F.get(row["td"], 0), F.get(row["td"], 0), F.get(row["th"], 0))
+        value = _per_site(F.get(row["td"], 1), F.get(row["td"], 1), F.get(row["td"], 0))
+        return F.struct(H.text_of(key).alias("key"), H.text_of(value).alias("value"))
+
+    def normalized(p: Column) -> Column:
+        vedant = normalize_spec_key(p["key"], drop_colon=True)
+        plain = normalize_spec_key(p["key"])
+        return F.struct(_per_site(plain, vedant, plain).alias("key"), p["value"].alias("value"))
+
+    def named(p: Column) -> Column:
+        return (F.col("source") != VEDANT) | ((p["key"] != "") & (p["key"] != SPEC_HEADING))
+
+    pairs = F.filter(F.transform(F.transform(F.filter("_cells", fits), pair), normalized), named)
+    last = F.filter(
+        "_pairs",
+        lambda p, i: ~F.exists(F.slice("_pairs", i + 2, F.size("_pairs")), lambda later: later["key"] == p["key"]),
+    )
+    return (
+        pages.withColumn("_table", table)
+        .withColumn("_cells", cells)
+        .withColumn("_pairs", pairs)
+        .withColumn("specs", F.map_from_entries(last))
+        .drop("_table", "_cells", "_pairs")
     )
-    return F.map_from_entries(kept)
 
 
-def extract_specs(html: Column, source: Column, monitor: Column) -> Column:
-    """Specification rows of the page as map key -> value; an empty map when the page has none."""
+def extract_name(pages: DataFrame) -> DataFrame:
+    """pages(page_id, html) to (page_id, name): the text of the first h1."""
+    return _with_name(_visible(pages)).select("page_id", "name")
 
-    def rows(tag: str, condition: str) -> Column:
-        return H.flat_elements(F.coalesce(H.first_inner(html, tag, condition), F.lit("")), "tr")
 
-    md = _pairs(rows("div", H.has_id(SPEC_TAB_ID)), "td", 2, 2, False)
-    vedant = F.filter(
-        _pairs(rows("table", H.has_class(VEDANT_SPEC_CLASS)), "td", 2, None, True),
-        lambda p: (p["key"] != "") & (p["key"] != SPEC_HEADING),
-    )
-    prime = _pairs(rows("table", H.has_class(PRIME_SPEC_CLASS)), "th", 1, None, False)
-    nothing = F.array().cast("array<struct<key:string,value:string>>")
-    pairs = F.when(source == MD, md).when(source == VEDANT, vedant).when(monitor, prime).otherwise(nothing)
-    return _last_wins(pairs)
+def extract_price_text(pages: DataFrame) -> DataFrame:
+    return _with_price_text(_visible(pages)).select("page_id", "price_text")
 
 
-def extract_highlights(html: Column) -> Column:
-    """Texts of the short description joined by a bar, NULL without one."""
-    return H.text_of(H.first_inner(html, "div", H.has_class(HIGHLIGHTS_CLASS)), HIGHLIGHTS_SEPARATOR)
+def extract_specs(pages: DataFrame) -> DataFrame:
+    return _with_specs(_visible(pages)).select("page_id", "specs")
+
+
+def extract_highlights(pages: DataFrame) -> DataFrame:
+    return _with_highlights(_visible(pages)).select("page_id", "highlights")
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
     """pages(page_id, url, source, category, html) with name, price text, highlights and specs."""
-    source, html = F.col("source"), F.col("html")
-    visible = pages.withColumn("html", H.visible(html))
-    highlights = F.when((source == PRIME) & ~_is_monitor(), extract_highlights(html))
-    return visible.select(
-        "page_id",
-        "url",
-        "source",
-        "category",
-        extract_name(html).alias("name"),
-        extract_price_text(html, source, _is_monitor()).alias("price_text"),
-        highlights.alias("highlights"),
-        extract_specs(html, source, _is_monitor()).alias("specs"),
-    )
+    parsed = _with_specs(_with_highlights(_with_price_text(_with_name(_visible(pages)))))
+    return parsed.select("page_id", "url", "source", "category", "name", "price_text", "highlights", "specs")
 
 
 def combo_filter(records: DataFrame, name: str = "name") -> DataFrame:
@@ -169,8 +188,8 @@ def specs_to_columns(records: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def spec_key_census(records: DataFrame) -> DataFrame:
     """How many records have each specification key."""
-    keys = records.select("category", F.explode(F.map_keys("specs")).alias("spec_key"))
-    return keys.groupBy("category", "spec_key").agg(F.count(F.lit(1)).alias("n_records"))
+    keys = records.select("category", F.explode_outer(F.map_keys("specs")).alias("spec_key"))
+    return keys.filter(F.col("spec_key").isNotNull()).groupBy("category", "spec_key").agg(F.count(F.lit(1)).alias("n_records"))
 
 
 def _links(html: Column, tag: str, css_class: str, first_only: bool = False) -> Column:
@@ -180,16 +199,17 @@ def _links(html: Column, tag: str, css_class: str, first_only: bool = False) ->
     return F.flatten(found)
 
 
-def extract_links(html: Column, source: Column, category: Column) -> Column:
+def _with_links(listings: DataFrame) -> DataFrame:
     """Product links of a listing page as array of (href, text), in document order."""
-    prime = _links(html, "h3", PRIME_LINK_CLASS)
-    fallback = _links(html, r"(?:div|span|li|p|h2|h4)", PRIME_LINK_FALLBACK)
-    return (
-        F.when(source == MD, _links(html, "h3", MD_LINK_CLASS, first_only=True))
-        .when(source == VEDANT, _links(html, "div", VEDANT_LINK_CLASS))
-        .when((category == "monitor") & (F.size(prime) == 0), fallback)
-        .otherwise(prime)
+    html = F.col("html")
+    by_site = _per_site(
+        _links(html, "h3", MD_LINK_CLASS, first_only=True),
+        _links(html, "div", VEDANT_LINK_CLASS),
+        _links(html, "h3", PRIME_LINK_CLASS),
     )
+    fallback = _links(html, r"(?:div|span|li|p|h2|h4)", PRIME_LINK_FALLBACK)
+    without = (F.col("source") == PRIME) & _is_monitor() & (F.size("links") == 0)
+    return listings.withColumn("links", by_site).withColumn("links", F.when(without, fallback).otherwise(F.col("links")))
 
 
 def element_links(html: Column, tag: str) -> Column:
@@ -215,11 +235,11 @@ def listing_links(listings: DataFrame) -> DataFrame:
     for kind, cap in LINK_CAPS.items():
         caps = caps.when(category == kind, cap)
     caps = caps.otherwise(F.lit(None).cast("int"))
-    found = listings.select(
-        "page_id", "source", "category", extract_links(H.visible(F.col("html")), source, category).alias("links")
-    )
-    kept = F.filter("links", lambda link: ~is_combo(link["text"], category))
-    capped = found.withColumn("links", cap_links(kept, caps))
-    return capped.select("page_id", "source", "category", F.posexplode("links").alias("position", "link")).select(
+    found = _with_links(_visible(listings))
+    kept = found.withColumn("links", F.filter("links", lambda link: ~is_combo(link["text"], category)))
+    capped = kept.withColumn("links", cap_links(F.col("links"), caps))
+    # The outer form keeps Spark from testing the whole link expression once more before the explode.
+    exploded = capped.select("page_id", "source", "category", F.posexplode_outer("links").alias("position", "link"))
+    return exploded.filter(F.col("position").isNotNull()).select(
         "page_id", "source", "category", "position", F.col("link.href").alias("href"), F.col("link.text").alias("text")
     )
