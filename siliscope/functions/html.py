@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-_TAG = r"(?s)</?[a-zA-Z][^>]*>|<!--.*?-->|<![^>]*>"
+_TAG = r"(?s)<(?:/?[a-zA-Z][^>]*|!--.*?--|![^>]*)>"
 _BLANK = r"[\s\x1c-\x1f]"
 _FLAT_TAGS = {"h1", "h2", "h3", "a"}
 _ENTITY = r"&(?:#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[a-zA-Z][a-zA-Z0-9]*);"
@@ -37,7 +37,7 @@ def opening(tag: str, condition: str = "") -> str:
 
 def visible(html: Column) -> Column:
     """The page without script and style bodies; comments stay as empty marks between texts."""
-    return F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "<!>")
+    return F.regexp_replace(html, r"(?is)<(?:!--.*?-->|(script|style)\b.*?</\1\s*>)", "<!>")
 
 
 def strip(text: Column) -> Column:
@@ -108,10 +108,15 @@ def _balanced(element: Column, tag: str) -> Column:
     return F.regexp_replace(whole, f"^{opening(tag)}", "")
 
 
+def _until(tag: str, start_ends: bool = False) -> str:
+    """Pattern of everything up to the end tag (or, with ``start_ends``, the next start) of an element."""
+    return rf"(?:[^<]++|<(?!/{'?' if start_ends else ''}{tag}\b))*+"
+
+
 def first_inner(html: Column, tag: str, condition: str = "") -> Column:
     """Inner HTML of the first such element, NULL when there is none."""
     start = opening(tag, condition)
-    flat = rf"{start}(.*?)(?:</{tag}\s*>|$)"
+    flat = f"{start}({_until(tag)})"
     element = F.regexp_extract(html, flat if tag in _FLAT_TAGS else f"{start}.*", 0)
     found = F.filter(F.array(element), lambda e: e != "")
     inner = F.transform(
@@ -124,7 +129,7 @@ def all_inner(html: Column, tag: str, condition: str = "") -> Column:
     """Inner HTML of each such element (an inner match ends the outer one)."""
     start = opening(tag, condition)
     if tag in _FLAT_TAGS:
-        return F.regexp_extract_all(html, F.lit(rf"{start}(.*?)(?:</{tag}\s*>|$)"), 1)
+        return F.regexp_extract_all(html, F.lit(f"{start}({_until(tag)})"), 1)
     parts = F.split(html, f"(?={start})")
     found = F.filter(parts, lambda part: part.rlike(f"^{start}"))
     return F.transform(found, lambda part: _balanced(part, tag))
@@ -132,12 +137,12 @@ def all_inner(html: Column, tag: str, condition: str = "") -> Column:
 
 def flat_elements(fragment: Column, tag: str) -> Column:
     """Inner HTML of elements that do not nest (tr, td, th); a missing end tag ends at the next start."""
-    return F.regexp_extract_all(fragment, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)(?=<{tag}\b|</{tag}\s*>|$)"), 1)
+    return F.regexp_extract_all(fragment, F.lit(rf"(?i)<{tag}\b[^>]*>({_until(tag, start_ends=True)})"), 1)
 
 
 def anchors(fragment: Column) -> Column:
     """(href, text) of each link that has an href, in document order."""
-    found = F.regexp_extract_all(fragment, F.lit(rf"(?is)<a\b(?=[^>]*\shref\s*=){_ATTRS}>.*?(?=</a\s*>|<a\b|$)"), 0)
+    found = F.regexp_extract_all(fragment, F.lit(rf"(?i)<a\b(?=[^>]*\shref\s*=){_ATTRS}>{_until('a', start_ends=True)}"), 0)
 
     def link(element: Column) -> Column:
         quoted = r"""(?is)^<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))"""

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import parsed
+
 # Keyword lists and labels that decide brand, form factor and bundles.
 CPU_BRANDS = {
     "Intel": ["intel", "core i", "xeon", "pentium", "celeron"],
@@ -68,7 +70,7 @@ def is_combo(name: Column, category: str | Column) -> Column:
 
 def extract_gen(name: Column) -> Column:
     """First two of the first four digits in a row, else the default generation."""
-    digits = F.regexp_extract(name, r"(\d{2})\d{2}", 1).try_cast("int")
+    digits = parsed(F.regexp_extract(name, r"(\d{2})\d{2}", 1), "int")
     return F.coalesce(digits, F.lit(DEFAULT_GENERATION))
 
 

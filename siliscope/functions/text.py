@@ -8,10 +8,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def parsed(text: Column, kind: str) -> Column:
+    """A number from text that is '' or a number; '' is NULL and so is a number that does not fit.
+
+    The empty text is taken out first: a failing try_cast costs an exception per row.
+    """
+    return F.nullif(text, F.lit("")).try_cast(kind)
+
+
 def clean_price(text: Column) -> Column:
     """Digits before the first point as a long; anything without digits is 0."""
     digits = F.regexp_replace(F.substring_index(text, ".", 1), "[^0-9]", "")
-    return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(parsed(digits, "bigint"), F.lit(0).cast("bigint"))
 
 
 def normalize_spec_key(key: Column, drop_colon: bool = False) -> Column:
@@ -41,9 +49,9 @@ def empty_to_null(text: Column) -> Column:
 
 def first_int(text: Column) -> Column:
     """First run of digits as an int, NULL when there is none."""
-    return F.regexp_extract(text, r"(\d+)", 1).try_cast("int")
+    return parsed(F.regexp_extract(text, r"(\d+)", 1), "int")
 
 
 def first_float(text: Column) -> Column:
     """First decimal number as a float, NULL when there is none."""
-    return F.regexp_extract(text, r"(\d+\.?\d*)", 1).try_cast("float")
+    return parsed(F.regexp_extract(text, r"(\d+\.?\d*)", 1), "float")

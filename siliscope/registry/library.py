@@ -13,7 +13,7 @@ from ..operators import reshape as R
 from ..operators.dedupe import deduplicate
 from ..operators.scalar import get_single_value
 from ..operators.series import date_spine, generate_series, intervals_between
-from ..sources.tables import read_table, tables_by_prefix, union_tables_by_pattern
+from ..sources.tables import read_spread, read_table, tables_by_prefix, union_tables_by_pattern
 from .base import Registry
 
 QUERIES = Registry()
@@ -397,4 +397,4 @@ def slugs(spark, folder):
         .when(F.col("doc_id") % 7 == 0, F.lit(None))
         .otherwise(F.col("text"))
     )
-    return read_table(spark, folder, "documents").select("doc_id", slugify(text).alias("slug"))
+    return read_spread(spark, folder, "documents", "doc_id").select("doc_id", slugify(text).alias("slug"))

@@ -8,11 +8,11 @@ from ..functions import products as P
 from ..functions.text import clean_price, first_float, first_int, normalize_spec_key
 from ..operators.dedupe import latest_snapshot
 from ..plans import extraction as X
-from ..plans import gold, market, silver
+from ..plans import gold, market, refresh, silver
 from ..session import scratch_path
 from ..sources import bronze as B
 from ..sources.derived import derived_catalogue, listing_pages, product_pages
-from ..sources.tables import Sources, read_table
+from ..sources.tables import Sources, read_spread, read_table
 from ..streaming.incremental import incremental_sync
 from .base import Registry, catalogue, over_catalogue
 
@@ -81,7 +81,7 @@ def _stg_laptops(spark, folder):
 
 
 def _pages(spark, folder):
-    return product_pages(catalogue(spark, folder))
+    return product_pages(derived_catalogue(read_spread(spark, folder, "part", "p_partkey")))
 
 
 # --- storage ---
@@ -201,7 +201,7 @@ def latest(spark, folder):
     r"""SELECT page_id, trim(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '&amp;', '&'), '&nbsp;', ' ')) AS name FROM pages""",
 )
 def extract_name(spark, folder):
-    return X.extract_name(read_table(spark, folder, "pages"))
+    return X.extract_name(read_spread(spark, folder, "pages", "page_id"))
 
 
 @QUERIES.add(
@@ -213,7 +213,8 @@ def extract_name(spark, folder):
 )
 def extract_links(spark, folder):
     links = X.element_links(X.H.visible(F.col("html")), "nav")
-    found = read_table(spark, folder, "pages").select("page_id", F.posexplode(links).alias("position", "link"))
+    pages = read_spread(spark, folder, "pages", "page_id")
+    found = pages.select("page_id", F.posexplode_outer(links).alias("position", "link")).filter("position IS NOT NULL")
     return found.select("page_id", "position", F.col("link.href").alias("href"), F.col("link.text").alias("text"))
 
 
@@ -489,13 +490,49 @@ def master_catalog(spark, folder):
     return market.master_catalog(_tables(spark, folder))
 
 
-_TOP = f"""SELECT name, price_inr, url, category, gen_score, value_score FROM (
+def _top_sql(master: str) -> str:
+    return f"""SELECT name, price_inr, url, category, gen_score, value_score FROM (
   SELECT *, row_number() OVER (PARTITION BY category ORDER BY value_score DESC, name, url) AS place FROM (
     SELECT *, (gen_score * 10) / (CAST(price_inr AS DOUBLE) / 1000) AS value_score FROM (
-      SELECT *, {_GEN} AS gen_score FROM ({_MASTER})))) WHERE place <= 5"""
+      SELECT *, {_GEN} AS gen_score FROM ({master})))) WHERE place <= 5"""
 
 
-@QUERIES.add("value_topk", over_catalogue(_TOP))
+@QUERIES.add("value_topk", over_catalogue(_top_sql(_MASTER)))
 def value_topk(spark, folder):
     clean = silver.sync_clean(catalogue(spark, folder))
     return market.value_topk(market.master_catalog_from_bronze(clean))
+
+
+# --- from pages to the report ---
+
+
+def _refreshed(spark, folder):
+    """Two loads of the same pages, so that the history holds every record twice."""
+    root, pages = scratch_path(spark, "refresh"), _pages(spark, folder)
+    refresh.ingest(pages, f"{root}/bronze", F.lit("2026-01-01 00:00:00").cast("timestamp_ntz"))
+    refresh.ingest(pages, f"{root}/bronze", F.lit("2026-01-01 01:00:00").cast("timestamp_ntz"))
+    return root, refresh.sync(spark, f"{root}/bronze", f"{root}/tables", latest_only=True)
+
+
+_STORED = f"SELECT * FROM ({_RECORD}) WHERE price_inr > 0"
+
+
+@QUERIES.add(
+    "full_refresh_audit",
+    over_catalogue(
+        f"""SELECT CASE category WHEN 'cpu' THEN 'cpus' WHEN 'gpu' THEN 'gpus' WHEN 'laptop' THEN 'laptops' WHEN 'monitor' THEN 'monitors' ELSE 'ram' END AS table_name,
+  count(*) AS rows_sent, count(*) AS rows_stored, true AS matches FROM ({_STORED}) GROUP BY 1"""
+    ),
+)
+def full_refresh_audit(spark, folder):
+    return _refreshed(spark, folder)[1]
+
+
+@QUERIES.add(
+    "market_insights",
+    over_catalogue(_top_sql(f"SELECT name, price_inr, url, category FROM ({_STORED}) WHERE category <> 'monitor'")),
+)
+def market_insights(spark, folder):
+    root, _ = _refreshed(spark, folder)
+    models = refresh.build_models(refresh.product_tables(spark, f"{root}/tables"), f"{root}/models")
+    return models[refresh.INSIGHTS_TABLE]

@@ -94,7 +94,7 @@ def assert_equal(spark, folder):
     return Q.assert_equal(rows, "l_returnflag", "expected").select("l_orderkey", "l_linenumber")
 
 
-@QUERIES.add("unique_combination", "SELECT l_partkey, l_suppkey FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+@QUERIES.add("unique_combination_of_columns", "SELECT l_partkey, l_suppkey FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def unique_combination(spark, folder):
     return Q.unique_combination_of_columns(_lineitem(spark, folder), ["l_partkey", "l_suppkey"])
 
