@@ -141,7 +141,7 @@ def not_null_proportion(
     df: DataFrame, column: str, at_least: float, at_most: float = 1.0, group_by: Sequence[str] = ()
 ) -> DataFrame:
     """Groups whose share of non-NULL values is out of bounds."""
-    share = F.count(quoted(column)).cast(_NUMERIC) / F.count(F.lit(1)).cast(_NUMERIC)
+    share = F.count(quoted(column)).cast("double") / F.count(F.lit(1)).cast("double")
     shares = df.groupBy(*[quoted(g) for g in group_by]).agg(share.alias("not_null_proportion"))
     value = F.col("not_null_proportion")
     return shares.filter((value < F.lit(at_least)) | (value > F.lit(at_most)))

@@ -198,7 +198,8 @@ def latest(spark, folder):
 
 @QUERIES.add(
     "extract_name",
-    r"""SELECT page_id, trim(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '&amp;', '&'), '&nbsp;', ' ')) AS name FROM pages""",
+    r"""SELECT page_id, trim(replace(replace(replace(replace(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1),
+  '&nbsp;', ' '), '&quot;', '"'), '&#x27;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS name FROM pages""",
 )
 def extract_name(spark, folder):
     return X.extract_name(read_spread(spark, folder, "pages", "page_id"))
