@@ -355,12 +355,9 @@ def angles(spark, folder):
     return read_table(spark, folder, "customer").select("c_custkey", F.round(angle, 9).cast("decimal(18,9)").alias("angle"))
 
 
-_BARE = "replace(replace(url, 'http://', ''), 'https://', '')"
-
-
 @QUERIES.add(
     "url_host",
-    "SELECT page_id, split_part(split_part(replace(replace(replace(url, 'android-app://', ''), 'http://', ''), 'https://', ''), '/', 1), '?', 1) AS host FROM pages",
+    "SELECT page_id, regexp_extract(regexp_replace(url, '(android-app|https?)://', '', 'g'), '^[^/?]*') AS host FROM pages",
 )
 def hosts(spark, folder):
     return read_table(spark, folder, "pages").select("page_id", url_host(F.col("url")).alias("host"))
@@ -368,7 +365,8 @@ def hosts(spark, folder):
 
 @QUERIES.add(
     "url_path",
-    f"""SELECT page_id, split_part(right({_BARE}, length({_BARE}) - coalesce(nullif(strpos({_BARE}, '/'), 0), strpos({_BARE}, '?') - 1)), '?', 1) AS path FROM pages""",
+    """SELECT page_id, CASE WHEN contains(bare, '/') THEN regexp_extract(bare, '^[^/]*/([^?]*)', 1)
+  WHEN contains(bare, '?') THEN '' ELSE bare END AS path FROM (SELECT page_id, regexp_replace(url, 'https?://', '', 'g') AS bare FROM pages)""",
 )
 def paths(spark, folder):
     return read_table(spark, folder, "pages").select("page_id", url_path(F.col("url")).alias("path"))
@@ -376,8 +374,7 @@ def paths(spark, folder):
 
 @QUERIES.add(
     "url_parameter",
-    """SELECT page_id, nullif(split_part(split_part(url, 'page=', 2), '&', 1), '') AS page,
-  nullif(split_part(split_part(url, 'ref=', 2), '&', 1), '') AS ref FROM pages""",
+    "SELECT page_id, nullif(regexp_extract(url, 'page=([^&]*)', 1), '') AS page, nullif(regexp_extract(url, 'ref=([^&]*)', 1), '') AS ref FROM pages",
 )
 def parameters(spark, folder):
     url = F.col("url")

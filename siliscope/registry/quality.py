@@ -11,8 +11,7 @@ from .base import Registry
 
 QUERIES = Registry()
 
-# Parts of the checking SQL: lag and lead over the whole table. A row number makes the order of equal ranges
-# the same in both windows; without it the last of two equal ranges may be judged by either of them.
+# Parts of the checking SQL: lag and lead over the whole table. A row number puts equal ranges into one order.
 _SPANS = "SELECT o_custkey AS g, o_orderdate AS lo, o_orderdate + INTERVAL 20 DAY AS hi FROM orders"
 
 
@@ -25,12 +24,11 @@ def _sequence_sql(table: str, column: str, step: str, group: str = "") -> str:
 
 def _ranges_sql(rows: str, gap: str, gap_name: str, grouped: bool, length: str = "<", length_name: str = "lower_bound_less_than_upper_bound") -> str:
     part, column = ("PARTITION BY g", "g AS partition_by_col, ") if grouped else ("", "")
-    return f"""SELECT * FROM (SELECT *, coalesce(lower_bound {length} upper_bound, false) AS {length_name},
-    coalesce(upper_bound {gap} next_lower_bound, is_last_record, false) AS {gap_name} FROM (
-      SELECT {column}lo AS lower_bound, hi AS upper_bound, lead(lo) OVER ({part} ORDER BY lo, hi, k) AS next_lower_bound,
-      row_number() OVER ({part} ORDER BY lo DESC, hi DESC, k DESC) = 1 AS is_last_record
-      FROM (SELECT *, row_number() OVER () AS k FROM ({rows}))))
-  WHERE NOT ({length_name} AND {gap_name})"""
+    return f"""SELECT * FROM (SELECT {column}lo AS lower_bound, hi AS upper_bound, next_lo AS next_lower_bound, is_last AS is_last_record,
+    (lo {length} hi) IS TRUE AS {length_name}, CASE WHEN next_lo IS NULL THEN is_last ELSE (hi {gap} next_lo) IS TRUE END AS {gap_name}
+    FROM (SELECT *, lead(lo) OVER w AS next_lo, lead(k) OVER w IS NULL AS is_last
+      FROM (SELECT *, row_number() OVER () AS k FROM ({rows})) WINDOW w AS ({part} ORDER BY lo, hi, k)))
+  WHERE NOT {length_name} OR NOT {gap_name}"""
 
 
 def _orders(spark, folder):
