@@ -1,8 +1,11 @@
-"""HTML fragments as column expressions.
+"""HTML fragments as SQL expressions.
 
 Pages are cut with regular expressions inside the JVM, so a page never goes
 through a Python worker. Elements that can contain their own kind (div, span,
 ul, table) are closed by counting opening and closing tags.
+
+The functions take and return SQL text for ``F.expr``: one expression is then
+one call into Spark instead of one per node of its tree.
 """
 
 from __future__ import annotations
@@ -10,9 +13,6 @@ from __future__ import annotations
 import json
 from html.entities import html5
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 _ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 _TAG = r"(?s)<(?:/?[a-zA-Z][^>]*|!--.*?--|![^>]*)>"
 _BLANK = r"[\s\x1c-\x1f]"
@@ -20,6 +20,14 @@ _FLAT_TAGS = {"h1", "h2", "h3", "a"}
 _ENTITY = r"&(?:#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[a-zA-Z][a-zA-Z0-9]*);"
 
 
+def literal(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_NAMED = f"from_json({literal(json.dumps({f'&{k}': v for k, v in html5.items() if k.endswith(';')}))}, 'map<string,string>')"
+
+
 def has_class(name: str) -> str:
     """Condition on a tag: its class attribute lists ``name``."""
     return rf"""(?=[^>]*\sclass\s*=\s*(?:"[^">]*|'[^'>]*|)(?<![\w-]){name}(?![\w-]))"""
@@ -35,118 +43,89 @@ def opening(tag: str, condition: str = "") -> str:
     return rf"(?is)<{tag}\b{condition}{_ATTRS}>"
 
 
-def visible(html: Column) -> Column:
-    """The page without script and style bodies; comments stay as empty marks between texts."""
-    return F.regexp_replace(html, r"(?is)<(?:!--.*?-->|(script|style)\b.*?</\1\s*>)", "<!>")
+def _until(tag: str, start_ends: bool = False) -> str:
+    """Pattern of everything up to the end tag (or, with ``start_ends``, the next start) of an element."""
+    return rf"(?:[^<]++|<(?!/{'?' if start_ends else ''}{tag}\b))*+"
 
 
-def strip(text: Column) -> Column:
-    """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(text, rf"(?U)^{_BLANK}+|{_BLANK}+$", "")
+def visible(html: str) -> str:
+    """The page without script and style bodies; comments stay as empty marks between texts."""
+    pattern = r"(?is)<(?:!--.*?-->|(script|style)\b.*?</\1\s*>)"
+    return f"regexp_replace({html}, {literal(pattern)}, '<!>')"
 
 
-def _character(number: Column) -> Column:
-    return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+def strip(text: str) -> str:
+    """Trim every kind of white space, not only blanks."""
+    return f"regexp_replace({text}, {literal(rf'(?U)^{_BLANK}+|{_BLANK}+$')}, '')"
 
 
-def decode_entities(text: Column) -> Column:
+def decode_entities(text: str) -> str:
     """Replace named and numbered character references; unknown names stay as they are."""
-    names = F.from_json(
-        F.lit(json.dumps({f"&{k}": v for k, v in html5.items() if k.endswith(";")})), "map<string,string>"
-    )
-
-    def decoded(piece: Column) -> Column:
-        code = (
-            F.when(piece.rlike("^&#[xX]"), F.conv(F.regexp_extract(piece, "^&#[xX]([0-9a-fA-F]+);$", 1), 16, 10))
-            .when(piece.rlike("^&#"), F.regexp_extract(piece, "^&#([0-9]+);$", 1))
-            .try_cast("bigint")
-        )
-        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        numbered = F.when(valid, _character(code)).otherwise(F.lit("�"))
-        return (
-            F.when(~piece.rlike(f"^{_ENTITY}$"), piece)
-            .when(piece.startswith("&#"), numbered)
-            .otherwise(F.coalesce(F.element_at(names, piece), piece))
-        )
-
-    pieces = F.regexp_extract_all(text, F.lit(f"{_ENTITY}|[^&]+|&"), 0)
-    return F.when(text.contains("&"), F.array_join(F.transform(pieces, decoded), "")).otherwise(text)
-
-
-def text_nodes(fragment: Column) -> Column:
-    """Stripped, non-empty texts of a fragment in document order."""
-    nodes = F.transform(F.split(fragment, _TAG), lambda node: strip(decode_entities(node)))
-    return F.filter(nodes, lambda node: node != "")
-
-
-def text_of(fragment: Column, separator: str = "") -> Column:
-    return F.array_join(text_nodes(fragment), separator)
+    number = f"""IF(c RLIKE '^&#[xX]', conv(regexp_extract(c, '^&#[xX]([0-9a-fA-F]+);$', 1), 16, 10), regexp_extract(c, '^&#([0-9]+);$', 1))"""
+    character = "decode(unhex(lpad(hex(n), 8, '0')), 'UTF-32')"
+    valid = "n BETWEEN 1 AND 1114111 AND n NOT BETWEEN 55296 AND 57343"
+    numbered = f"get(transform(array(CAST({number} AS BIGINT)), n -> IF({valid}, {character}, '�')), 0)"
+    decoded = f"""CASE WHEN NOT c RLIKE {literal(f"^{_ENTITY}$")} THEN c WHEN startswith(c, '&#') THEN {numbered}
+      ELSE coalesce(element_at({_NAMED}, c), c) END"""
+    pieces = f"regexp_extract_all({text}, {literal(f'{_ENTITY}|[^&]+|&')}, 0)"
+    return f"IF(contains({text}, '&'), array_join(transform({pieces}, c -> {decoded}), ''), {text})"
 
 
-def _once(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once; lambdas have no shared subexpressions."""
-    return F.get(F.transform(F.array(value), use), 0)
-
-
-def _balanced(element: Column, tag: str) -> Column:
-    """Inner HTML of the element that ``element`` starts with; what follows its end tag is dropped."""
+def text_nodes(fragment: str) -> str:
+    """Stripped, non-empty texts of a fragment in document order."""
+    nodes = f"transform(split({fragment}, {literal(_TAG)}), t -> {strip(decode_entities('t'))})"
+    return f"filter({nodes}, t -> t <> '')"
 
-    def step(state: Column, piece: Column) -> Column:
-        depth = state["depth"] + F.when(piece.startswith("/"), -1).otherwise(1)
-        return F.when((state["depth"] == 0) & (state["kept"] > 0), state).otherwise(
-            F.struct(depth.alias("depth"), (state["kept"] + F.when(depth > 0, 1).otherwise(0)).alias("kept"))
-        )
 
-    def cut(split: Column) -> Column:
-        pieces = F.slice(split, F.lit(2), F.size(split))
-        nothing = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("kept"))
-        kept = F.aggregate(pieces, nothing, step, lambda state: state["kept"])
-        return F.concat(F.lit("<"), F.array_join(F.slice(split, F.lit(2), kept), "<"))
+def text_of(fragment: str, separator: str = "") -> str:
+    return f"array_join({text_nodes(fragment)}, {literal(separator)})"
 
-    # Each piece after the first starts with "tag" or "/tag".
-    whole = _once(F.split(element, rf"<(?=/?(?i:{tag})\b)"), cut)
-    return F.regexp_replace(whole, f"^{opening(tag)}", "")
 
+def _balanced(element: str, tag: str) -> str:
+    """Inner HTML of the element that ``element`` starts with; what follows its end tag is dropped.
 
-def _until(tag: str, start_ends: bool = False) -> str:
-    """Pattern of everything up to the end tag (or, with ``start_ends``, the next start) of an element."""
-    return rf"(?:[^<]++|<(?!/{'?' if start_ends else ''}{tag}\b))*+"
+    The pieces after the first start with "tag" or "/tag". The fold over them counts the
+    depth and how many pieces belong to the element; the array of one splits only once.
+    """
+    depth = "(d.depth + IF(startswith(p, '/'), -1, 1))"
+    step = f"IF(d.depth = 0 AND d.kept > 0, d, named_struct('depth', {depth}, 'kept', d.kept + IF({depth} > 0, 1, 0)))"
+    kept = f"aggregate(slice(s, 2, size(s)), named_struct('depth', 0, 'kept', 0), (d, p) -> {step}, d -> d.kept)"
+    split = f"split({element}, {literal(rf'<(?=/?(?i:{tag})\b)')})"
+    whole = f"get(transform(array({split}), s -> concat('<', array_join(slice(s, 2, {kept}), '<'))), 0)"
+    return f"regexp_replace({whole}, {literal(f'^{opening(tag)}')}, '')"
 
 
-def first_inner(html: Column, tag: str, condition: str = "") -> Column:
+def first_inner(html: str, tag: str, condition: str = "") -> str:
     """Inner HTML of the first such element, NULL when there is none."""
     start = opening(tag, condition)
     flat = f"{start}({_until(tag)})"
-    element = F.regexp_extract(html, flat if tag in _FLAT_TAGS else f"{start}.*", 0)
-    found = F.filter(F.array(element), lambda e: e != "")
-    inner = F.transform(
-        found, lambda e: F.regexp_extract(e, flat, 1) if tag in _FLAT_TAGS else _balanced(e, tag)
-    )
-    return F.get(inner, 0)
+    if tag in _FLAT_TAGS:
+        element, inner = flat, f"regexp_extract(e, {literal(flat)}, 1)"
+    else:
+        element, inner = f"{start}.*", _balanced("e", tag)
+    found = f"filter(array(regexp_extract({html}, {literal(element)}, 0)), e -> e <> '')"
+    return f"get(transform({found}, e -> {inner}), 0)"
 
 
-def all_inner(html: Column, tag: str, condition: str = "") -> Column:
-    """Inner HTML of each such element (an inner match ends the outer one)."""
+def all_inner(html: str, tag: str, condition: str = "") -> str:
+    """Inner HTML of each such element as an array (an inner match ends the outer one)."""
     start = opening(tag, condition)
     if tag in _FLAT_TAGS:
-        return F.regexp_extract_all(html, F.lit(f"{start}({_until(tag)})"), 1)
-    parts = F.split(html, f"(?={start})")
-    found = F.filter(parts, lambda part: part.rlike(f"^{start}"))
-    return F.transform(found, lambda part: _balanced(part, tag))
+        return f"regexp_extract_all({html}, {literal(f'{start}({_until(tag)})')}, 1)"
+    parts = f"split({html}, {literal(f'(?={start})')})"
+    return f"transform(filter({parts}, e -> e RLIKE {literal(f'^{start}')}), e -> {_balanced('e', tag)})"
 
 
-def flat_elements(fragment: Column, tag: str) -> Column:
+def flat_elements(fragment: str, tag: str) -> str:
     """Inner HTML of elements that do not nest (tr, td, th); a missing end tag ends at the next start."""
-    return F.regexp_extract_all(fragment, F.lit(rf"(?i)<{tag}\b[^>]*>({_until(tag, start_ends=True)})"), 1)
+    pattern = rf"(?i)<{tag}\b[^>]*>({_until(tag, start_ends=True)})"
+    return f"regexp_extract_all({fragment}, {literal(pattern)}, 1)"
 
 
-def anchors(fragment: Column) -> Column:
+def anchors(fragment: str) -> str:
     """(href, text) of each link that has an href, in document order."""
-    found = F.regexp_extract_all(fragment, F.lit(rf"(?i)<a\b(?=[^>]*\shref\s*=){_ATTRS}>{_until('a', start_ends=True)}"), 0)
-
-    def link(element: Column) -> Column:
-        quoted = r"""(?is)^<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))"""
-        href = F.concat(*[F.regexp_extract(element, quoted, i) for i in (1, 2, 3)])
-        return F.struct(decode_entities(href).alias("href"), text_of(element).alias("text"))
-
-    return F.transform(found, link)
+    pattern = rf"(?i)<a\b(?=[^>]*\shref\s*=){_ATTRS}>{_until('a', start_ends=True)}"
+    quoted = literal(r"""(?is)^<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+    href = "concat(" + ", ".join(f"regexp_extract(a, {quoted}, {i})" for i in (1, 2, 3)) + ")"
+    link = f"named_struct('href', {decode_entities(href)}, 'text', {text_of('a')})"
+    return f"transform(regexp_extract_all({fragment}, {literal(pattern)}, 0), a -> {link})"

@@ -38,92 +38,77 @@ UNCAPPED_LINKS = [(PRIME, "cpu"), (PRIME, "gpu")]
 OVERRIDABLE = ["name", "url", "source", "category", "brand", "form_factor"]
 
 
-def _per_site(md: Column, vedant: Column, prime: Column) -> Column:
-    return F.when(F.col("source") == MD, md).when(F.col("source") == VEDANT, vedant).otherwise(prime)
+# Each step below is its own projection, so that a fragment used twice is cut out of the page once.
+_MONITOR = "category = 'monitor'"
 
 
-def _is_monitor() -> Column:
-    return F.col("category") == "monitor"
+def _per_site(md: str, vedant: str, prime: str) -> str:
+    return f"CASE source WHEN {H.literal(MD)} THEN {md} WHEN {H.literal(VEDANT)} THEN {vedant} ELSE {prime} END"
 
 
 def _visible(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("html", H.visible(F.col("html")))
-
-
-# Each step below is its own projection, so that a fragment used twice is cut out of the page once.
+    return pages.withColumn("html", F.expr(H.visible("html")))
 
 
 def _with_name(pages: DataFrame) -> DataFrame:
-    heading = H.text_of(H.first_inner(F.col("html"), "h1"))
+    heading = F.expr(H.text_of(H.first_inner("html", "h1")))
     return pages.withColumn("name", F.coalesce(heading, F.lit(MISSING_NAME)))
 
 
 def _with_price_text(pages: DataFrame) -> DataFrame:
     """Text of the price element of the site, after its fallbacks."""
-    html, block = F.col("html"), F.col("_price_block")
-    new_price = H.first_inner(html, "span", H.has_class(NEW_PRICE_CLASS))
-    price_list = H.first_inner(html, "ul", H.has_class(LIST_CLASS))
-    priced = H.first_inner(html, "p", H.has_class(PRICE_BLOCK_CLASS))
-    reduced = H.first_inner(H.first_inner(block, "ins"), "span", H.has_class(AMOUNT_CLASS))
-    amount = H.first_inner(block, "span", H.has_class(AMOUNT_CLASS))
+    new_price = H.first_inner("html", "span", H.has_class(NEW_PRICE_CLASS))
+    price_list = H.first_inner("html", "ul", H.has_class(LIST_CLASS))
+    priced = H.first_inner("html", "p", H.has_class(PRICE_BLOCK_CLASS))
+    reduced = H.first_inner(H.first_inner("_block", "ins"), "span", H.has_class(AMOUNT_CLASS))
+    amount = H.first_inner("_block", "span", H.has_class(AMOUNT_CLASS))
+    block = _per_site(f"coalesce({new_price}, {price_list})", new_price, priced)
+    price = _per_site("_block", "_block", f"coalesce(IF({_MONITOR}, {reduced}, NULL), {amount})")
     return (
-        pages.withColumn("_price_block", _per_site(F.coalesce(new_price, price_list), new_price, priced))
-        .withColumn("_price", _per_site(block, block, F.coalesce(F.when(_is_monitor(), reduced), amount)))
-        .withColumn("price_text", F.coalesce(H.text_of(F.col("_price")), F.lit(MISSING_PRICE)))
-        .drop("_price_block", "_price")
+        pages.withColumn("_block", F.expr(block))
+        .withColumn("_price", F.expr(price))
+        .withColumn("price_text", F.coalesce(F.expr(H.text_of("_price")), F.lit(MISSING_PRICE)))
+        .drop("_block", "_price")
     )
 
 
 def _with_highlights(pages: DataFrame) -> DataFrame:
     """Texts of the short description joined by a bar, NULL without one."""
-    described = (F.col("source") == PRIME) & ~_is_monitor()
-    short = F.when(described, H.first_inner(F.col("html"), "div", H.has_class(HIGHLIGHTS_CLASS)))
-    return pages.withColumn("_short", short).withColumn(
-        "highlights", H.text_of(F.col("_short"), HIGHLIGHTS_SEPARATOR)
-    ).drop("_short")
+    described = (F.col("source") == PRIME) & ~F.expr(_MONITOR)
+    short = F.expr(H.first_inner("html", "div", H.has_class(HIGHLIGHTS_CLASS)))
+    texts = F.expr(H.text_of("_short", HIGHLIGHTS_SEPARATOR))
+    return pages.withColumn("_short", F.when(described, short)).withColumn("highlights", texts).drop("_short")
 
 
 def _with_specs(pages: DataFrame) -> DataFrame:
     """Specification rows of the page as map key -> value, the last of equal keys; empty without any."""
-    html = F.col("html")
     table = _per_site(
-        H.first_inner(html, "div", H.has_id(SPEC_TAB_ID)),
-        H.first_inner(html, "table", H.has_class(VEDANT_SPEC_CLASS)),
-        F.when(_is_monitor(), H.first_inner(html, "table", H.has_class(PRIME_SPEC_CLASS))),
+        H.first_inner("html", "div", H.has_id(SPEC_TAB_ID)),
+        H.first_inner("html", "table", H.has_class(VEDANT_SPEC_CLASS)),
+        f"IF({_MONITOR}, {H.first_inner('html', 'table', H.has_class(PRIME_SPEC_CLASS))}, NULL)",
     )
-    cells = F.transform(
-        H.flat_elements(F.coalesce("_table", F.lit("")), "tr"),
-        lambda row: F.struct(H.flat_elements(row, "th").alias("th"), H.flat_elements(row, "td").alias("td")),
-    )
-
-    def fits(row: Column) -> Column:
-        n = F.size(row["td"])
-        return _per_site(n == 2, n >= 2, (n >= 1) & (F.size(row["th"]) >= 1))
+    rows = H.flat_elements("coalesce(_table, '')", "tr")
+    cells = f"transform({rows}, r -> named_struct('th', {H.flat_elements('r', 'th')}, 'td', {H.flat_elements('r', 'td')}))"
+    fits = _per_site("size(r.td) = 2", "size(r.td) >= 2", "size(r.td) >= 1 AND size(r.th) >= 1")
+    key, value = _per_site("get(r.td, 0)", "get(r.td, 0)", "get(r.th, 0)"), _per_site("get(r.td, 1)", "get(r.td, 1)", "get(r.td, 0)")
+    texts = f"""transform(transform(filter(_cells, r -> {fits}), r -> array({key}, {value})),
+      r -> transform(r, x -> {H.text_of("x")}))"""
 
     def pair(row: Column) -> Column:
-        key = _per_site(F.get(row["td"], 0), F.get(row["td"], 0), F.get(row["th"], 0))
-        value = _per_site(F.get(row["td"], 1), F.get(row["td"], 1), F.get(row["td"], 0))
-        return F.struct(H.text_of(key).alias("key"), H.text_of(value).alias("value"))
-
-    def normalized(p: Column) -> Column:
-        vedant = normalize_spec_key(p["key"], drop_colon=True)
-        plain = normalize_spec_key(p["key"])
-        return F.struct(_per_site(plain, vedant, plain).alias("key"), p["value"].alias("value"))
+        plain, vedant = (normalize_spec_key(row[0], drop_colon=drop) for drop in (False, True))
+        return F.struct(F.when(F.col("source") == VEDANT, vedant).otherwise(plain).alias("key"), row[1].alias("value"))
 
     def named(p: Column) -> Column:
         return (F.col("source") != VEDANT) | ((p["key"] != "") & (p["key"] != SPEC_HEADING))
 
-    pairs = F.filter(F.transform(F.transform(F.filter("_cells", fits), pair), normalized), named)
-    last = F.filter(
-        "_pairs",
-        lambda p, i: ~F.exists(F.slice("_pairs", i + 2, F.size("_pairs")), lambda later: later["key"] == p["key"]),
-    )
+    last = "filter(_pairs, (p, i) -> NOT exists(slice(_pairs, i + 2, size(_pairs)), later -> later.key = p.key))"
     return (
-        pages.withColumn("_table", table)
-        .withColumn("_cells", cells)
-        .withColumn("_pairs", pairs)
-        .withColumn("specs", F.map_from_entries(last))
-        .drop("_table", "_cells", "_pairs")
+        pages.withColumn("_table", F.expr(table))
+        .withColumn("_cells", F.expr(cells))
+        .withColumn("_texts", F.expr(texts))
+        .withColumn("_pairs", F.filter(F.transform("_texts", pair), named))
+        .withColumn("specs", F.map_from_entries(F.expr(last)))
+        .drop("_table", "_cells", "_texts", "_pairs")
     )
 
 
@@ -192,29 +177,36 @@ def spec_key_census(records: DataFrame) -> DataFrame:
     return keys.filter(F.col("spec_key").isNotNull()).groupBy("category", "spec_key").agg(F.count(F.lit(1)).alias("n_records"))
 
 
-def _links(html: Column, tag: str, css_class: str, first_only: bool = False) -> Column:
-    found = F.transform(H.all_inner(html, tag, H.has_class(css_class)), H.anchors)
-    if first_only:
-        found = F.transform(found, lambda links: F.slice(links, 1, 1))
-    return F.flatten(found)
+def _links(html: str, tag: str, condition: str = "", first_only: bool = False) -> str:
+    found = f"transform({H.all_inner(html, tag, condition)}, e -> {H.anchors('e')})"
+    return f"flatten({f'transform({found}, l -> slice(l, 1, 1))' if first_only else found})"
+
+
+def _exploded(found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    # The outer form keeps Spark from testing the whole link expression once more before the explode.
+    exploded = found.select(*keys, F.posexplode_outer("links").alias("position", "link"))
+    return exploded.filter(F.col("position").isNotNull()).select(
+        *keys, "position", F.col("link.href").alias("href"), F.col("link.text").alias("text")
+    )
 
 
 def _with_links(listings: DataFrame) -> DataFrame:
     """Product links of a listing page as array of (href, text), in document order."""
-    html = F.col("html")
     by_site = _per_site(
-        _links(html, "h3", MD_LINK_CLASS, first_only=True),
-        _links(html, "div", VEDANT_LINK_CLASS),
-        _links(html, "h3", PRIME_LINK_CLASS),
+        _links("html", "h3", H.has_class(MD_LINK_CLASS), first_only=True),
+        _links("html", "div", H.has_class(VEDANT_LINK_CLASS)),
+        _links("html", "h3", H.has_class(PRIME_LINK_CLASS)),
     )
-    fallback = _links(html, r"(?:div|span|li|p|h2|h4)", PRIME_LINK_FALLBACK)
-    without = (F.col("source") == PRIME) & _is_monitor() & (F.size("links") == 0)
-    return listings.withColumn("links", by_site).withColumn("links", F.when(without, fallback).otherwise(F.col("links")))
+    fallback = F.expr(_links("html", "(?:div|span|li|p|h2|h4)", H.has_class(PRIME_LINK_FALLBACK)))
+    without = (F.col("source") == PRIME) & F.expr(_MONITOR) & (F.size("links") == 0)
+    found = listings.withColumn("links", F.expr(by_site))
+    return found.withColumn("links", F.when(without, fallback).otherwise(F.col("links")))
 
 
-def element_links(html: Column, tag: str) -> Column:
-    """Links inside each element of one kind, for pages without a site rule."""
-    return F.flatten(F.transform(H.all_inner(html, tag), H.anchors))
+def element_links(pages: DataFrame, tag: str) -> DataFrame:
+    """(page_id, position, href, text) of the links inside each element of one kind, for pages without a site rule."""
+    found = _visible(pages).select("page_id", F.expr(_links("html", tag)).alias("links"))
+    return _exploded(found, ["page_id"])
 
 
 def cap_links(links: Column, most: Column | int) -> Column:
@@ -238,8 +230,4 @@ def listing_links(listings: DataFrame) -> DataFrame:
     found = _with_links(_visible(listings))
     kept = found.withColumn("links", F.filter("links", lambda link: ~is_combo(link["text"], category)))
     capped = kept.withColumn("links", cap_links(F.col("links"), caps))
-    # The outer form keeps Spark from testing the whole link expression once more before the explode.
-    exploded = capped.select("page_id", "source", "category", F.posexplode_outer("links").alias("position", "link"))
-    return exploded.filter(F.col("position").isNotNull()).select(
-        "page_id", "source", "category", "position", F.col("link.href").alias("href"), F.col("link.text").alias("text")
-    )
+    return _exploded(capped, ["page_id", "source", "category"])

@@ -35,9 +35,12 @@ def sync(
     """Replace the product tables from the bronze history and report sent and stored rows of each.
 
     With ``by_category=False`` every table holds the records of all categories;
-    ``latest_only`` keeps the last record of each URL.
+    ``latest_only`` keeps the last record of each URL. An empty history
+    replaces nothing and gives an empty report.
     """
     bronze = specs_to_columns(B.read_partitioned_bronze(spark, bronze_path), MODEL_KEYS)
+    if bronze.isEmpty():
+        return spark.createDataFrame([], "table_name string, rows_sent bigint, rows_stored bigint, matches boolean")
 
     def cleaned(category: str | None) -> DataFrame:
         # The category comes first: it skips folders, and each history is put in order only once.

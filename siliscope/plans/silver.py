@@ -13,6 +13,7 @@ GPU_CATEGORIES, GPU_MARK = ["Graphics Card"], "Graphics Card"
 RTX_MARK = "rtx"
 NAME_PREFIX = 50
 DEFAULT_RAM_GB = 8
+UPDATED_AT = "dbt_updated_at"
 # End of fixed values.
 
 
@@ -113,7 +114,7 @@ def stg_laptops(
         F.lower(F.coalesce(*described)).alias("cpu_description"),
         F.coalesce(first_int(column_or_null(laptops, "memory_type")), F.lit(default_ram_gb)).alias("ram_gb"),
         F.lower(F.coalesce(*graphics)).alias("gpu_description"),
-        (F.current_timestamp() if updated_at is None else updated_at).alias("dbt_updated_at"),
+        (F.current_timestamp() if updated_at is None else updated_at).alias(UPDATED_AT),
     ]
     if with_weight:
         columns.append(column_or_null(laptops, "weight").alias("weight"))

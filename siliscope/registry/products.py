@@ -227,10 +227,7 @@ def extract_name(spark, folder):
     (SELECT page_id, regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1), '<a href=.*?</a>') AS a FROM pages))""",
 )
 def extract_links(spark, folder):
-    links = X.element_links(X.H.visible(F.col("html")), "nav")
-    pages = read_spread(spark, folder, "pages", "page_id")
-    found = pages.select("page_id", F.posexplode_outer(links).alias("position", "link")).filter("position IS NOT NULL")
-    return found.select("page_id", "position", F.col("link.href").alias("href"), F.col("link.text").alias("text"))
+    return X.element_links(read_spread(spark, folder, "pages", "page_id"), "nav")
 
 
 @QUERIES.add(

@@ -131,32 +131,32 @@ def test_haversine(spark):
 
 
 def texts(spark, html, column):
-    return one(spark, "html string", [(html,)], column)[0]
+    return one(spark, "html string", [(html,)], F.expr(column))[0]
 
 
 def test_first_inner_counts_nested_tags(spark):
     html = '<div id="x"><div>a<div>b</div></div>c</div><div>d</div>'
-    assert texts(spark, html, H.first_inner(F.col("html"), "div", H.has_id("x"))) == "<div>a<div>b</div></div>c"
-    assert texts(spark, html, H.first_inner(F.col("html"), "div", H.has_id("y"))) is None
-    assert texts(spark, "<div id=x>never <div>closed", H.first_inner(F.col("html"), "div", H.has_id("x"))) == "never <div>closed"
-    assert texts(spark, "<DIV CLASS='a b-c'></DIV>", H.first_inner(F.col("html"), "div", H.has_class("a"))) == ""
-    assert texts(spark, "<div class='a b-c'></div>", H.first_inner(F.col("html"), "div", H.has_class("b"))) is None
+    assert texts(spark, html, H.first_inner("html", "div", H.has_id("x"))) == "<div>a<div>b</div></div>c"
+    assert texts(spark, html, H.first_inner("html", "div", H.has_id("y"))) is None
+    assert texts(spark, "<div id=x>never <div>closed", H.first_inner("html", "div", H.has_id("x"))) == "never <div>closed"
+    assert texts(spark, "<DIV CLASS='a b-c'></DIV>", H.first_inner("html", "div", H.has_class("a"))) == ""
+    assert texts(spark, "<div class='a b-c'></div>", H.first_inner("html", "div", H.has_class("b"))) is None
 
 
 def test_text_of_strips_each_node_and_decodes(spark):
     html = "\n A &amp; <b> B&nbsp;</b> &#8377;&#x20B9; &bogus; <i>  </i>c"
-    assert texts(spark, html, H.text_of(F.col("html"))) == "A &B₹₹ &bogus;c"
-    assert texts(spark, html, H.text_of(F.col("html"), " | ")) == "A & | B | ₹₹ &bogus; | c"
+    assert texts(spark, html, H.text_of("html")) == "A &B₹₹ &bogus;c"
+    assert texts(spark, html, H.text_of("html", " | ")) == "A & | B | ₹₹ &bogus; | c"
 
 
 def test_scripts_and_comments_are_not_seen(spark):
     html = "<script>var a='<h1>no</h1>'</script><!-- <h1>no</h1> --><style>h1{}</style><h1 title='a>b'>yes</h1><h1>later</h1>"
-    assert texts(spark, html, H.text_of(H.first_inner(H.visible(F.col("html")), "h1"))) == "yes"
+    assert texts(spark, html, H.text_of(H.first_inner(H.visible("html"), "h1"))) == "yes"
 
 
 def test_anchors(spark):
     html = """<a name=x>no</a><a class="l" href="/a?b=1&amp;c=2">One <b>two</b></a><a href='/c'></a><A HREF=/d>D</A>"""
-    found = texts(spark, html, H.anchors(F.col("html")))
+    found = texts(spark, html, H.anchors("html"))
     assert [tuple(x) for x in found] == [("/a?b=1&c=2", "Onetwo"), ("/c", ""), ("/d", "D")]
 
 
@@ -167,4 +167,4 @@ def test_decode_entities_round_trip(spark, words):
 
     coded = ["".join(f"&#{ord(c)};" if i % 2 else stdlib.escape(c) for i, c in enumerate(w)) for w in words]
     if words:
-        assert one(spark, "t string", [(c,) for c in coded], H.decode_entities(F.col("t"))) == words
+        assert one(spark, "t string", [(c,) for c in coded], F.expr(H.decode_entities("t"))) == words

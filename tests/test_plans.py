@@ -206,6 +206,17 @@ def test_refresh_from_pages_to_models(spark, catalogue, rows):
     assert refresh.product_tables(spark, f"{root}/latest")["laptops"].count() == once
 
 
+def test_an_empty_history_replaces_nothing(spark, catalogue):
+    root = scratch_path(spark, "t")
+    pages = product_pages(catalogue)
+    refresh.ingest(pages, f"{root}/bronze")
+    refresh.sync(spark, f"{root}/bronze", f"{root}/tables")
+    before = refresh.product_tables(spark, f"{root}/tables")["ram"].count()
+    extract_products(pages).filter("false").write.parquet(f"{root}/empty")
+    assert refresh.sync(spark, f"{root}/empty", f"{root}/tables").isEmpty()
+    assert refresh.product_tables(spark, f"{root}/tables")["ram"].count() == before > 0
+
+
 def test_pages_can_be_ingested_as_a_stream(spark, catalogue, rows):
     root = scratch_path(spark, "t")
     pages = product_pages(catalogue)
