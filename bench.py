@@ -40,7 +40,7 @@ def offers(spark, folder):
 
 
 def _laptops(spark, folder):
-    return silver.stg_laptops(offers(spark, folder)).drop("dbt_updated_at")
+    return silver.stg_laptops(offers(spark, folder)).drop(silver.UPDATED_AT)
 
 
 OFFERS = {

@@ -51,7 +51,8 @@ _STG_LAPTOPS = """SELECT name AS laptop_name, brand, source AS website_source,
   coalesce(TRY_CAST(regexp_extract(memory_type, '(\\d+)', 1) AS INTEGER), 8) AS ram_gb,
   lower(gpu) AS gpu_description
   FROM laptops WHERE name IS NOT NULL"""
-_LAPTOPS = f"laptops AS (SELECT * FROM catalogue WHERE category = 'laptop' AND {_CLEAN}), stg AS ({_STG_LAPTOPS})"
+# The laptop table holds the records of all categories unless one is asked for; the models tell laptops by name.
+_LAPTOPS = f"laptops AS (SELECT * FROM catalogue WHERE {_CLEAN}), stg AS ({_STG_LAPTOPS})"
 _SCORED = f"""scored AS (SELECT laptop_name, brand, cpu_description, ram_gb, gpu_description,
   {_word_points("gpu_description", gold.GAMING_TIER, gold.GAMING_TIER_ELSE)} AS gaming_tier_score,
   {_size_points("ram_gb", gold.DEV_RAM, gold.DEV_RAM_ELSE)} + {_word_points("cpu_description", gold.DEV_CPU, gold.DEV_CPU_ELSE)} AS dev_score
@@ -90,8 +91,7 @@ def _tables(spark, folder) -> dict:
 
 
 def _stg_laptops(spark, folder):
-    laptops = silver.sync_table(catalogue(spark, folder), "laptop")
-    return silver.stg_laptops(laptops).drop("dbt_updated_at")
+    return silver.stg_laptops(silver.sync_table(catalogue(spark, folder))).drop(silver.UPDATED_AT)
 
 
 def _pages(spark, folder):
@@ -445,7 +445,7 @@ def stg_laptops(spark, folder):
 def stg_laptops_older(spark, folder):
     laptops = silver.sync_table(catalogue(spark, folder), "laptop")
     older = silver.stg_laptops(laptops, default_ram_gb=0, default_cpu="unknown cpu", with_weight=True)
-    return older.drop("gpu_description", "dbt_updated_at")
+    return older.drop("gpu_description", silver.UPDATED_AT)
 
 
 # --- gold ---
@@ -498,6 +498,20 @@ def master_catalog(spark, folder):
     return market.master_catalog(_tables(spark, folder))
 
 
+@QUERIES.add(
+    "master_catalog_shared_tables",
+    over_catalogue(
+        " UNION ALL ".join(
+            f"SELECT name, price_inr, url, '{c}' AS category FROM catalogue WHERE {_CLEAN}" for c in ("laptop", "cpu", "gpu", "ram")
+        )
+    ),
+)
+def master_catalog_shared_tables(spark, folder):
+    """Product tables that each hold all categories: every product is listed under each category."""
+    sources = Sources.from_bronze(catalogue(spark, folder), by_category=False)
+    return market.master_catalog({name: sources.table(name) for name in sources.names()})
+
+
 def _top_sql(master: str) -> str:
     return f"""SELECT name, price_inr, url, category, gen_score, value_score FROM (
   SELECT *, row_number() OVER (PARTITION BY category ORDER BY value_score DESC, name, url) AS place FROM (

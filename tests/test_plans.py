@@ -104,7 +104,7 @@ def test_laptop_rankings(spark):
 
 
 def test_ranks_equal_the_plain_window_and_move_no_rows_into_one_task(catalogue, rows):
-    laptops = silver.stg_laptops(silver.sync_clean(catalogue)).drop("dbt_updated_at")
+    laptops = silver.stg_laptops(silver.sync_clean(catalogue)).drop(silver.UPDATED_AT)
     ours = gold.fact_hardware_recommendations(laptops)
     total = F.col("gaming_tier_score") + F.col("dev_score")
     plain = gold.scored_hardware(laptops).withColumn("r", F.rank().over(Window.orderBy(total.desc())).cast("long"))
