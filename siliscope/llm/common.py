@@ -32,6 +32,17 @@ def stored(table: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(table.schema).parquet(path)
 
 
+BATCH_ROWS = 1000
+
+
+def texts_for_python(table: DataFrame) -> DataFrame:
+    """The same table; Arrow batches that go to Python get at most BATCH_ROWS rows, as texts can be long."""
+    conf = table.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return table
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     """The number of partitions the cluster's owner has chosen for a shuffle of this input."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, nested, unnested
+from .common import ROW, nested, texts_for_python, unnested
 from .textwords import STEP, letters_and_digits, shingles, slices, text_arrays
 
 MIN_MATCH = 5
@@ -174,7 +174,7 @@ def contaminated_pairs(
     """doc_key, doc_id, item_id, item_tokens, covered_tokens, n_tiles, coverage of pairs with enough coverage."""
     items = benchmark.select("item_id", "text").distinct()
     items = items.withColumn("item_key", F.xxhash64("item_id", "text"))
-    keyed = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("doc_key"))
+    keyed = texts_for_python(documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("doc_key")))
     pairs = candidate_pairs(keyed, items, min_match, min_coverage)
     pairs = pairs.join(items.select("item_key", "item_id", F.col("text").alias("item_text")), "item_key")
     pairs = pairs.join(keyed, "doc_key").select("doc_key", "doc_id", "item_id", "text", "item_text")

@@ -7,10 +7,12 @@ with probability 2 * (1 - s^HALF)^COLLECTION at most: 0.0015 at 0.8, 0.0002 at 0
 
 1. Equal sets are one class (a 128-bit digest of the sorted set); only classes go on.
 2. Table keys travel packed, one row per task and range of keys. Tables where a few classes meet give all their pairs.
-   A larger table gives links of all members to its most central ones and the list of its members.
+   A larger table gives links of all members to its most central one and to their neighbours in an order of its own,
+   and the list of its members. A text stands in many tables, so this is a sample of its partners that joins a group.
 3. Pairs are confirmed on the full sets; confirmed pairs make components.
-4. In a larger table whose members are in several components, all pairs between components are confirmed as well, so no
-   pair that meets in a table is left out, and pairs that could not change a component are not looked at.
+4. In a larger table whose members are in several components, the pairs between components are confirmed as well, so no
+   pair that meets in a table is left out. Pairs that could not change a component are not looked at, nor pairs whose
+   sets do not share one of their rarest shingles, as similar sets must.
 
 A key with many classes in one task is settled there: the task links them and passes on one of them, so that no key is
 more than ``TABLE`` rows per task. Documents are shuffled once, narrow rows otherwise; all links stay distributed.
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, nested, shuffle_partitions, stored, unnested
+from .common import ROW, nested, shuffle_partitions, stored, texts_for_python, unnested
 from .components import components
 from .textwords import STEP, blank_separated, mix, shingles, slices, text_arrays
 
@@ -38,7 +40,8 @@ PERCENT = 80
 COLLECTION = 10
 HALF = 3
 TABLE = 16
-CENTRES = 3
+CENTRES = 1
+NEIGHBOURS = 1
 CHUNK = 8192
 
 _rng = np.random.default_rng(20240501)
@@ -86,7 +89,7 @@ def signatures(documents: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], ["doc_key", "doc_id", "n_shingles", "digest", "halves"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    keyed = documents.select(F.xxhash64("doc_id", "text").alias("doc_key"), "doc_id", "text")
+    keyed = texts_for_python(documents.select(F.xxhash64("doc_id", "text").alias("doc_key"), "doc_id", "text"))
     return keyed.mapInArrow(sign, f"doc_key long, doc_id {kind}, n_shingles long, digest string, halves binary")
 
 
@@ -113,7 +116,7 @@ def _small_pairs(nodes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> n
 
 
 def _large_tables(keys, nodes, counts, large) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of larger tables: pairs of every node with the table's most central nodes; keys and nodes of all members.
+    """Of larger tables: pairs of every node with the table's most central nodes and with its neighbours; keys and nodes of all members.
 
     Central is who stands in the most of these tables: a text that others were made from shares keys with all of them.
     """
@@ -130,6 +133,12 @@ def _large_tables(keys, nodes, counts, large) -> tuple[np.ndarray, np.ndarray, n
         middle = np.repeat(ranked[starts + np.minimum(centre, counts - 1)], counts)
         other = middle != nodes
         pairs.append(np.stack([np.minimum(middle, nodes)[other], np.maximum(middle, nodes)[other]], axis=1))
+    order = np.lexsort((mix(keys ^ (nodes.astype(np.uint64) * STEP)), table))
+    for distance in range(1, NEIGHBOURS + 1):
+        near, far = order[:-distance], order[distance:]
+        same = table[near] == table[far]
+        near, far = nodes[near[same]], nodes[far[same]]
+        pairs.append(np.stack([np.minimum(near, far), np.maximum(near, far)], axis=1))
     return np.unique(np.concatenate(pairs), axis=0), keys, nodes
 
 
@@ -254,6 +263,66 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return held.select("x", "y", "found_x", "found_y").mapInArrow(compare, "x long, y long")
 
 
+def _crossing(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """x, y: pairs of members (table, x, component) of different components that could be similar.
+
+    Two sets of n and m shingles must share ``least = percent * (n + m) / (100 + percent)``. So of any order of the
+    shingles they share one among the first n - least + 1 of one and the first m - least + 1 of the other; in the order
+    of frequency few sets meet there. A set also shares no more shingles than stand in sets of other components at all.
+    Within a shingle only the members outside its most frequent component look for partners.
+    """
+
+    def spread(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                piece = batch.slice(start, 256)
+                found = [np.frombuffer(value.as_buffer(), np.int64) for value in piece.column(2)]
+                counts = [len(one) for one in found]
+                columns = [np.repeat(piece.column(i).to_numpy(), counts) for i in (0, 1)]
+                columns += [np.concatenate(found), np.repeat(counts, counts)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "component", "shingle", "n"])
+
+    nodes = members.select(F.col("x").alias("node"), "component").distinct()
+    held = nodes.join(sets, "node").select("node", "component", "found")
+    rows = held.mapInArrow(spread, "node long, component long, shingle long, n long")
+    often = rows.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("often"), (F.min("component") != F.max("component")).alias("across")
+    )
+    ranked = rows.join(often, "shingle").groupBy("node", "component", "n")
+    ranked = ranked.agg(
+        F.sort_array(F.collect_list(F.struct("often", "across", "shingle"))).alias("ranked"),
+        F.sum(F.col("across").cast("long")).alias("outer"),
+    )
+    ranked = stored(ranked, "ranked")
+
+    # The smallest set that a member meets in its tables.
+    sized = members.join(ranked.select(F.col("node").alias("x"), "n"), "x")
+    smallest = sized.groupBy("table").agg(F.min("n").alias("smallest"))
+    smallest = members.join(smallest, "table").groupBy(F.col("x").alias("node")).agg(F.min("smallest").alias("m"))
+    least = F.greatest(
+        F.ceil(F.col("n") * percent / 100 - 1e-9), F.ceil((F.col("n") + F.col("m")) * percent / (100 + percent) - 1e-9)
+    )
+    entries = ranked.join(smallest, "node").filter(F.col("outer") >= least)
+    first = F.slice("ranked", 1, (F.col("n") - least + 1).cast("int"))
+    entries = entries.select("node", "component", "n", "outer", F.posexplode(first).alias("place", "s")).filter("s.across")
+    entries = stored(entries.select("node", "component", "n", "outer", "place", F.col("s.shingle").alias("shingle")), "entries")
+
+    groups = entries.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("k"))
+    groups = groups.groupBy("shingle").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count(F.lit(1)).alias("n"))
+    seeking = entries.join(groups.filter("n > 1").select("shingle", "main"), "shingle").filter("component <> main")
+    common = F.least("a.outer", "b.outer")
+    both = F.col("a.n") + F.col("b.n")
+    shared = F.ceil(both * percent / (100 + percent) - 1e-9)
+    able = (
+        (F.col("a.component") != F.col("b.component"))
+        & (common * 100 >= (both - common) * percent)
+        & (F.col("a.place") <= F.col("a.n") - shared)
+        & (F.col("b.place") <= F.col("b.n") - shared)
+    )
+    met = seeking.alias("a").join(entries.alias("b"), (F.col("a.shingle") == F.col("b.shingle")) & able)
+    return met.select(F.least("a.node", "b.node").alias("x"), F.greatest("a.node", "b.node").alias("y")).distinct()
+
+
 def _classes(signed: DataFrame) -> DataFrame:
     """node, digest, doc_key, smallest doc_id, halves: one row per distinct set."""
     classes = signed.filter("digest IS NOT NULL").groupBy("digest")
@@ -279,10 +348,8 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE, percent: int = PE
     placed = members.join(labels.withColumnRenamed("node", "x"), "x", "left")
     placed = stored(placed.select("table", "x", F.coalesce("component", "x").alias("component")), "members")
     split = placed.groupBy("table").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("table")
-    left = placed.join(split, "table")
-    right = left.select("table", F.col("x").alias("y"), F.col("component").alias("other"))
-    crossing = left.join(right, "table").filter("component < other").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    crossing = stored(crossing.distinct().join(pairs, ["x", "y"], "left_anti"), "crossing")
+    left = stored(placed.join(split, "table"), "split-members")
+    crossing = stored(_crossing(left, sets, percent).join(pairs, ["x", "y"], "left_anti"), "crossing")
     more = stored(_confirmed(crossing, sets, percent), "links")
     if not more.isEmpty():
         labels = components(links.union(more))

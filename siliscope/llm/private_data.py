@@ -20,6 +20,8 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import texts_for_python
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "ssn", "account", "login")
 
@@ -173,7 +175,7 @@ def personal_data(documents: DataFrame) -> DataFrame:
     NAMES = ["doc_id", *names]
     id_kind = documents.schema["doc_id"].dataType.simpleString()
     schema = ", ".join([f"doc_id {id_kind}", *[f"{name} {kind}" for name, kind in zip(names, kinds)]])
-    return documents.select("doc_id", "text").mapInArrow(scan, schema)
+    return texts_for_python(documents.select("doc_id", "text")).mapInArrow(scan, schema)
 
 
 def redacted(documents: DataFrame) -> DataFrame:
@@ -186,4 +188,4 @@ def redacted(documents: DataFrame) -> DataFrame:
             texts = [None if (text := value.as_py()) is None else redact(text, find_spans(text, automaton)) for value in batch.column(place)]
             yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
 
-    return documents.mapInArrow(replace, documents.schema)
+    return texts_for_python(documents).mapInArrow(replace, documents.schema)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, stored
+from .common import shuffle_partitions, stored, texts_for_python
 from .textwords import BASE, PIECE, STEP, mix, slices, text_arrays
 
 LENGTH = 100
@@ -44,7 +44,7 @@ SEED = 32
 MOST = LENGTH - SEED + 1
 HOT_IN_TASK = 256
 BLOCK_FRAGMENTS = 4096
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 17
 ENTRIES = 500_000
 LAST_ID = (1 << 63) - 1
 
@@ -249,7 +249,7 @@ def _fragments(documents: DataFrame) -> DataFrame:
         if blobs:
             yield settled(blobs)
 
-    dealt = documents.select("doc", "text").mapInArrow(cut, _FOUND).repartition(partitions, "part")
+    dealt = texts_for_python(documents.select("doc", "text")).mapInArrow(cut, _FOUND).repartition(partitions, "part")
     return dealt.sortWithinPartitions("part").mapInArrow(settle, _FOUND).select("doc", "start", "windows", "whole", "name")
 
 
@@ -267,7 +267,7 @@ class RunLengthIndex:
         inside = np.ones(len(text), bool)
         inside[ends] = False
         text[inside] = np.concatenate(strings).astype(np.int64) + len(strings)
-        order = self._sorted_suffixes(text)
+        order = self._sorted_suffixes(text, ends, len(strings))
         last = text[order - 1]  # the transform; the text is read as a circle
         heads = np.flatnonzero(np.concatenate([[True], last[1:] != last[:-1]]))
         self.text, self.size = text, len(text)
@@ -279,22 +279,31 @@ class RunLengthIndex:
         self.match = self._common(self.begin, self.before)
 
     @staticmethod
-    def _sorted_suffixes(text: np.ndarray) -> np.ndarray:
-        """The suffixes in order, by doubling the length that the ranks stand for."""
-        _, rank = np.unique(text, return_inverse=True)
-        n, reach = len(text), 1
-        while True:
+    def _sorted_suffixes(text: np.ndarray, ends: np.ndarray, marks: int) -> np.ndarray:
+        """The suffixes in order: first by six letters, then by doubling the length that the ranks stand for."""
+        n, reach = len(text), 6
+        to_end = np.repeat(ends, np.diff(np.concatenate([[-1], ends]))) - np.arange(n)
+        letters = np.maximum(text - marks + 1, 0)
+        padded = np.concatenate([letters, np.zeros(reach, np.int64)])
+        key = np.zeros(n, np.int64)
+        for step in range(reach):
+            key = key * 257 + np.where(step <= to_end, padded[step : step + n], 0)
+        # Six letters that hold an end mark differ from all others of the same letters by the mark.
+        mark = np.where(to_end < reach, np.repeat(np.arange(len(ends)) + 1, np.diff(np.concatenate([[-1], ends]))), 0)
+        order = np.lexsort((mark, key))
+        change = (key[order][1:] != key[order][:-1]) | (mark[order][1:] != mark[order][:-1])
+        rank = np.empty(n, np.int64)
+        rank[order] = np.concatenate([[0], np.cumsum(change)])
+        while rank[order[-1]] != n - 1:
             follow = np.zeros(n, np.int64)
-            follow[: n - reach] = rank[reach:] + 1
+            follow[: max(0, n - reach)] = rank[reach:] + 1
             key = rank * np.int64(n + 1) + follow
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             sorted_key = key[order]
-            new = np.empty(n, np.int64)
-            new[order] = np.concatenate([[0], np.cumsum(sorted_key[1:] != sorted_key[:-1])])
-            rank = new
-            if rank[order[-1]] == n - 1:
-                return order
+            rank = np.empty(n, np.int64)
+            rank[order] = np.concatenate([[0], np.cumsum(sorted_key[1:] != sorted_key[:-1])])
             reach *= 2
+        return order
 
     def _common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common prefix of the suffixes at a and b."""
@@ -391,37 +400,48 @@ def _marked_by_window(windows: DataFrame) -> DataFrame:
     return joined.select("doc", "start", F.lit(1).alias("windows"), "whole")
 
 
+class Wanted:
+    """Fragments asked for of the texts of a batch: columns text (binary) and wanted (list of structs)."""
+
+    def __init__(self, text: pa.Array, wanted: pa.Array):
+        self.data, self.offsets = text_arrays(text)
+        counts = pa.compute.fill_null(pa.compute.list_value_length(wanted), 0).to_numpy()
+        fields = wanted.flatten()
+        self.field = {name.name: fields.field(i).to_numpy(zero_copy_only=False) for i, name in enumerate(fields.type)}
+        self.row = np.repeat(np.arange(len(counts)), counts)
+        self.start, self.windows = self.field["start"], self.field["windows"].astype(np.int64)
+
+    def own(self) -> np.ndarray:
+        """Whether each fragment has the hash it is asked for by; else it belongs to another row of the same id."""
+        found = whole_hash(self.data, self.offsets[self.row] + self.start, self.windows)
+        inside = self.start + self.windows + LENGTH - 1 <= np.diff(self.offsets)[self.row]
+        return inside & (found.view(np.int64) == self.field["whole"])
+
+
 def _cut_out(documents: DataFrame, open_: DataFrame) -> DataFrame:
     """name, doc, start, bytes (NULL for single windows of hot names), whole of the open fragments."""
+    names = ["name", "doc", "start", "bytes", "whole"]
 
     def cut(batches):
-        for batch in batches:
-            rows = []
-            for doc, text, wanted in zip(*(batch.column(i) for i in range(3))):
-                doc, text = doc.as_py(), text.as_py()
-                data = np.frombuffer(text, np.uint8)
-                wanted = wanted.as_py()
-                starts = np.array([w["start"] for w in wanted], np.int64)
-                windows = np.array([w["windows"] for w in wanted], np.int64)
-                own = whole_hash(data, starts, windows).view(np.int64)
-                for one, whole in zip(wanted, own):
-                    if one["whole"] != whole:
-                        continue  # belongs to another row of the same id
-                    at, count = one["start"], one["windows"]
-                    if one["hot"]:
-                        single = whole_hash(data, np.arange(at, at + count), np.ones(count, np.int64)).view(np.int64)
-                        rows += [(one["name"], doc, at + i, None, int(single[i])) for i in range(count)]
-                    else:
-                        rows.append((one["name"], doc, at, text[at : at + count + LENGTH - 1], one["whole"]))
-                if len(rows) > 20_000:
-                    yield _rows(rows)
-                    rows = []
-            if rows:
-                yield _rows(rows)
-
-    def _rows(rows):
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["name", "doc", "start", "bytes", "whole"])
+        for batch in slices(batches, 1):
+            wanted = Wanted(batch.column(1), batch.column(2))
+            doc = batch.column(0).to_numpy()[wanted.row]
+            own, hot, name = wanted.own(), wanted.field["hot"].astype(bool), wanted.field["name"]
+            at = np.flatnonzero(own & ~hot)
+            begin = wanted.offsets[wanted.row[at]] + wanted.start[at]
+            end = begin + wanted.windows[at] + LENGTH - 1
+            view = memoryview(np.ascontiguousarray(wanted.data))
+            cut_bytes = pa.array([bytes(view[a:b]) for a, b in zip(begin.tolist(), end.tolist())], pa.binary())
+            columns = [name[at], doc[at], wanted.start[at], cut_bytes, wanted.field["whole"][at]]
+            yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names)
+            at = np.flatnonzero(own & hot)
+            count = wanted.windows[at]
+            nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            at = np.repeat(at, count)
+            start = wanted.start[at] + nth
+            single = whole_hash(wanted.data, wanted.offsets[wanted.row[at]] + start, np.ones(len(at), np.int64))
+            columns = [name[at], doc[at], start, pa.nulls(len(at), pa.binary()), single.view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names)
 
     hot = open_.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK_FRAGMENTS).select("name", F.lit(True).alias("hot"))
     wanted = open_.join(hot, "name", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
@@ -439,15 +459,15 @@ def repeat_marks(documents: DataFrame) -> DataFrame:
     return found.filter("name IS NULL").select("doc", "start", "windows", "whole").union(in_blocks).union(single)
 
 
-def _removed(data: np.ndarray, marks) -> np.ndarray:
-    """Which bytes of a text the marks that are its own cover."""
-    starts = np.array([m["start"] for m in marks], np.int64)
-    windows = np.array([m["windows"] for m in marks], np.int64)
-    own = whole_hash(data, starts, windows).view(np.int64) == np.array([m["whole"] for m in marks], np.int64)
-    change = np.zeros(len(data) + 1, np.int32)
-    np.add.at(change, starts[own], 1)
-    np.add.at(change, starts[own] + windows[own] + LENGTH - 1, -1)
-    return np.cumsum(change)[:-1] > 0
+def _removed(text: pa.Array, marks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all texts, where each text begins, and which bytes the marks cover."""
+    wanted = Wanted(text, marks)
+    own = wanted.own()
+    begin = (wanted.offsets[wanted.row] + wanted.start)[own]
+    change = np.zeros(len(wanted.data) + 1, np.int32)
+    np.add.at(change, begin, 1)
+    np.add.at(change, begin + wanted.windows[own] + LENGTH - 1, -1)
+    return wanted.data, wanted.offsets, np.cumsum(change)[:-1] > 0
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
@@ -465,19 +485,17 @@ def repeat_report(documents: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
 
     def judge(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
+            data, offsets, gone = _removed(batch.column(1), batch.column(2))
             rows = []
-            for text, marks in zip(batch.column(1), batch.column(2)):
-                text, marks = text.as_py(), marks.as_py()
-                if not marks:
-                    rows.append((len(text), 0, 0, hashlib.sha256(text).hexdigest()))
-                    continue
-                data = np.frombuffer(text, np.uint8)
-                gone = _removed(data, marks)
-                spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                rows.append((len(data), int(gone.sum()), spans, hashlib.sha256(data[~gone].tobytes()).hexdigest()))
+            for begin, end in zip(offsets[:-1], offsets[1:]):
+                text, lost = data[begin:end], gone[begin:end]
+                n = int(np.count_nonzero(lost))
+                spans = int(lost[0]) + int(np.count_nonzero(lost[1:] & ~lost[:-1])) if n else 0
+                kept = text[~lost] if n else text
+                rows.append((len(text), n, spans, hashlib.sha256(kept.tobytes()).hexdigest()))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
-            arrays = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 4, kinds)]
+            arrays = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
@@ -489,14 +507,9 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     """doc_id and the remaining text; a character that lost a byte goes as a whole."""
 
     def strip(batches):
-        for batch in batches:
-            texts = []
-            for text, marks in zip(batch.column(1), batch.column(2)):
-                text, marks = text.as_py(), marks.as_py()
-                if marks:
-                    data = np.frombuffer(text, np.uint8)
-                    text = data[~_removed(data, marks)].tobytes()
-                texts.append(text.decode("utf-8", "ignore"))
+        for batch in slices(batches, 1):
+            data, offsets, gone = _removed(batch.column(1), batch.column(2))
+            texts = [data[a:b][~gone[a:b]].tobytes().decode("utf-8", "ignore") for a, b in zip(offsets[:-1], offsets[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()

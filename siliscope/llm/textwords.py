@@ -1,7 +1,7 @@
 """Words and shingles of many texts at once, as 64-bit hashes in numpy arrays.
 
 Used inside Arrow batches. A word's hash is a polynomial in its bytes, taken from running sums; it is mixed afterwards.
-Memory follows the piece of text in hand (a few MB), not the batch: long texts are cut between words.
+Memory follows the piece of text in hand (half a MB), not the batch: long texts are cut between words.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 2 << 20
+PIECE = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S33 = np.uint64(33)
@@ -30,7 +30,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def text_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts one after another, and where each begins; NULL is empty."""
     if column.null_count:
-        column = column.fill_null("")
+        column = column.fill_null(b"" if pa.types.is_binary(column.type) else "")
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)

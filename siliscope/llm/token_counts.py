@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import texts_for_python
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MAX_VOCABULARY_BYTES = 64 << 20
 # The split into pieces that belongs to the vocabulary.
@@ -45,7 +47,7 @@ def token_lengths(documents: DataFrame, vocabulary: str = VOCABULARY, pattern: s
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lengths, pa.int64())], ["doc_id", "n_tokens"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, n_tokens long")
+    return texts_for_python(documents.select("doc_id", "text")).mapInArrow(encode, f"doc_id {kind}, n_tokens long")
 
 
 def length_histogram(lengths: DataFrame, block: int = BLOCK) -> DataFrame:
