@@ -7,8 +7,8 @@ with probability 2 * (1 - s^HALF)^COLLECTION at most: 0.0015 at 0.8, 0.0002 at 0
 
 1. Equal sets are one class (a 128-bit digest of the sorted set); only classes go on.
 2. Table keys travel packed, one row per task and range of keys. Tables where a few classes meet give all their pairs.
-   A larger table gives links of all members to its most central one and to their neighbours in an order of its own,
-   and the list of its members. A text stands in many tables, so this is a sample of its partners that joins a group.
+   A larger table gives links of all members to one of them and, in some tables, to their neighbours in an order of its
+   own, and the list of its members. A text stands in many tables, so this is a sample of its partners that joins a group.
 3. Pairs are confirmed on the full sets; confirmed pairs make components.
 4. In a larger table whose members are in several components, the pairs between components are confirmed as well, so no
    pair that meets in a table is left out. Pairs that could not change a component are not looked at, nor pairs whose
@@ -40,8 +40,8 @@ PERCENT = 80
 COLLECTION = 10
 HALF = 3
 TABLE = 16
-CENTRES = 1
-NEIGHBOURS = 1
+LINKED_TABLES = 4
+ROW_ENTRIES = 1024
 CHUNK = 8192
 
 _rng = np.random.default_rng(20240501)
@@ -116,29 +116,25 @@ def _small_pairs(nodes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> n
 
 
 def _large_tables(keys, nodes, counts, large) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of larger tables: pairs of every node with the table's most central nodes and with its neighbours; keys and nodes of all members.
+    """Of larger tables: pairs of every node with one node of the table, and in one of LINKED_TABLES tables also with its
+    neighbour; keys and nodes of all members.
 
-    Central is who stands in the most of these tables: a text that others were made from shares keys with all of them.
+    The one node is the first in an order that all tasks share, so tables of the same texts give the same pairs.
     """
     if not large.any():
         return np.zeros((0, 2), np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     inside = np.repeat(large, counts)
     keys, nodes, counts = keys[inside], nodes[inside], counts[large]
-    names, place, often = np.unique(nodes, return_inverse=True, return_counts=True)
     table = np.repeat(np.arange(len(counts)), counts)
-    starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
-    ranked = nodes[np.lexsort((nodes, -often[place], table))]
-    pairs = []
-    for centre in range(CENTRES):
-        middle = np.repeat(ranked[starts + np.minimum(centre, counts - 1)], counts)
-        other = middle != nodes
-        pairs.append(np.stack([np.minimum(middle, nodes)[other], np.maximum(middle, nodes)[other]], axis=1))
+    order = np.lexsort((mix(nodes.astype(np.uint64)), table))
+    middle = np.repeat(nodes[order][np.concatenate([[0], np.cumsum(counts)[:-1]])], counts)
+    other = middle != nodes
+    pairs = [np.stack([np.minimum(middle, nodes)[other], np.maximum(middle, nodes)[other]], axis=1)]
     order = np.lexsort((mix(keys ^ (nodes.astype(np.uint64) * STEP)), table))
-    for distance in range(1, NEIGHBOURS + 1):
-        near, far = order[:-distance], order[distance:]
-        same = table[near] == table[far]
-        near, far = nodes[near[same]], nodes[far[same]]
-        pairs.append(np.stack([np.minimum(near, far), np.maximum(near, far)], axis=1))
+    near, far = order[:-1], order[1:]
+    linked = (table[near] == table[far]) & (keys[near] % np.uint64(LINKED_TABLES) == 0)
+    near, far = nodes[near[linked]], nodes[far[linked]]
+    pairs.append(np.stack([np.minimum(near, far), np.maximum(near, far)], axis=1))
     return np.unique(np.concatenate(pairs), axis=0), keys, nodes
 
 
@@ -182,8 +178,9 @@ def _meeting(classes: DataFrame) -> DataFrame:
             target = (keys >> np.uint64(32)).astype(np.int64) * parts >> 32
             cuts = np.searchsorted(target, np.arange(parts + 1))
             full = np.flatnonzero(np.diff(cuts)).astype(np.int32)
-            blobs = [(keys[cuts[p] : cuts[p + 1]].tobytes(), members[cuts[p] : cuts[p + 1]].tobytes()) for p in full]
-            return _found_batch(pairs, large_keys, large_nodes, full, blobs)
+            pieces = [(p, a, min(a + ROW_ENTRIES, cuts[p + 1])) for p in full for a in range(cuts[p], cuts[p + 1], ROW_ENTRIES)]
+            blobs = [(keys[a:b].tobytes(), members[a:b].tobytes()) for _, a, b in pieces]
+            return _found_batch(pairs, large_keys, large_nodes, np.array([p for p, _, _ in pieces], np.int32), blobs)
 
         node_parts, half_parts, held = [], [], 0
         for batch in batches:

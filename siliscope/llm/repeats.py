@@ -45,7 +45,8 @@ MOST = LENGTH - SEED + 1
 HOT_IN_TASK = 256
 BLOCK_FRAGMENTS = 4096
 BLOCK_BYTES = 1 << 17
-ENTRIES = 500_000
+ENTRIES = 300_000
+ROW_ENTRIES = 512
 LAST_ID = (1 << 63) - 1
 
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -197,8 +198,9 @@ def _fragments(documents: DataFrame) -> DataFrame:
             entries, part = entries[order], part[order]
             cuts = np.searchsorted(part, np.arange(parts + 1))
             full = np.flatnonzero(np.diff(cuts)).astype(np.int32)
-            blobs = [b"".join(entries[name][cuts[p] : cuts[p + 1]].tobytes() for name, _ in _ENTRY) for p in full]
-            return _found_batch(marks, entries[:0], full, blobs)
+            pieces = [(p, a, min(a + ROW_ENTRIES, cuts[p + 1])) for p in full for a in range(cuts[p], cuts[p + 1], ROW_ENTRIES)]
+            blobs = [b"".join(entries[name][a:b].tobytes() for name, _ in _ENTRY) for _, a, b in pieces]
+            return _found_batch(marks, entries[:0], np.array([p for p, _, _ in pieces], np.int32), blobs)
 
         for batch in slices(batches, 1):
             text, start, windows, name, whole = fragments(*text_arrays(batch.column(1)))
