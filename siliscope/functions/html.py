@@ -17,7 +17,16 @@ _ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 _TAG = r"(?s)<(?:/?[a-zA-Z][^>]*|!--.*?--|![^>]*)>"
 _BLANK = r"[\s\x1c-\x1f]"
 _FLAT_TAGS = {"h1", "h2", "h3", "a"}
-_ENTITY = r"&(?:#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[a-zA-Z][a-zA-Z0-9]*);"
+_ENTITY = r"&(?:#[xX]0*[0-9a-fA-F]{1,6};?|#0*[0-9]{1,7};?|[a-zA-Z][a-zA-Z0-9]*;?)"
+# In an address, a name without its semicolon is a parameter.
+_CLOSED_ENTITY = r"&(?:#[xX]0*[0-9a-fA-F]{1,6}|#0*[0-9]{1,7}|[a-zA-Z][a-zA-Z0-9]*);"
+# Numbered references 128 to 159 mean the characters of Windows code page 1252.
+_C1 = bytes(range(0x80, 0xA0)).decode("cp1252", "replace")
+# End of fixed values.
+
+
+# What stands in a tag before an attribute: values in quotes are passed over as a whole.
+_BEFORE = r"""(?:[^\s>"']++|\s(?!{name}\s*=)|"[^"]*+"|'[^']*+')*+"""
 
 
 def literal(text: str) -> str:
@@ -25,17 +34,18 @@ def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-_NAMED = f"from_json({literal(json.dumps({f'&{k}': v for k, v in html5.items() if k.endswith(';')}))}, 'map<string,string>')"
+_NAMED = f"from_json({literal(json.dumps({f'&{k}': v for k, v in html5.items()}))}, 'map<string,string>')"
 
 
 def has_class(name: str) -> str:
-    """Condition on a tag: its class attribute lists ``name``."""
-    return rf"""(?=[^>]*\sclass\s*=\s*(?:"[^">]*|'[^'>]*|)(?<![\w-]){name}(?![\w-]))"""
+    """Condition on a tag: its first class attribute lists ``name``, in this case."""
+    listed = rf"""(?:"(?:[^"]*\s)?{name}(?:\s[^"]*)?"|'(?:[^']*\s)?{name}(?:\s[^']*)?'|{name}(?=[\s>]))"""
+    return rf"""(?={_BEFORE.format(name="class")}\sclass\s*=\s*(?-i:{listed}))"""
 
 
 def has_id(name: str) -> str:
-    """Condition on a tag: its id attribute is ``name``."""
-    return rf"""(?=[^>]*\sid\s*=\s*["']?{name}(?![\w-]))"""
+    """Condition on a tag: its first id attribute is ``name``, in this case."""
+    return rf"""(?={_BEFORE.format(name="id")}\sid\s*=\s*(?-i:"{name}"|'{name}'|{name}(?=[\s>])))"""
 
 
 def opening(tag: str, condition: str = "") -> str:
@@ -59,15 +69,20 @@ def strip(text: str) -> str:
     return f"regexp_replace({text}, {literal(rf'(?U)^{_BLANK}+|{_BLANK}+$')}, '')"
 
 
-def decode_entities(text: str) -> str:
-    """Replace named and numbered character references; unknown names stay as they are."""
-    number = f"""IF(c RLIKE '^&#[xX]', conv(regexp_extract(c, '^&#[xX]([0-9a-fA-F]+);$', 1), 16, 10), regexp_extract(c, '^&#([0-9]+);$', 1))"""
-    character = "decode(unhex(lpad(hex(n), 8, '0')), 'UTF-32')"
+def decode_entities(text: str, closed_only: bool = False) -> str:
+    """Replace named and numbered character references; unknown names stay as they are.
+
+    ``closed_only`` leaves references without a semicolon alone.
+    """
+    entity = _CLOSED_ENTITY if closed_only else _ENTITY
+    number = """IF(c RLIKE '^&#[xX]', conv(regexp_extract(c, '^&#[xX]([0-9a-fA-F]+);?$', 1), 16, 10), regexp_extract(c, '^&#([0-9]+);?$', 1))"""
+    plain = "decode(unhex(lpad(hex(n), 8, '0')), 'UTF-32')"
+    character = f"IF(n BETWEEN 128 AND 159, substring({literal(_C1)}, CAST(n - 127 AS INT), 1), {plain})"
     valid = "n BETWEEN 1 AND 1114111 AND n NOT BETWEEN 55296 AND 57343"
     numbered = f"get(transform(array(CAST({number} AS BIGINT)), n -> IF({valid}, {character}, '�')), 0)"
-    decoded = f"""CASE WHEN NOT c RLIKE {literal(f"^{_ENTITY}$")} THEN c WHEN startswith(c, '&#') THEN {numbered}
+    decoded = f"""CASE WHEN NOT c RLIKE {literal(f"^{entity}$")} THEN c WHEN startswith(c, '&#') THEN {numbered}
       ELSE coalesce(element_at({_NAMED}, c), c) END"""
-    pieces = f"regexp_extract_all({text}, {literal(f'{_ENTITY}|[^&]+|&')}, 0)"
+    pieces = f"regexp_extract_all({text}, {literal(f'{entity}|[^&]+|&')}, 0)"
     return f"IF(contains({text}, '&'), array_join(transform({pieces}, c -> {decoded}), ''), {text})"
 
 
@@ -127,5 +142,5 @@ def anchors(fragment: str) -> str:
     pattern = rf"(?i)<a\b(?=[^>]*\shref\s*=){_ATTRS}>{_until('a', start_ends=True)}"
     quoted = literal(r"""(?is)^<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
     href = "concat(" + ", ".join(f"regexp_extract(a, {quoted}, {i})" for i in (1, 2, 3)) + ")"
-    link = f"named_struct('href', {decode_entities(href)}, 'text', {text_of('a')})"
+    link = f"named_struct('href', {decode_entities(href, closed_only=True)}, 'text', {text_of('a')})"
     return f"transform(regexp_extract_all({fragment}, {literal(pattern)}, 0), a -> {link})"

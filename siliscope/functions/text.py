@@ -32,7 +32,8 @@ def slugify(text: Column) -> Column:
     """Lower-case identifier made of letters, digits and underscores; NULL gives ''."""
     joined = F.regexp_replace(F.lower(text), "[ -]+", "_")
     kept = F.regexp_replace(joined, "[^a-z0-9_]+", "")
-    return F.coalesce(F.regexp_replace(kept, "^([0-9])", "_$1"), F.lit(""))
+    marked = F.when(F.left(kept, F.lit(1)).between("0", "9"), F.concat(F.lit("_"), kept)).otherwise(kept)
+    return F.coalesce(marked, F.lit(""))
 
 
 def slugify_name(text: str | None) -> str:

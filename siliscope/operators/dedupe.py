@@ -36,5 +36,6 @@ def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[C
 
 
 def latest_snapshot(df: DataFrame, loaded_at: str, key: str = "url") -> DataFrame:
-    """The last loaded record of each key out of an appended history."""
-    return deduplicate(df, [key], [quoted(loaded_at).desc_nulls_last()])
+    """The last loaded record of each key out of an appended history; records without a key all stay."""
+    known = deduplicate(df.filter(quoted(key).isNotNull()), [key], [quoted(loaded_at).desc_nulls_last()])
+    return known.unionByName(df.filter(quoted(key).isNull()))

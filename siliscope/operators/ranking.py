@@ -7,17 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Above this many score combinations the joined-back table is not forced to be broadcast.
-BROADCAST_SCORES = 10_000
 
-
-def global_rank(df: DataFrame, ranks: Mapping[str, str], score_combinations: int) -> DataFrame:
+def global_rank(df: DataFrame, ranks: Mapping[str, str]) -> DataFrame:
     """Add ``RANK() OVER (ORDER BY score DESC)`` for each ``rank name -> score column``.
 
     A window without partitions would move every row into one task. The scores
-    come from fixed point lists, so there are at most ``score_combinations``
-    different ones: counting the rows per combination (combined before the
-    shuffle) and ranking that small table gives the same numbers.
+    must come from fixed point lists, which bound the number of combinations:
+    counting the rows per combination (combined before the shuffle) and ranking
+    that small table gives the same numbers. Spark chooses how to join it back.
     """
     scores = list(dict.fromkeys(ranks.values()))
     ranked = df.groupBy(*scores).agg(F.count(F.lit(1)).alias("_rows"))
@@ -26,8 +23,6 @@ def global_rank(df: DataFrame, ranks: Mapping[str, str], score_combinations: int
         same_score = F.sum("_rows").over(Window.partitionBy(score))
         ranked = ranked.withColumn(name, up_to_here - same_score + 1)
     ranked = ranked.select(*[F.col(s).alias(f"_rank_{s}") for s in scores], *ranks)
-    if score_combinations <= BROADCAST_SCORES:
-        ranked = F.broadcast(ranked)
     same = F.lit(True)
     for s in scores:
         same = same & F.col(s).eqNullSafe(F.col(f"_rank_{s}"))

@@ -98,21 +98,27 @@ def column_values(
     return ordered.select("value")
 
 
-def column_value_list(df: DataFrame | None, column: str, default: list | None = None, ceiling: int = 1000, **options) -> list:
-    """``column_values`` as a list, for naming pivot columns; more than ``ceiling`` values is an error.
+def column_value_list(
+    df: DataFrame | None, column: str, max_records: int | None, default: list | None = None, **options
+) -> list:
+    """The first ``max_records`` of ``column_values`` as a list, for naming pivot columns; None takes all of them.
 
-    ``default`` is used when there is no table (``df`` is None) or it has no rows.
+    The caller answers for the size: ``pivot_long`` needs no list. ``default`` is used when there is no table
+    (``df`` is None) or it has no rows.
     """
     if df is None:
         if default is None:
             raise ValueError("the table does not exist and no default was given")
         return default
-    rows = column_values(df, column, **options).limit(ceiling + 1).collect()
-    if len(rows) > ceiling:
-        raise ValueError(f"column {column} has more than {ceiling} values")
+    rows = column_values(df, column, max_records=max_records, **options).collect()
     return [row["value"] for row in rows] or (default if default is not None else [])
 
 
+def pivot_long(df: DataFrame, group_by: Sequence[str], column: str, *aggregates: Column) -> DataFrame:
+    """The cells of a pivot as rows (group, value, aggregates): any number of values, nothing on the driver."""
+    return df.groupBy(*[quoted(name) for name in group_by], quoted(column).alias("value")).agg(*aggregates)
+
+
 def pivot_columns(
     column: str,
     values: Sequence,

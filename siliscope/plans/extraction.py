@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,14 +101,18 @@ def _with_specs(pages: DataFrame) -> DataFrame:
     def named(p: Column) -> Column:
         return (F.col("source") != VEDANT) | ((p["key"] != "") & (p["key"] != SPEC_HEADING))
 
-    last = "filter(_pairs, (p, i) -> NOT exists(slice(_pairs, i + 2, size(_pairs)), later -> later.key = p.key))"
+    # Of the rows in order of key and place, the last of each key.
+    ranked = "array_sort(transform(_pairs, (p, i) -> named_struct('key', p.key, 'place', i, 'value', p.value)))"
+    ends = "filter(_ranked, (p, i) -> i + 1 = size(_ranked) OR NOT (get(_ranked, i + 1).key <=> p.key))"
+    last = f"transform({ends}, p -> named_struct('key', p.key, 'value', p.value))"
     return (
         pages.withColumn("_table", F.expr(table))
         .withColumn("_cells", F.expr(cells))
         .withColumn("_texts", F.expr(texts))
         .withColumn("_pairs", F.filter(F.transform("_texts", pair), named))
+        .withColumn("_ranked", F.expr(ranked))
         .withColumn("specs", F.map_from_entries(F.expr(last)))
-        .drop("_table", "_cells", "_texts", "_pairs")
+        .drop("_table", "_cells", "_texts", "_pairs", "_ranked")
     )
 
 
@@ -141,7 +145,10 @@ def combo_filter(records: DataFrame, name: str = "name") -> DataFrame:
 
 
 def base_record(parsed: DataFrame) -> DataFrame:
-    """Bronze records: bundles are left out, and a specification row replaces a base column of the same name."""
+    """Bronze records: bundles are left out, and a specification row replaces a base column of the same name.
+
+    ``resource`` is the category of the crawl; no row of a page changes it.
+    """
     name, category = F.col("name"), F.col("category")
     base = {
         "name": name,
@@ -157,6 +164,7 @@ def base_record(parsed: DataFrame) -> DataFrame:
         clean_price(F.col("price_text")).alias("price_inr"),
         "highlights",
         "specs",
+        category.alias("resource"),
     )
 
 
@@ -165,10 +173,14 @@ def extract_products(pages: DataFrame) -> DataFrame:
     return base_record(parsed_pages(pages))
 
 
-def specs_to_columns(records: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The map as one column per requested key; a base column of that name is kept as it is."""
+def specs_to_columns(records: DataFrame, keys: Sequence[str], keep_map: bool = False) -> DataFrame:
+    """The map as one column per requested key; a base column of that name is kept as it is.
+
+    ``keep_map`` keeps the map beside them, with the keys that are not asked for.
+    """
     missing = [k for k in keys if k not in records.columns]
-    return records.select("*", *[F.element_at("specs", F.lit(k)).alias(k) for k in missing]).drop("specs")
+    wide = records.select("*", *[F.element_at("specs", F.lit(k)).alias(k) for k in missing])
+    return wide if keep_map else wide.drop("specs")
 
 
 def spec_key_census(records: DataFrame) -> DataFrame:
@@ -215,19 +227,22 @@ def cap_links(links: Column, most: Column | int) -> Column:
     return F.when(cap.isNull(), links).otherwise(F.slice(links, F.lit(1), F.coalesce(cap, F.lit(1))))
 
 
-def listing_links(listings: DataFrame) -> DataFrame:
+def listing_links(
+    listings: DataFrame, caps: Mapping[str, int] | None = None, uncapped: Sequence[tuple[str, str]] = ()
+) -> DataFrame:
     """listings(page_id, source, category, html) to (page_id, source, category, position, href, text).
 
-    Bundles are left out before the cap counts. Everything happens inside the row, before it is exploded.
+    All product links by the rule of the site. ``caps`` limits the links of a listing by category, as a crawl does
+    (``LINK_CAPS``), but for the ``uncapped`` pairs of source and category. Bundles are left out before a cap counts. Everything happens inside the row, before it is exploded.
     """
     source, category = F.col("source"), F.col("category")
-    caps = F
-    for site, kind in UNCAPPED_LINKS:
-        caps = caps.when((source == site) & (category == kind), F.lit(None).cast("int"))
-    for kind, cap in LINK_CAPS.items():
-        caps = caps.when(category == kind, cap)
-    caps = caps.otherwise(F.lit(None).cast("int"))
     found = _with_links(_visible(listings))
     kept = found.withColumn("links", F.filter("links", lambda link: ~is_combo(link["text"], category)))
-    capped = kept.withColumn("links", cap_links(F.col("links"), caps))
-    return _exploded(capped, ["page_id", "source", "category"])
+    if caps:
+        most = F
+        for site, kind in uncapped:
+            most = most.when((source == site) & (category == kind), F.lit(None).cast("int"))
+        for kind, cap in caps.items():
+            most = most.when(category == kind, cap)
+        kept = kept.withColumn("links", cap_links(F.col("links"), most.otherwise(F.lit(None).cast("int"))))
+    return _exploded(kept, ["page_id", "source", "category"])

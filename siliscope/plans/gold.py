@@ -31,10 +31,6 @@ WORKSTATION, GAMING, DEVOPS, ENTRY = (
 WORKSTATION_GAMING, WORKSTATION_DEV, GAMING_LEVEL, DEVOPS_LEVEL = 85, 80, 80, 60
 # End of fixed values.
 
-# Different values a score can take, from the lists above.
-_HARDWARE_SCORES = (len(GAMING_TIER) + 1) * (len(DEV_RAM) + 1) * (len(DEV_CPU) + 1)
-_RANKING_SCORES = (len(CODING_RAM) + 1) * (len(GAMING_RANK) + 1)
-
 
 def points_for_words(text: Column, scale: list[tuple[int, list[str]]], otherwise: int) -> Column:
     """Points of the first entry with one of its words in the text (case matters)."""
@@ -81,7 +77,7 @@ def scored_hardware(laptops: DataFrame) -> DataFrame:
 def fact_hardware_recommendations(laptops: DataFrame) -> DataFrame:
     """Laptops with scores, build category and a global rank by the sum of both scores."""
     scored = scored_hardware(laptops).withColumn("_total", F.col("gaming_tier_score") + F.col("dev_score"))
-    return global_rank(scored, {"global_rank": "_total"}, _HARDWARE_SCORES).drop("_total")
+    return global_rank(scored, {"global_rank": "_total"}).drop("_total")
 
 
 def not_laptop_filter(laptops: DataFrame) -> DataFrame:
@@ -112,4 +108,4 @@ def fact_laptop_rankings(laptops: DataFrame) -> DataFrame:
         points_for_words(gpu, GAMING_RANK, GAMING_RANK_ELSE).alias("_rtx"),
     )
     ranks = {"coding_rank": "_memory", "gaming_rank": "_rtx"}
-    return global_rank(scored, ranks, _RANKING_SCORES).drop("_memory", "_rtx")
+    return global_rank(scored, ranks).drop("_memory", "_rtx")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.products import extract_gen, value_score
@@ -43,14 +43,9 @@ def scored_catalog(catalog: DataFrame) -> DataFrame:
 def value_topk(catalog: DataFrame, k: int = TOP_PER_CATEGORY) -> DataFrame:
     """The k products of each category with the highest value score; ties by name and URL.
 
-    The categories are a short fixed list, so each one is an ordered limit of
-    its own: a task keeps k rows instead of sorting its share, and only those
-    rows move. The filter on the category reaches the folders of the bronze
-    data, or leaves only one branch of the union.
+    Whatever categories there are. The filter on the place becomes a group limit
+    below the shuffle: a task sends k rows of each category.
     """
     best = [F.col("value_score").desc_nulls_last(), F.col("name").asc_nulls_last(), F.col("url").asc_nulls_last()]
-    scored = scored_catalog(catalog)
-    parts = [
-        scored.filter(F.col("category") == category).orderBy(*best).limit(k) for category in CATALOG_CATEGORIES.values()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    place = F.row_number().over(Window.partitionBy("category").orderBy(*best))
+    return scored_catalog(catalog).withColumn("_place", place).filter(F.col("_place") <= k).drop("_place")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import latest_snapshot
@@ -32,29 +32,34 @@ def ingest(pages: DataFrame, bronze_path: str, loaded_at: Column | None = None)
 def sync(
     spark: SparkSession, bronze_path: str, tables_path: str, by_category: bool = True, latest_only: bool = False
 ) -> DataFrame:
-    """Replace the product tables from the bronze history and report sent and stored rows of each.
+    """Replace the product tables from the bronze history and report read, dropped, sent and stored rows of each.
 
     With ``by_category=False`` every table holds the records of all categories;
     ``latest_only`` keeps the last record of each URL. An empty history
     replaces nothing and gives an empty report.
     """
-    bronze = specs_to_columns(B.read_partitioned_bronze(spark, bronze_path), MODEL_KEYS)
+    bronze = specs_to_columns(B.read_partitioned_bronze(spark, bronze_path), MODEL_KEYS, keep_map=True)
     if bronze.isEmpty():
-        return spark.createDataFrame([], "table_name string, rows_sent bigint, rows_stored bigint, matches boolean")
+        counts = "rows_read bigint, dropped_null_name bigint, dropped_no_price bigint"
+        return spark.createDataFrame([], f"table_name string, {counts}, rows_sent bigint, rows_stored bigint, matches boolean")
 
-    def cleaned(category: str | None) -> DataFrame:
-        # The category comes first: it skips folders, and each history is put in order only once.
-        rows = bronze if category is None else bronze.filter(F.col("category") == category)
-        return silver.sync_clean(latest_snapshot(rows, "loaded_at") if latest_only else rows)
+    def cleaned(category: str | None) -> tuple[DataFrame, Observation]:
+        # The resource comes first: it skips folders, and each history is put in order only once.
+        rows = bronze if category is None else bronze.filter(F.col(B.RESOURCE) == category)
+        return silver.sync_clean_observed(latest_snapshot(rows, "loaded_at") if latest_only else rows)
 
-    audits, everything = [], None
+    audits, everything, seen = [], None, None
     for name, category in PRODUCT_TABLES.items():
         path = f"{tables_path}/{name}"
-        rows = cleaned(category) if by_category else (cleaned(None) if everything is None else everything)
+        if by_category or everything is None:
+            rows, seen = cleaned(category if by_category else None)
+        else:
+            rows = everything
         audit = B.refresh_audit(rows, path)
         if not by_category and everything is None:
             everything = spark.read.schema(rows.schema).parquet(path)
-        audits.append(audit.select(F.lit(name).alias("table_name"), "*"))
+        dropped = [F.lit(seen.get[count]).cast("long").alias(count) for count in silver.DROP_COUNTS]
+        audits.append(audit.select(F.lit(name).alias("table_name"), *dropped, "*"))
     out = audits[0]
     for audit in audits[1:]:
         out = out.union(audit)

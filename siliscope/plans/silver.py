@@ -14,6 +14,7 @@ RTX_MARK = "rtx"
 NAME_PREFIX = 50
 DEFAULT_RAM_GB = 8
 UPDATED_AT = "dbt_updated_at"
+DROP_COUNTS = ["rows_read", "dropped_null_name", "dropped_no_price"]
 # End of fixed values.
 
 
@@ -97,13 +98,16 @@ def stg_laptops(
     default_cpu: str | None = None,
     with_weight: bool = False,
     updated_at: Column | None = None,
+    name_prefix: int | None = NAME_PREFIX,
 ) -> DataFrame:
     """Laptops with descriptions in lower case and typed memory size.
 
+    Without a processor the first ``name_prefix`` characters of the name describe it, with None the whole name.
+
     ``default_ram_gb=0``, ``default_cpu='unknown cpu'`` and ``with_weight`` give the older form of the view.
     """
     name, cpu = F.col("name"), column_or_null(laptops, "cpu")
-    described = [cpu, F.left(name, F.lit(NAME_PREFIX))]
+    described = [cpu, name if name_prefix is None else F.left(name, F.lit(name_prefix))]
     if default_cpu is not None:
         described.append(F.lit(default_cpu))
     graphics = [column_or_null(laptops, c) for c in ("graphics_card", "gpu", "integrated_graphics")]

@@ -13,7 +13,7 @@ from ..operators import reshape as R
 from ..operators.dedupe import deduplicate
 from ..operators.scalar import get_single_value
 from ..operators.series import date_spine, generate_series, intervals_between
-from ..sources.tables import read_spread, read_table, tables_by_prefix, union_tables_by_pattern
+from ..sources.tables import read_table, tables_by_prefix, union_tables_by_pattern
 from .base import Registry
 
 QUERIES = Registry()
@@ -117,7 +117,7 @@ def pivot(spark, folder):
 )
 def pivot_values_from_table(spark, folder):
     orders = read_table(spark, folder, "orders")
-    priorities = R.column_value_list(orders, "o_orderpriority", ceiling=50)
+    priorities = R.column_value_list(orders, "o_orderpriority", max_records=50)
     return R.pivot(
         orders, ["o_custkey"], "o_orderpriority", priorities,
         agg="count", distinct=True, then_value="o_orderstatus", else_value=None, quote_identifiers=False,
@@ -160,23 +160,29 @@ def union_relations(spark, folder):
 @QUERIES.add(
     "union_tables_by_pattern",
     """SELECT 'shop_events_click' AS source_table, event_id, user_id, value FROM events WHERE event_type = 'click'
-  UNION ALL SELECT 'shop_events_view', event_id, user_id, NULL FROM events WHERE event_type = 'view'""",
+  UNION ALL SELECT 'shop_events_rest', event_id, user_id, value FROM events WHERE event_type NOT IN ('click', 'view', 'error')
+  UNION ALL SELECT 'shop_events_view', event_id, user_id, NULL FROM events WHERE event_type = 'view'
+  UNION ALL SELECT 'shop_events_was_error', event_id, NULL, NULL FROM events WHERE event_type = 'error'""",
 )
 def union_by_pattern(spark, folder):
     events = read_table(spark, folder, "events")
     events.filter("event_type = 'click'").select("event_id", "user_id", "value").createOrReplaceTempView("shop_events_click")
     events.filter("event_type = 'view'").select("event_id", "user_id").createOrReplaceTempView("shop_events_view")
-    events.filter("event_type = 'error'").select("event_id").createOrReplaceTempView("shop_events_error")
-    return union_tables_by_pattern(spark, "SHOP_events%", exclude="%error", source_column_name="source_table")
+    rest = events.filter("event_type NOT IN ('click', 'view', 'error')").select("event_id", "user_id", "value")
+    rest.createOrReplaceTempView("shop_events_rest")
+    errors = events.filter("event_type = 'error'").select("event_id")
+    errors.createOrReplaceTempView("shop_events_was_error")
+    errors.createOrReplaceTempView("shop_events_error")
+    return union_tables_by_pattern(spark, "SHOP_events%", exclude="%events_error", source_column_name="source_table")
 
 
 @QUERIES.add(
     "union_tables_by_prefix",
-    "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'O')",
+    "SELECT o_orderkey, o_orderstatus FROM orders",
 )
 def union_by_prefix(spark, folder):
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
-    for status in ("F", "O"):
+    for status in ("F", "O", "P"):
         orders.filter(F.col("o_orderstatus") == status).createOrReplaceTempView(f"status_orders_{status}")
     relations = {name: spark.table(name) for name in tables_by_prefix(spark, "status_orders_")}
     return R.union_relations(relations, source_column_name=None)
@@ -386,12 +392,21 @@ def parameters(spark, folder):
 @QUERIES.add(
     "slugify",
     """SELECT doc_id, coalesce(regexp_replace(regexp_replace(regexp_replace(lower(t), '[ -]+', '_', 'g'), '[^a-z0-9_]+', '', 'g'), '^([0-9])', '_\\1'), '') AS slug
-  FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN doc_id || '-' || text WHEN doc_id % 7 = 0 THEN NULL ELSE text END AS t FROM documents)""",
+  FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN doc_id || '-' || text ELSE text END AS t FROM documents
+    UNION ALL SELECT NULL, NULL FROM documents)""",
 )
 def slugs(spark, folder):
-    text = (
-        F.when(F.col("doc_id") % 3 == 0, F.concat_ws("-", F.col("doc_id").cast("string"), "text"))
-        .when(F.col("doc_id") % 7 == 0, F.lit(None))
-        .otherwise(F.col("text"))
-    )
-    return read_spread(spark, folder, "documents", "doc_id").select("doc_id", slugify(text).alias("slug"))
+    documents = read_table(spark, folder, "documents")
+    numbered = F.concat_ws("-", F.col("doc_id").cast("string"), "text")
+    texts = documents.select("doc_id", F.when(F.col("doc_id") % 3 == 0, numbered).otherwise(F.col("text")).alias("t"))
+    missing = documents.select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("t"))
+    return texts.union(missing).select("doc_id", slugify(F.col("t")).alias("slug"))
+
+
+@QUERIES.add(
+    "pivot_long",
+    "SELECT l_returnflag, l_partkey AS value, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1, 2",
+)
+def pivot_long(spark, folder):
+    lines = read_table(spark, folder, "lineitem")
+    return R.pivot_long(lines, ["l_returnflag"], "l_partkey", F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"))

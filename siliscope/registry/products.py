@@ -12,7 +12,7 @@ from ..plans import gold, market, refresh, silver
 from ..session import scratch_path
 from ..sources import bronze as B
 from ..sources.derived import derived_catalogue, listing_pages, product_pages
-from ..sources.tables import Sources, read_spread, read_table
+from ..sources.tables import Sources, read_table
 from ..streaming.incremental import incremental_sync
 from .base import Registry, catalogue, over_catalogue
 
@@ -31,11 +31,11 @@ def _labels(labels: dict[str, list[str]], otherwise: str) -> str:
     return f"CASE {cases} ELSE '{otherwise}' END"
 
 
-def _word_points(column: str, scale: list[tuple[int, list[str]]], otherwise) -> str:
+def _word_points(column: str, scale: list[tuple[int, list[str]]], otherwise: int, more: str = "") -> str:
     cases = " ".join(
         "WHEN " + " OR ".join(f"contains({column}, '{word}')" for word in words) + f" THEN {points}" for points, words in scale
     )
-    return f"CASE {cases} ELSE {otherwise} END"
+    return f"CASE {cases} {more} ELSE {otherwise} END"
 
 
 def _size_points(column: str, scale: list[tuple[int, int]], otherwise: int) -> str:
@@ -57,9 +57,17 @@ _SCORED = f"""scored AS (SELECT laptop_name, brand, cpu_description, ram_gb, gpu
   {_word_points("gpu_description", gold.GAMING_TIER, gold.GAMING_TIER_ELSE)} AS gaming_tier_score,
   {_size_points("ram_gb", gold.DEV_RAM, gold.DEV_RAM_ELSE)} + {_word_points("cpu_description", gold.DEV_CPU, gold.DEV_CPU_ELSE)} AS dev_score
   FROM stg)"""
-_BUILD = f"""CASE WHEN least(gaming_tier_score - {gold.WORKSTATION_GAMING}, dev_score - {gold.WORKSTATION_DEV}) >= 0 THEN '{gold.WORKSTATION}'
+_BUILD = f"""CASE WHEN gaming_tier_score >= {gold.WORKSTATION_GAMING} AND dev_score >= {gold.WORKSTATION_DEV} THEN '{gold.WORKSTATION}'
   WHEN gaming_tier_score >= {gold.GAMING_LEVEL} THEN '{gold.GAMING}'
   WHEN dev_score >= {gold.DEVOPS_LEVEL} THEN '{gold.DEVOPS}' ELSE '{gold.ENTRY}' END AS build_category"""
+_WEAK_GPU = f"""WHEN gpu_description = '{gold.GAMING_NO_GPU}' OR contains(gpu_description, '{gold.GAMING_INTEGRATED}')
+  THEN {gold.GAMING_INTEGRATED_POINTS}"""
+
+
+def _no_mark(column: str) -> str:
+    return " AND ".join(f"NOT contains({column}, '{mark}')" for mark in gold.NOT_LAPTOP_MARKS)
+
+
 _MASTER = " UNION ALL ".join(
     f"SELECT name, price_inr, url, '{c}' AS category FROM catalogue WHERE category = '{c}' AND {_CLEAN}"
     for c in ("laptop", "cpu", "gpu", "ram")
@@ -95,7 +103,7 @@ def _stg_laptops(spark, folder):
 
 
 def _pages(spark, folder):
-    return product_pages(derived_catalogue(read_spread(spark, folder, "part", "p_partkey")))
+    return product_pages(derived_catalogue(read_table(spark, folder, "part")))
 
 
 # --- storage ---
@@ -106,13 +114,13 @@ def _pages(spark, folder):
     over_catalogue(
         """SELECT name, CAST(price_inr AS VARCHAR) AS price_inr, url, cores, NULL::VARCHAR AS memory_size
   FROM catalogue WHERE category = 'cpu'
-  UNION ALL SELECT name, CAST(price_inr AS VARCHAR), url, NULL, memory_type FROM catalogue WHERE category = 'gpu'"""
+  UNION ALL SELECT name, CAST(price_inr AS VARCHAR), url, NULL, memory_type FROM catalogue WHERE category <> 'cpu'"""
     ),
 )
 def read_bronze(spark, folder):
     rows, root = catalogue(spark, folder), scratch_path(spark, "read-bronze")
     cpus = rows.filter("category = 'cpu'").select("name", "price_inr", "url", "cores")
-    gpus = rows.filter("category = 'gpu'")
+    gpus = rows.filter("category <> 'cpu'")
     gpus = gpus.select("name", F.col("price_inr").cast("string"), "url", F.col("memory_type").alias("memory_size"))
     cpus.write.parquet(f"{root}/cpu_details")
     gpus.write.parquet(f"{root}/gpu_details")
@@ -216,7 +224,7 @@ def latest(spark, folder):
   '&nbsp;', ' '), '&quot;', '"'), '&#x27;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS name FROM pages""",
 )
 def extract_name(spark, folder):
-    return X.extract_name(read_spread(spark, folder, "pages", "page_id"))
+    return X.extract_name(read_table(spark, folder, "pages"))
 
 
 @QUERIES.add(
@@ -227,7 +235,7 @@ def extract_name(spark, folder):
     (SELECT page_id, regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1), '<a href=.*?</a>') AS a FROM pages))""",
 )
 def extract_links(spark, folder):
-    return X.element_links(read_spread(spark, folder, "pages", "page_id"), "nav")
+    return X.element_links(read_table(spark, folder, "pages"), "nav")
 
 
 @QUERIES.add(
@@ -241,6 +249,18 @@ def extract_links(spark, folder):
     ),
 )
 def cap_links(spark, folder):
+    return X.listing_links(listing_pages(catalogue(spark, folder)), X.LINK_CAPS, X.UNCAPPED_LINKS)
+
+
+@QUERIES.add(
+    "listing_links",
+    over_catalogue(
+        f"""SELECT page_id, source, category, CAST(row_number() OVER (PARTITION BY page_id, source, category ORDER BY item_id) - 1 AS INTEGER)
+    AS position, url || '?a=1&b=2' AS href, n AS text FROM (
+    SELECT *, coalesce(name, '') AS n, CAST(floor(item_id / 400) AS BIGINT) AS page_id FROM catalogue) WHERE {_NOT_COMBO}"""
+    ),
+)
+def listing_links(spark, folder):
     return X.listing_links(listing_pages(catalogue(spark, folder)))
 
 
@@ -323,7 +343,7 @@ _RECORD = f"""SELECT c.name, c.url, c.source, c.category,
     over_catalogue(f"SELECT name, url, source, category, brand, form_factor, price_inr, highlights FROM ({_RECORD})"),
 )
 def base_records(spark, folder):
-    return X.extract_products(_pages(spark, folder)).drop("specs")
+    return X.extract_products(_pages(spark, folder)).drop("specs", "resource")
 
 
 @QUERIES.add(
@@ -439,13 +459,21 @@ def stg_laptops(spark, folder):
     over_catalogue(
         f"""SELECT name AS laptop_name, brand, source AS website_source, lower(coalesce(cpu, left(name, 50), 'unknown cpu')) AS cpu_description,
   coalesce(TRY_CAST(regexp_extract(memory_type, '(\\d+)', 1) AS INTEGER), 0) AS ram_gb, NULL::VARCHAR AS weight
-  FROM catalogue WHERE category = 'laptop' AND {_CLEAN}"""
+  , lower(gpu) AS gpu_description FROM catalogue WHERE {_CLEAN}"""
     ),
 )
 def stg_laptops_older(spark, folder):
-    laptops = silver.sync_table(catalogue(spark, folder), "laptop")
+    laptops = silver.sync_table(catalogue(spark, folder))
     older = silver.stg_laptops(laptops, default_ram_gb=0, default_cpu="unknown cpu", with_weight=True)
-    return older.drop("gpu_description", silver.UPDATED_AT)
+    return older.drop(silver.UPDATED_AT)
+
+
+@QUERIES.add(
+    "stg_laptops_whole_name", over_catalogue(f", {_LAPTOPS.replace('left(name, 50)', 'name')} SELECT * FROM stg")
+)
+def stg_laptops_whole_name(spark, folder):
+    laptops = silver.sync_table(catalogue(spark, folder))
+    return silver.stg_laptops(laptops, name_prefix=None).drop(silver.UPDATED_AT)
 
 
 # --- gold ---
@@ -459,7 +487,7 @@ def build_category(spark, folder):
 @QUERIES.add(
     "not_laptop_filter",
     over_catalogue(
-        f"SELECT name AS laptop_name FROM catalogue WHERE {_CLEAN} AND NOT regexp_matches(name, 'Monitor|Graphics Card|Processor')"
+        f"SELECT name AS laptop_name FROM catalogue WHERE {_CLEAN} AND {_no_mark('name')}"
     ),
 )
 def not_laptop_filter(spark, folder):
@@ -480,12 +508,11 @@ def fact_hardware_recommendations(spark, folder):
     "fact_laptop_rankings",
     over_catalogue(
         f""", {_LAPTOPS}, points AS (SELECT *, {_size_points("ram_gb", gold.CODING_RAM, gold.CODING_RAM_ELSE)} AS memory,
-    {_word_points("gpu_description", gold.GAMING_RANK, gold.GAMING_RANK_ELSE)} AS rtx,
-    CASE WHEN gpu_description = 'no' OR contains(gpu_description, 'integrated') THEN 1 ELSE 3 END AS weakest
-    FROM stg WHERE NOT regexp_matches(laptop_name, 'Monitor|Graphics Card|Processor'))
+    {_word_points("gpu_description", gold.GAMING_RANK, gold.GAMING_RANK_ELSE)} AS rtx
+    FROM stg WHERE {_no_mark("laptop_name")})
   SELECT laptop_name, brand, cpu_description, ram_gb, gpu_description, website_source,
     memory + {_word_points("cpu_description", gold.CODING_CPU, gold.CODING_CPU_ELSE)} AS coding_score,
-    {_word_points("gpu_description", gold.GAMING_GPU, "weakest")} AS gaming_score,
+    {_word_points("gpu_description", gold.GAMING_GPU, gold.GAMING_GPU_ELSE, _WEAK_GPU)} AS gaming_score,
     RANK() OVER (ORDER BY memory DESC) AS coding_rank, RANK() OVER (ORDER BY rtx DESC) AS gaming_rank FROM points"""
     ),
 )
@@ -525,6 +552,12 @@ def value_topk(spark, folder):
     return market.value_topk(market.master_catalog_from_bronze(clean))
 
 
+@QUERIES.add("value_topk_all_categories", over_catalogue(_top_sql(f"SELECT name, price_inr, url, category FROM catalogue WHERE {_CLEAN}")))
+def value_topk_all_categories(spark, folder):
+    clean = silver.sync_clean(catalogue(spark, folder))
+    return market.value_topk(clean.select("name", "price_inr", "url", "category"))
+
+
 # --- from pages to the report ---
 
 
@@ -543,7 +576,9 @@ _STORED = f"SELECT * FROM ({_RECORD}) WHERE price_inr > 0"
     "full_refresh_audit",
     over_catalogue(
         f"""SELECT CASE category WHEN 'cpu' THEN 'cpus' WHEN 'gpu' THEN 'gpus' WHEN 'laptop' THEN 'laptops' WHEN 'monitor' THEN 'monitors' ELSE 'ram' END AS table_name,
-  count(*) AS rows_sent, count(*) AS rows_stored, true AS matches FROM ({_STORED}) GROUP BY 1"""
+  count(*) AS rows_read, count(*) FILTER (name IS NULL) AS dropped_null_name, count(*) FILTER (price_inr <= 0) AS dropped_no_price,
+  count(*) FILTER (price_inr > 0) AS rows_sent, count(*) FILTER (price_inr > 0) AS rows_stored, true AS matches
+  FROM ({_RECORD}) GROUP BY 1"""
     ),
 )
 def full_refresh_audit(spark, folder):

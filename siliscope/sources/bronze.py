@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.reshape import quoted
 
+# Records that name the crawl they come from are stored by it: a page cannot change that column.
+RESOURCE = "resource"
 PARTITIONS = ["category", "source"]
 # Integer types from narrow to wide; mixed with a fraction they become double.
 _INTEGERS = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
@@ -31,15 +34,24 @@ def widest_type(kinds: Sequence[T.DataType]) -> T.DataType:
     return T.StringType()
 
 
+def _resource(spark: SparkSession, path: str) -> DataFrame:
+    """One folder: with its partition columns, or, if its files lie in plain subfolders, all of them."""
+    reader = spark.read.option("mergeSchema", "true")
+    try:
+        return reader.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return reader.option("recursiveFileLookup", "true").parquet(path)
+
+
 def read_bronze(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """All records below the given folders, matched by column name.
 
     Each folder is one resource with its own columns. A column that is missing
     in a folder is NULL there; one that differs in type is read as the wider type.
     """
-    parts = [
-        spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(path) for path in paths
-    ]
+    parts = [_resource(spark, path) for path in paths]
     kinds: dict[str, list[T.DataType]] = {}
     names: dict[str, str] = {}
     for part in parts:
@@ -57,17 +69,18 @@ def read_bronze(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def write_bronze(records: DataFrame, path: str, mode: str = "append") -> None:
-    """Append records below ``path``, one folder per category and source.
+    """Append records below ``path``, one folder per resource, or per category and source without that column.
 
     Rebalancing gives each folder few, even files, and splits the folder of a
     source that holds most of the rows.
     """
-    records.hint("rebalance", *PARTITIONS).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
+    folders = [RESOURCE] if RESOURCE in records.columns else PARTITIONS
+    records.hint("rebalance", *folders).write.mode(mode).partitionBy(*folders).parquet(path)
 
 
 def read_partitioned_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """The dataset that ``write_bronze`` makes; filters on category and source skip folders."""
-    return spark.read.parquet(path)
+    """The dataset that ``write_bronze`` makes, with the columns of all appends; filters on the folder columns skip folders."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def refresh_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:

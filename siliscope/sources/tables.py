@@ -24,16 +24,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def read_spread(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
-    """A table for work that is heavy per row, such as taking pages apart.
-
-    An input with fewer splits than cores is small and is spread over all of
-    them by its key; an input with enough splits is left where it is.
-    """
-    table, cores = read_table(spark, folder, name), spark.sparkContext.defaultParallelism
-    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
-
-
 class Sources:
     """Named tables, read only when asked for."""
 

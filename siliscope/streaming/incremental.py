@@ -19,16 +19,18 @@ def incremental_sync(
     transform: Callable[[DataFrame], DataFrame] = sync_clean,
     path_glob: str | None = None,
     max_files_per_trigger: int = 10_000,
+    plain_subfolders: bool = False,
 ) -> DataFrame:
     """Process the files that arrived since the last run, append the result, and return the whole target.
 
     The run is stateless per row and stops when all files are done. The file
     sink commits each batch once, so a run that was cut off is repeated
-    without doubled rows.
+    without doubled rows. Folders named ``column=value`` give their columns;
+    ``plain_subfolders`` also reads folders with other names, without such columns.
     """
     reader = (
         spark.readStream.schema(schema)
-        .option("recursiveFileLookup", "true")
+        .option("recursiveFileLookup", str(plain_subfolders).lower())
         .option("maxFilesPerTrigger", max_files_per_trigger)
     )
     if path_glob is not None:

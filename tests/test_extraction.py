@@ -89,7 +89,7 @@ def test_specs_to_columns(spark):
 
 def _listing(spark, site, category, body):
     df = spark.createDataFrame([(1, site, category, body)], "page_id long, source string, category string, html string")
-    return [(r["position"], r["href"], r["text"]) for r in X.listing_links(df).orderBy("position").collect()]
+    return [(r["position"], r["href"], r["text"]) for r in X.listing_links(df, X.LINK_CAPS, X.UNCAPPED_LINKS).orderBy("position").collect()]
 
 
 def test_md_links_first_anchor_and_cap_after_combos(spark):
@@ -118,5 +118,5 @@ def test_extraction_stays_in_the_jvm_and_does_not_shuffle(spark, part):
     pages = product_pages(derived_catalogue(part))
     text = X.extract_products(pages)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in text and "Python" not in text
-    links = X.listing_links(listing_pages(derived_catalogue(part)))
+    links = X.listing_links(listing_pages(derived_catalogue(part)), X.LINK_CAPS, X.UNCAPPED_LINKS)
     assert "Python" not in links._jdf.queryExecution().executedPlan().toString()
