@@ -40,7 +40,7 @@ PERCENT = 80
 COLLECTION = 10
 HALF = 3
 TABLE = 16
-LINKED_TABLES = 4
+LINKED_TABLES = 8
 ROW_ENTRIES = 1024
 CHUNK = 8192
 
@@ -349,8 +349,14 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE, percent: int = PE
     crossing = stored(_crossing(left, sets, percent).join(pairs, ["x", "y"], "left_anti"), "crossing")
     more = stored(_confirmed(crossing, sets, percent), "links")
     if not more.isEmpty():
-        labels = components(links.union(more))
-
+        name = {end: labels.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}")) for end in ("x", "y")}
+        joined = more.join(name["x"], "x", "left").join(name["y"], "y", "left")
+        joined = components(joined.select(F.coalesce("of_x", "x").alias("x"), F.coalesce("of_y", "y").alias("y")))
+        # Nodes that had no link before are components of their own.
+        single = nodes.join(labels, "node", "left_anti").select("node", F.col("node").alias("component"))
+        later = joined.select(F.col("node").alias("component"), F.col("component").alias("top"))
+        labels = labels.union(single).join(later, "component", "left")
+        labels = stored(labels.select("node", F.coalesce("top", "component").alias("component")), "labels")
     named = classes.join(labels, "node", "left").select("digest", "first_id", F.coalesce("component", "node").alias("component"))
     names = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = named.join(names, "component").select("digest", "component_id")

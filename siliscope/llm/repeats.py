@@ -137,7 +137,7 @@ def _found_batch(marks: np.ndarray, open_: np.ndarray, parts=None, packed=None)
     """Marked fragments (name NULL), open fragments, and packed entries for a part."""
     both, extra = np.concatenate([marks, open_]), 0 if parts is None else len(parts)
     null = lambda kind, size: pa.nulls(size, kind)
-    spread = (both["whole"] % np.uint64(997)).astype(np.int32)
+    spread = (mix(both["doc"].astype(np.uint64) * STEP + both["start"]) % np.uint64(9973)).astype(np.int32)
     return pa.RecordBatch.from_arrays(
         [
             pa.concat_arrays([pa.array(spread), pa.array(parts if extra else [], pa.int32())]),
