@@ -1,7 +1,8 @@
 """Token counts: an exact histogram of encoded lengths, from which suffix sums answer every context limit.
 
-Each text is encoded once, in Arrow batches; what is shuffled is one row per length and task. The suffix sums go over
-the histogram in blocks of lengths, so no task sees more than one block or the list of blocks.
+Each text is encoded once, in Arrow batches; what is shuffled is one row per length and task. The counts are stored,
+as they are read twice and encoding is what costs time. The suffix sums go over the histogram in blocks of lengths, so
+no task sees more than one block or the list of blocks.
 
 A NULL or empty text has 0 tokens and counts as a document. Special token strings are ordinary text. Repeated rows count
 each. An empty table gives an empty histogram.
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import texts_for_python
+from .common import stored, texts_for_python
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MAX_VOCABULARY_BYTES = 64 << 20
@@ -57,6 +58,7 @@ def length_histogram(lengths: DataFrame, block: int = BLOCK) -> DataFrame:
     what remains of the corpus if every document is cut after L tokens; docs_below is the rank of L among the documents.
     """
     counts = lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
+    counts = stored(counts, "length-counts")
     counts = counts.withColumn("tokens", F.col("n_tokens") * F.col("n_docs")).withColumn("block", F.expr(f"n_tokens div {block}"))
     blocks = counts.groupBy("block").agg(F.sum("n_docs").alias("block_docs"), F.sum("tokens").alias("block_tokens"))
     later = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
