@@ -3,7 +3,8 @@
 A unit is normalised to small letters and digits; its distinct word bigrams are compared with those of the templates.
 Two sets can only reach the threshold t if their sizes differ by a factor of (2 - t) / t at most, so the number of
 bigrams decides which templates are candidates, and a unit that no template's bounds admit is not looked at further.
-A unit that passes must also share so many bigrams with the templates as the smallest candidate asks for.
+A unit that passes must also share so many bigrams with the templates as the smallest candidate asks for. Before words are
+cut, units that hold none of the words a match cannot do without are left aside.
 
 Only column expressions; rows are neither shuffled nor joined. The templates are literals of the plan: their number is
 fixed by the caller, not by the data.
@@ -16,6 +17,8 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,57 +124,84 @@ def bounds(size: int, threshold: float) -> tuple[int, int]:
     return math.ceil(size * threshold / (2 - threshold) - 1e-9), math.floor(size * (2 - threshold) / threshold + 1e-9)
 
 
-def units(documents: DataFrame) -> DataFrame:
-    """doc_id, unit, unit_no, words: lines, paragraphs of several lines, texts of several paragraphs."""
+def anchors(bigrams: list[str], threshold: float) -> set[str]:
+    """Words of a template of which a unit must hold one to reach the threshold.
+
+    A unit must share ``bounds(n)[0]`` of the n bigrams. The longest words are taken until fewer bigrams than that are
+    left without any of them.
+    """
+    least, chosen, left = bounds(len(bigrams), threshold)[0], set(), bigrams
+    for word in sorted({word for gram in bigrams for word in gram.split()}, key=lambda word: (-len(word), word)):
+        if len(left) < least:
+            break
+        chosen.add(word)
+        left = [gram for gram in left if word not in gram.split()]
+    return chosen
+
+
+def units(documents: DataFrame, holding: set[str] = frozenset()) -> DataFrame:
+    """doc_id, unit, unit_no, part: lines, paragraphs of several lines, texts of several paragraphs; of ``holding``, if
+    given, they hold at least one word."""
     text = F.lower(text_or_empty())
+    wanted = sorted(word for word in holding if not any(other != word and other in word for other in holding))
+
+    def held(part: Column) -> Column:
+        return reduce(or_, [part.contains(word) for word in wanted]) if wanted else F.lit(True)
 
-    def numbered(parts: Column, unit: str, wanted=lambda part: F.lit(True)) -> Column:
+    def numbered(parts: Column, unit: str, several=lambda part: F.lit(True)) -> Column:
         structs = F.transform(parts, lambda part, i: F.struct(F.lit(unit).alias("unit"), (i + 1).alias("unit_no"), part.alias("part")))
-        return F.filter(structs, lambda x: wanted(x["part"]))
+        return F.filter(structs, lambda x: several(x["part"]) & held(x["part"]))
 
-    several = F.concat(
+    every = F.concat(
         numbered(F.split(text, "\n"), "line"),
         numbered(F.split(text, r"\n[\x20\x09\r]*\n"), "paragraph", lambda part: part.contains("\n")),
         F.when(text.rlike(r"\n[\x20\x09\r]*\n"), numbered(F.array(text), "text")).otherwise(F.array()),
     )
-    table = documents.select("doc_id", F.explode(several).alias("u")).select("doc_id", "u.unit", "u.unit_no", "u.part")
-    cleaned = F.trim(F.regexp_replace("part", SEPARATOR, " "))
-    return table.select("doc_id", "unit", "unit_no", F.split(cleaned, " ").alias("words"))
+    table = documents.select("doc_id", "text").filter(held(text))
+    return table.select("doc_id", F.explode(every).alias("u")).select("doc_id", "u.unit", "u.unit_no", "u.part")
 
 
 def _member_of(grams: list[str]):
     return lambda gram: gram.isin(grams)
 
 
+def _wanted(table: DataFrame, value: Column, name: str, condition) -> DataFrame:
+    """The rows whose ``value`` meets the condition, with it as their last column.
+
+    A filter above a projection would be moved below it with a second copy of the expression; this one computes it once.
+    """
+    return table.select("doc_id", "unit", "unit_no", F.explode(F.filter(F.array(value), condition)).alias(name))
+
+
 def license_scan(documents: DataFrame, templates: dict[str, tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, unit, unit_no, licence, template, dice: the best template of every unit that reaches the threshold."""
     sets = {name: template_bigrams(text) for name, (_, text) in templates.items()}
     limits = {name: bounds(len(grams), threshold) for name, grams in sets.items()}
     every = sorted({gram for grams in sets.values() for gram in grams})
+    least, most = min(low for low, _ in limits.values()), max(high for _, high in limits.values())
 
+    table = units(documents, {word for grams in sets.values() for word in anchors(grams, threshold)})
+    words = F.split(F.trim(F.regexp_replace("part", SEPARATOR, " ")), " ")
+    table = _wanted(table, words, "words", lambda words: F.size(words) > least)
     pairs = F.size("words") - 1
-    table = units(documents).filter(pairs >= min(low for low, _ in limits.values()))
     first, second = F.slice("words", 1, pairs), F.slice("words", 2, pairs)
     grams = F.array_distinct(F.zip_with(first, second, lambda a, b: F.concat(a, F.lit(" "), b)))
-    table = table.select("doc_id", "unit", "unit_no", grams.alias("grams"))
-    size = F.size("grams")
-    table = table.filter(size.between(min(low for low, _ in limits.values()), max(high for _, high in limits.values())))
-    shared = F.filter("grams", _member_of(every))
-    table = table.select("doc_id", "unit", "unit_no", size.alias("size"), shared.alias("shared"))
-    table = table.filter(F.size("shared") >= min(low for low, _ in limits.values()))
+    table = _wanted(table, grams, "grams", lambda grams: F.size(grams).between(least, most))
+    shared = F.struct(F.size("grams").alias("size"), F.filter("grams", _member_of(every)).alias("grams"))
+    table = _wanted(table, shared, "shared", lambda shared: F.size(shared["grams"]) >= least)
 
     scores = []
     for name, grams in sets.items():
         low, high = limits[name]
-        common = F.size(F.filter("shared", _member_of(grams)))
-        dice = 2.0 * common / (F.col("size") + len(grams))
+        common = F.size(F.filter("shared.grams", _member_of(grams)))
+        dice = 2.0 * common / (F.col("shared.size") + len(grams))
         score = F.struct(
             dice.alias("dice"), F.lit(name).alias("template"), F.lit(templates[name][0]).alias("licence")
         )
-        scores.append(F.when(F.col("size").between(low, high), score))
+        scores.append(F.when(F.col("shared.size").between(low, high), score))
     matching = F.filter(F.array(*scores), lambda x: x.isNotNull() & (x["dice"] >= threshold))
     best = F.array_min(F.transform(matching, lambda x: F.struct((-x["dice"]).alias("least"), x["template"], x["licence"], x["dice"])))
-    table = table.select("doc_id", "unit", "unit_no", best.alias("best")).filter("best IS NOT NULL")
+    table = _wanted(table, best, "best", lambda best: best.isNotNull())
     return table.select("doc_id", "unit", "unit_no", "best.licence", "best.template", "best.dice")
 
 
