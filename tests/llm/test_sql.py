@@ -17,10 +17,11 @@ from siliscope.llm import licenses, mixing, quality_rules, queries, warc_store
 from siliscope.llm.common import scratch_path  # noqa: E402
 
 LINE = "This is a line of words that goes on for a while, and it ends as a sentence does. "
+OTHER = " ".join(f"Sentence {i} has the words w{i} and v{i}." for i in range(20))  # no three words come twice
 ROWS = [
     (1, None, "en", "a"), (2, "", "en", "a"), (3, " \n\t\n", None, None), (4, "one", "en", None), (4, "one", "en", None),
     (5, LINE * 400, "en", "b"), (6, LINE * 400, "en", "b"), (None, "Released under the MIT License.\n" + LINE * 5, "en", "a"),
-    (7, "a | b | c | d |\nHome\n" + LINE * 4, "de", "c"), (8, "ä é 文 \x00 mot! " * 30, "fr", "c"), (9, "word " * 300, "en", "b"),
+    (7, "a | b | c | d |\nHome\n" + OTHER, "de", "c"), (8, "ä é 文 \x00 mot! " * 30, "fr", "c"), (9, "word " * 300, "en", "b"),
     (10, "Licensed\nunder the Apache License,\nVersion 2.0.\n\n" + "All rights reserved.\n" * 3 + LINE, "en", "a"),
 ]
 
