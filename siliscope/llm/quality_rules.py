@@ -160,11 +160,16 @@ def quality_report(documents: DataFrame) -> DataFrame:
 
 
 def quality_clean(documents: DataFrame) -> DataFrame:
-    """The documents that are kept, without their bad lines; ``n_chars`` follows the text."""
+    """The documents that are kept, without their bad lines; ``n_chars`` follows the text.
+
+    Rejected rows leave through a generator: a filter would be moved below the projections with copies of their expressions.
+    """
     replaced = {"text": F.col("cleaned")}
     if "n_chars" in documents.columns:
         replaced["n_chars"] = F.char_length("cleaned").cast(documents.schema["n_chars"].dataType)
-    return unnested(judged(documents).filter("kept"), documents.columns, **replaced).select(*documents.columns)
+    verdict = F.array(F.struct(ROW, "cleaned", "kept"))
+    kept = judged(documents).select(F.explode(F.filter(verdict, lambda row: row["kept"])).alias("one")).select(f"one.{ROW}", "one.cleaned")
+    return unnested(kept, documents.columns, **replaced).select(*documents.columns)
 
 
 def _sql(pattern: str) -> str:
