@@ -16,6 +16,8 @@ their number has been counted against ``BROADCAST_SEEDS``; a larger benchmark is
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -150,19 +152,21 @@ def tiles(document: np.ndarray, item: np.ndarray, min_match: int = MIN_MATCH, st
         if longest > 2 * size:
             size = longest
             continue
-        for length, at, place in sorted(matches, key=lambda m: (-m[0], m[1], m[2])):
-            # What longer tiles have taken is cut off; pieces that are left come again in a later round.
-            if not (doc_marked[at : at + length].any() or item_marked[place : place + length].any()):
-                doc_marked[at : at + length] = True
-                item_marked[place : place + length] = True
-                laid.append((at, place, length))
-            else:
-                longest = max(longest, size)
-        again = bool(matches) and any(
-            not (doc_marked[at : at + size].any() or item_marked[place : place + size].any()) for _, at, place in matches
-        )
-        if again:
-            continue
+        # What longer tiles have taken is cut off a match; a free piece waits for its turn by its own length.
+        waiting = [(-length, at, place) for length, at, place in matches]
+        heapq.heapify(waiting)
+        while waiting:
+            length, at, place = heapq.heappop(waiting)
+            taken = doc_marked[at : at - length] | item_marked[place : place - length]
+            if not taken.any():
+                doc_marked[at : at - length] = True
+                item_marked[place : place - length] = True
+                laid.append((at, place, -length))
+                continue
+            edges = np.flatnonzero(np.diff(np.concatenate([[True], taken, [True]]).astype(np.int8)))
+            for begin, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+                if end - begin >= size:
+                    heapq.heappush(waiting, (begin - end, at + begin, place + begin))
         if size == min_match:
             return laid
         size = max(min_match, size // 2)

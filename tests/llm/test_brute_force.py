@@ -223,6 +223,48 @@ def test_decontamination(spark, tables):
     assert decontamination.contamination_report(tables["empty"], bench).count() == 0
 
 
+def plain_tiling(document, item, least):
+    """Greedy tiling by the definition: the longest free match, the first of equals, until none has ``least`` tokens."""
+    doc_free, item_free, laid = [True] * len(document), [True] * len(item), []
+    while True:
+        best = None
+        for at in range(len(document)):
+            for place in range(len(item)):
+                n = 0
+                while (
+                    at + n < len(document) and place + n < len(item) and document[at + n] == item[place + n]
+                    and doc_free[at + n] and item_free[place + n]
+                ):
+                    n += 1
+                if n >= least and (best is None or n > best[2]):
+                    best = (at, place, n)
+        if best is None:
+            return laid
+        at, place, n = best
+        doc_free[at : at + n], item_free[place : place + n] = [False] * n, [False] * n
+        laid.append(best)
+
+
+def test_tiles_match_plain_tiling():
+    rng = random.Random(5)
+    for _ in range(300):
+        letters = rng.choice([2, 3, 5])
+        document, item = ([rng.randrange(letters) for _ in range(rng.randint(1, 40))] for _ in range(2))
+        least = rng.choice([1, 2, 3, 5])
+        found = decontamination.tiles(np.array(document, np.uint64), np.array(item, np.uint64), least, rng.choice([4, 20]))
+        assert sorted(found) == sorted(plain_tiling(document, item, min(least, len(item)))), (document, item, least)
+
+
+def test_tail_of_an_overlapping_match_is_a_tile(spark):
+    item = [f"t{i}" for i in range(16)]
+    text = " ".join(item[:7] + ["some", "filler"] + item[5:12])
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    bench = spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")
+    (row,) = decontamination.contamination_report(docs, bench).collect()
+    assert (row.covered_tokens, row.n_tiles) == (12, 2)
+    assert decontamination.decontaminated(docs, bench).count() == 0
+
+
 def test_all_verbatim_passages_are_found(spark, data):
     docs, bench = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/benchmark.parquet")
     items = bench.collect()
