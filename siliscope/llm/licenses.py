@@ -1,4 +1,4 @@
-"""Licence scan: every line, paragraph and whole text against licence templates, by Dice coefficient over word bigrams.
+"""Licence scan: lines, paragraphs, whole texts and passages against licence templates, by Dice coefficient over word bigrams.
 
 A unit is normalised to small letters and digits; its distinct word bigrams are compared with those of the templates.
 Two sets can only reach the threshold t if their sizes differ by a factor of (2 - t) / t at most, so the number of
@@ -6,6 +6,11 @@ bigrams decides which templates are candidates, and a unit that no template's bo
 A unit that passes must also share so many bigrams with the templates as the smallest candidate asks for. Before words are
 cut, units that hold none of the words a match cannot do without are left aside.
 
+A passage is a run of words anywhere in a text: a licence of several paragraphs in a longer document, or a notice that shares
+its line with other words. It begins and ends with bigrams of its template, and its length follows the template's size bounds.
+The passages of a text do not overlap, and one inside a line, paragraph or text that is itself
+given under the same licence is not given again.
+
 Only column expressions; rows are neither shuffled nor joined. The templates are literals of the plan: their number is
 fixed by the caller, not by the data.
 
@@ -112,6 +117,7 @@ TEMPLATES = {
 
 # Letters of the scripts the templates are written in, and digits; everything else separates words.
 SEPARATOR = r"[^\p{L}\p{N}]+"
+BLANK_LINE = r"\n[\x20\x09\r]*\n"
 
 
 def template_bigrams(text: str) -> list[str]:
@@ -139,30 +145,57 @@ def anchors(bigrams: list[str], threshold: float) -> set[str]:
     return chosen
 
 
+def _holds(part: Column, holding: set[str]) -> Column:
+    """Whether the part holds one of the words; true if there are none."""
+    wanted = sorted(word for word in holding if not any(other != word and other in word for other in holding))
+    return reduce(or_, [part.contains(word) for word in wanted]) if wanted else F.lit(True)
+
+
+def texts_holding(documents: DataFrame, holding: set[str] = frozenset()) -> DataFrame:
+    """doc_id, part: the texts in small letters that hold a word of ``holding``; each is lowered once."""
+    lowered = F.filter(F.array(F.lower(text_or_empty())), lambda text: _holds(text, holding))
+    return documents.select("doc_id", F.explode(lowered).alias("part"))
+
+
 def units(documents: DataFrame, holding: set[str] = frozenset()) -> DataFrame:
     """doc_id, unit, unit_no, part: lines, paragraphs of several lines, texts of several paragraphs; of ``holding``, if
     given, they hold at least one word."""
-    text = F.lower(text_or_empty())
-    wanted = sorted(word for word in holding if not any(other != word and other in word for other in holding))
-
-    def held(part: Column) -> Column:
-        return reduce(or_, [part.contains(word) for word in wanted]) if wanted else F.lit(True)
+    text = F.col("part")
 
     def numbered(parts: Column, unit: str, several=lambda part: F.lit(True)) -> Column:
         structs = F.transform(parts, lambda part, i: F.struct(F.lit(unit).alias("unit"), (i + 1).alias("unit_no"), part.alias("part")))
-        return F.filter(structs, lambda x: several(x["part"]) & held(x["part"]))
+        return F.filter(structs, lambda x: several(x["part"]) & _holds(x["part"], holding))
 
     every = F.concat(
         numbered(F.split(text, "\n"), "line"),
-        numbered(F.split(text, r"\n[\x20\x09\r]*\n"), "paragraph", lambda part: part.contains("\n")),
-        F.when(text.rlike(r"\n[\x20\x09\r]*\n"), numbered(F.array(text), "text")).otherwise(F.array()),
+        numbered(F.split(text, BLANK_LINE), "paragraph", lambda part: part.contains("\n")),
+        F.when(text.rlike(BLANK_LINE), numbered(F.array(text), "text")).otherwise(F.array()),
     )
-    table = documents.select("doc_id", "text").filter(held(text))
+    table = texts_holding(documents, holding)
     return table.select("doc_id", F.explode(every).alias("u")).select("doc_id", "u.unit", "u.unit_no", "u.part")
 
 
-def _member_of(grams: list[str]):
-    return lambda gram: gram.isin(grams)
+def _words(part: Column) -> Column:
+    return F.split(F.trim(F.regexp_replace(part, SEPARATOR, " ")), " ")
+
+
+def _pairs(words: Column) -> Column:
+    """The bigrams of the words, in order."""
+    pairs = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(F.slice(words, 1, pairs), F.slice(words, 2, pairs), lambda a, b: F.concat(a, F.lit(" "), b))
+
+
+def _in(gram: str, grams: list[str]) -> str:
+    return f"{gram} IN ({', '.join(map(_quoted, grams))})"
+
+
+def _with(value: str, name: str, result: str) -> str:
+    """``result``, in which the name stands for the value, which is computed once."""
+    return f"transform(array({value}), {name} -> {result})[0]"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
 
 
 def _wanted(table: DataFrame, value: Column, name: str, condition) -> DataFrame:
@@ -170,43 +203,111 @@ def _wanted(table: DataFrame, value: Column, name: str, condition) -> DataFrame:
 
     A filter above a projection would be moved below it with a second copy of the expression; this one computes it once.
     """
-    return table.select("doc_id", "unit", "unit_no", F.explode(F.filter(F.array(value), condition)).alias(name))
+    kept = [column for column in ("doc_id", "unit", "unit_no", "part", "grams") if column in table.columns and column != name]
+    return table.select(*kept, F.explode(F.filter(F.array(value), condition)).alias(name))
+
+
+class _Templates:
+    """The templates as sets of bigrams, with what follows from the threshold."""
+
+    def __init__(self, templates: dict[str, tuple[str, str]], threshold: float):
+        self.licences = {name: licence for name, (licence, _) in templates.items()}
+        self.threshold = threshold
+        self.sets = {name: template_bigrams(text) for name, (_, text) in templates.items()}
+        self.limits = {name: bounds(len(grams), threshold) for name, grams in self.sets.items()}
+        self.lengths = {name: window_lengths(text, threshold) for name, (_, text) in templates.items()}
+        self.every = sorted({gram for grams in self.sets.values() for gram in grams})
+        self.least, self.most = min(low for low, _ in self.limits.values()), max(high for _, high in self.limits.values())
+        self.anchors = {word for grams in self.sets.values() for word in anchors(grams, threshold)}
+
+    def best(self, size: str, grams: str) -> str:
+        """The best template for a unit of ``size`` distinct bigrams, ``grams`` of which are in templates; NULL if none."""
+        scores = []
+        for name, members in self.sets.items():
+            low, high = self.limits[name]
+            dice = f"2.0D * size(filter({grams}, g -> {_in('g', members)})) / ({size} + {len(members)})"
+            score = f"struct({dice} AS dice, {_quoted(name)} AS template, {_quoted(self.licences[name])} AS licence)"
+            scores.append(f"CASE WHEN {size} BETWEEN {low} AND {high} THEN {score} END")
+        matching = f"filter(array({', '.join(scores)}), x -> x IS NOT NULL AND x.dice >= {self.threshold}D)"
+        return f"array_min(transform({matching}, x -> struct(-x.dice AS least, x.template AS template, x.licence AS licence, x.dice AS dice)))"
+
+    def licence(self, grams: str) -> str:
+        """The licence that a part with these distinct bigrams gets as a unit; NULL if none."""
+        known = f"filter({grams}, g -> {_in('g', self.every)})"
+        found = _with(known, "known", f"{self.best(f'size({grams})', 'known')}.licence")
+        return f"CASE WHEN size({grams}) BETWEEN {self.least} AND {self.most} THEN {found} END"
+
+    def windows(self, name: str) -> str:
+        """The best window from each bigram of the template; ``hits`` are places and bigrams, ``grams`` all of the text."""
+        members, (low, _), lengths = self.sets[name], self.limits[name], self.lengths[name]
+        score = f"""struct(
+            -dice AS least, -shared AS fewest, s.hit.at AS first, last AS last,
+            {_quoted(name)} AS template, {_quoted(self.licences[name])} AS licence, dice AS dice)"""
+        dice = f"2.0D * shared / (size(array_distinct(slice(grams, s.hit.at + 1, last - s.hit.at + 1))) + {len(members)})"
+        scored = _with("element_at(inside, -1).at", "last", _with(dice, "dice", score))
+        scored = _with("size(array_distinct(inside.gram))", "shared", f"CASE WHEN shared >= {low} THEN {scored} END")
+        window = _with("filter(slice(own, s.k + 1, n), x -> x.at < s.hit.at + n)", "inside", scored)
+        # Fewer than ``low`` bigrams of the template within the longest window: nothing begins here.
+        near = f"transform(own, (hit, k) -> struct(hit AS hit, k AS k, get(own, k + {low - 1}).at AS `end`))"
+        starts = f"filter({near}, s -> s.`end` < s.hit.at + {lengths[-1]})"
+        each = f"transform({starts}, s -> array_min(transform(array({', '.join(map(str, lengths))}), n -> {window})))"
+        found = f"filter({each}, w -> w IS NOT NULL AND w.dice >= {self.threshold}D)"
+        return _with(f"filter(hits, h -> {_in('h.gram', members)})", "own", found)
+
+
+def window_lengths(text: str, threshold: float, steps: int = 12) -> list[int]:
+    """Numbers of bigrams, repeated ones too, of the windows for a template: all that its bounds admit, or ``steps`` of them."""
+    words, distinct = re.findall(r"[^\W_]+", text.lower()), len(template_bigrams(text))
+    low, high = bounds(distinct, threshold)
+    high = max(low, math.ceil(high * (len(words) - 1) / distinct))
+    if high - low < steps:
+        return list(range(low, high + 1))
+    return sorted({round(low + (high - low) * i / (steps - 1)) for i in range(steps)})
+
+
+def _holding(parts: Column, first: Column, last: Column) -> Column:
+    """The part that holds the words ``first`` to ``last`` of the text, in an array; empty if they are in several."""
+    counts = F.transform(parts, lambda part: F.size(F.filter(_words(part), lambda word: word != "")))
+    ends = F.aggregate(counts, F.array(F.lit(0)), lambda ends, n: F.concat(ends, F.array(F.element_at(ends, -1) + n)))
+    return F.flatten(
+        F.transform(F.array(ends), lambda ends: F.filter(parts, lambda _, i: (F.get(ends, i) <= first) & (last < F.get(ends, i + 1))))
+    )
 
 
-def license_scan(documents: DataFrame, templates: dict[str, tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, unit, unit_no, licence, template, dice: the best template of every unit that reaches the threshold."""
-    sets = {name: template_bigrams(text) for name, (_, text) in templates.items()}
-    limits = {name: bounds(len(grams), threshold) for name, grams in sets.items()}
-    every = sorted({gram for grams in sets.values() for gram in grams})
-    least, most = min(low for low, _ in limits.values()), max(high for _, high in limits.values())
-
-    table = units(documents, {word for grams in sets.values() for word in anchors(grams, threshold)})
-    words = F.split(F.trim(F.regexp_replace("part", SEPARATOR, " ")), " ")
-    table = _wanted(table, words, "words", lambda words: F.size(words) > least)
-    pairs = F.size("words") - 1
-    first, second = F.slice("words", 1, pairs), F.slice("words", 2, pairs)
-    grams = F.array_distinct(F.zip_with(first, second, lambda a, b: F.concat(a, F.lit(" "), b)))
-    table = _wanted(table, grams, "grams", lambda grams: F.size(grams).between(least, most))
-    shared = F.struct(F.size("grams").alias("size"), F.filter("grams", _member_of(every)).alias("grams"))
-    table = _wanted(table, shared, "shared", lambda shared: F.size(shared["grams"]) >= least)
-
-    scores = []
-    for name, grams in sets.items():
-        low, high = limits[name]
-        common = F.size(F.filter("shared.grams", _member_of(grams)))
-        dice = 2.0 * common / (F.col("shared.size") + len(grams))
-        score = F.struct(
-            dice.alias("dice"), F.lit(name).alias("template"), F.lit(templates[name][0]).alias("licence")
-        )
-        scores.append(F.when(F.col("shared.size").between(low, high), score))
-    matching = F.filter(F.array(*scores), lambda x: x.isNotNull() & (x["dice"] >= threshold))
-    best = F.array_min(F.transform(matching, lambda x: F.struct((-x["dice"]).alias("least"), x["template"], x["licence"], x["dice"])))
-    table = _wanted(table, best, "best", lambda best: best.isNotNull())
-    return table.select("doc_id", "unit", "unit_no", "best.licence", "best.template", "best.dice")
+def passages(documents: DataFrame, known: _Templates) -> DataFrame:
+    """doc_id, unit, unit_no (number of the first word), best: runs of words that match, in no unit of that licence."""
+    table = texts_holding(documents, known.anchors)
+    table = _wanted(table, _pairs(_words(F.col("part"))), "grams", lambda grams: F.size(grams) >= known.least)
+    places = F.expr(f"filter(transform(grams, (g, i) -> struct(i AS at, g AS gram)), h -> {_in('h.gram', known.every)})")
+    table = _wanted(table, places, "hits", lambda hits: F.size(hits) >= known.least)
+    found = F.expr(f"concat({', '.join(known.windows(name) for name in known.sets)})")
+    table = _wanted(table, found, "found", lambda found: F.size(found) > 0)
+    # What shares more with its template comes first; what overlaps it is left out.
+    kind = "array<struct<fewest:int,least:double,first:int,last:int,template:string,licence:string,dice:double>>"
+    ranked = "array_sort(transform(found, x -> struct(x.fewest, x.least, x.first, x.last, x.template, x.licence, x.dice)))"
+    apart = f"""aggregate({ranked}, CAST(array() AS {kind}), (kept, x) -> CASE
+        WHEN exists(kept, other -> other.first <= x.last + 1 AND x.first <= other.last + 1) THEN kept
+        ELSE concat(kept, CAST(array(x) AS {kind})) END)"""
+    table = table.select("doc_id", "part", F.explode(F.expr(apart)).alias("best"))
+    first, last, text = F.col("best.first"), F.col("best.last") + 1, F.col("part")
+    holders = F.concat(_holding(F.split(text, "\n"), first, last), _holding(F.split(text, BLANK_LINE), first, last), F.array(text))
+    grams = F.transform(holders, lambda part: F.array_distinct(_pairs(_words(part))))
+    table = table.select("doc_id", "best", F.filter(F.array(grams), lambda grams: F.size(grams) > 0)[0].alias("holders"))
+    alone = F.expr(f"NOT exists(holders, grams -> coalesce({known.licence('grams')} = best.licence, false))")
+    return table.filter(alone).select("doc_id", F.lit("passage").alias("unit"), (F.col("best.first") + 1).alias("unit_no"), "best")
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
+def license_scan(documents: DataFrame, templates: dict[str, tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, unit, unit_no, licence, template, dice: the best template of every unit and passage that reaches the threshold."""
+    known = _Templates(templates, threshold)
+    table = units(documents, known.anchors)
+    table = _wanted(table, _words(F.col("part")), "words", lambda words: F.size(words) > known.least)
+    table = _wanted(table, F.array_distinct(_pairs(F.col("words"))), "grams", lambda grams: F.size(grams).between(known.least, known.most))
+    shared = F.struct(F.size("grams").alias("size"), F.expr(f"filter(grams, g -> {_in('g', known.every)})").alias("grams"))
+    table = _wanted(table, shared, "shared", lambda shared: F.size(shared["grams"]) >= known.least)
+    table = _wanted(table, F.expr(known.best("shared.size", "shared.grams")), "best", lambda best: best.isNotNull())
+    columns = ["doc_id", "unit", "unit_no", "best.licence", "best.template", "best.dice"]
+    return table.select(*columns).unionAll(passages(documents, known).select(*columns))
 
 
 _TEMPLATE_ROWS = ", ".join(
