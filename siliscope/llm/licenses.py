@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_or_empty
+from .license_texts import APACHE_2
 
 THRESHOLD = 0.8
 
@@ -115,6 +116,55 @@ TEMPLATES = {
 }
 # End of fixed values.
 
+
+def _gnu_header(name: str, version: str, work: str = "program") -> str:
+    return f"""This {work} is free software: you can redistribute it and/or modify it under the terms of the GNU {name}Public
+        License as published by the Free Software Foundation, either version {version} of the License, or (at your option) any
+        later version. This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+        implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name}Public License for more
+        details. You should have received a copy of the GNU {name}Public License along with this {work}. If not, see
+        https://www.gnu.org/licenses/."""
+
+
+# What the first templates lack; LICENSE_SQL does not hold these.
+MORE_TEMPLATES = {
+    "gpl-2-header": ("GPL-2.0", _gnu_header("General ", "2")),
+    "lgpl-2.1-notice": ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    "lgpl-3-notice": ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    "agpl-3-notice": ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    "lgpl-2.1-header": ("LGPL-2.1", _gnu_header("Lesser General ", "2.1", "library")),
+    "lgpl-3-header": ("LGPL-3.0", _gnu_header("Lesser General ", "3")),
+    "agpl-3-header": ("AGPL-3.0", _gnu_header("Affero General ", "3")),
+    "bsd-3-text": (
+        "BSD-3-Clause",
+        TEMPLATES["bsd-2-text"][1].replace(
+            "THIS SOFTWARE IS PROVIDED BY",
+            """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY""",
+        ),
+    ),
+    "apache-2-text": ("Apache-2.0", APACHE_2),
+}
+ALL_TEMPLATES = TEMPLATES | MORE_TEMPLATES
+
+# Bigrams that tell a licence from its siblings: a text that gets its name holds one of each tuple ...
+TELLING = {
+    "GPL-2.0": [("gnu general",), ("version 2", "license v2")],
+    "GPL-3.0": [("gnu general",), ("version 3", "license v3")],
+    "LGPL-2.1": [("lesser general",), ("version 2", "license v2")],
+    "LGPL-3.0": [("lesser general",), ("version 3", "license v3")],
+    "AGPL-3.0": [("affero general",), ("version 3", "license v3")],
+    "Apache-2.0": [("version 2", "license 2")],
+    "MPL-2.0": [("version 2", "v 2", "mpl 2")],
+    "BSD-2-Clause": [("binary form",)],
+    "BSD-3-Clause": [("binary form",), ("endorse or",)],
+    "CC-BY-4.0": [("by 4", "attribution 4")],
+    "CC-BY-SA-4.0": [("by sa", "attribution sharealike"), ("sa 4", "sharealike 4")],
+    "CC-BY-NC-4.0": [("by nc", "attribution noncommercial"), ("nc 4", "noncommercial 4")],
+}
+# ... and none of these.
+BARRED = {"BSD-2-Clause": ("endorse or",)}
+
 # Letters of the scripts the templates are written in, and digits; everything else separates words.
 SEPARATOR = r"[^\p{L}\p{N}]+"
 BLANK_LINE = r"\n[\x20\x09\r]*\n"
@@ -185,7 +235,7 @@ def _pairs(words: Column) -> Column:
     return F.zip_with(F.slice(words, 1, pairs), F.slice(words, 2, pairs), lambda a, b: F.concat(a, F.lit(" "), b))
 
 
-def _in(gram: str, grams: list[str]) -> str:
+def _in(gram: str, grams: list[str] | tuple[str, ...]) -> str:
     return f"{gram} IN ({', '.join(map(_quoted, grams))})"
 
 
@@ -216,10 +266,18 @@ class _Templates:
         self.sets = {name: template_bigrams(text) for name, (_, text) in templates.items()}
         self.limits = {name: bounds(len(grams), threshold) for name, grams in self.sets.items()}
         self.lengths = {name: window_lengths(text, threshold) for name, (_, text) in templates.items()}
-        self.every = sorted({gram for grams in self.sets.values() for gram in grams})
+        telling = {gram for sets in TELLING.values() for grams in sets for gram in grams}
+        self.every = sorted(telling.union(*self.sets.values(), *BARRED.values()))
         self.least, self.most = min(low for low, _ in self.limits.values()), max(high for _, high in self.limits.values())
         self.anchors = {word for grams in self.sets.values() for word in anchors(grams, threshold)}
 
+    def told(self, name: str, grams: str) -> str:
+        """Whether the bigrams tell the template's licence from its siblings."""
+        licence = self.licences[name]
+        needed = [f"exists({grams}, t -> {_in('t', one_of)})" for one_of in TELLING.get(licence, [])]
+        barred = [f"NOT exists({grams}, t -> {_in('t', BARRED[licence])})"] if licence in BARRED else []
+        return " AND ".join([*needed, *barred]) or "true"
+
     def best(self, size: str, grams: str) -> str:
         """The best template for a unit of ``size`` distinct bigrams, ``grams`` of which are in templates; NULL if none."""
         scores = []
@@ -227,7 +285,7 @@ class _Templates:
             low, high = self.limits[name]
             dice = f"2.0D * size(filter({grams}, g -> {_in('g', members)})) / ({size} + {len(members)})"
             score = f"struct({dice} AS dice, {_quoted(name)} AS template, {_quoted(self.licences[name])} AS licence)"
-            scores.append(f"CASE WHEN {size} BETWEEN {low} AND {high} THEN {score} END")
+            scores.append(f"CASE WHEN {size} BETWEEN {low} AND {high} AND {self.told(name, grams)} THEN {score} END")
         matching = f"filter(array({', '.join(scores)}), x -> x IS NOT NULL AND x.dice >= {self.threshold}D)"
         return f"array_min(transform({matching}, x -> struct(-x.dice AS least, x.template AS template, x.licence AS licence, x.dice AS dice)))"
 
@@ -243,8 +301,10 @@ class _Templates:
         score = f"""struct(
             -dice AS least, -shared AS fewest, s.hit.at AS first, last AS last,
             {_quoted(name)} AS template, {_quoted(self.licences[name])} AS licence, dice AS dice)"""
-        dice = f"2.0D * shared / (size(array_distinct(slice(grams, s.hit.at + 1, last - s.hit.at + 1))) + {len(members)})"
-        scored = _with("element_at(inside, -1).at", "last", _with(dice, "dice", score))
+        scored = _with(f"2.0D * shared / (size(span) + {len(members)})", "dice", score)
+        scored = f"CASE WHEN {self.told(name, 'span')} THEN {scored} END"
+        scored = _with("array_distinct(slice(grams, s.hit.at + 1, last - s.hit.at + 1))", "span", scored)
+        scored = _with("element_at(inside, -1).at", "last", scored)
         scored = _with("size(array_distinct(inside.gram))", "shared", f"CASE WHEN shared >= {low} THEN {scored} END")
         window = _with("filter(slice(own, s.k + 1, n), x -> x.at < s.hit.at + n)", "inside", scored)
         # Fewer than ``low`` bigrams of the template within the longest window: nothing begins here.
@@ -297,7 +357,7 @@ def passages(documents: DataFrame, known: _Templates) -> DataFrame:
     return table.filter(alone).select("doc_id", F.lit("passage").alias("unit"), (F.col("best.first") + 1).alias("unit_no"), "best")
 
 
-def license_scan(documents: DataFrame, templates: dict[str, tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def license_scan(documents: DataFrame, templates: dict[str, tuple[str, str]] = ALL_TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, unit, unit_no, licence, template, dice: the best template of every unit and passage that reaches the threshold."""
     known = _Templates(templates, threshold)
     table = units(documents, known.anchors)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from siliscope.llm.licenses import TEMPLATES, license_scan
+from siliscope.llm.licenses import ALL_TEMPLATES, TEMPLATES, license_scan
 
 PROSE = " ".join(f"The committee of day{i} met and talked of door{i} until member{i} had gone home{i} again." for i in range(60))
 MIT = TEMPLATES["mit-text"][1]
@@ -36,3 +36,24 @@ def test_a_matching_line_is_not_given_twice(spark):
     text = PROSE + "\nReleased under the MIT License.\n" + PROSE + "\n\nLicensed under\nCC BY\n4.0.\n\n" + PROSE
     found = license_scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
     assert sorted((r.unit, r.licence) for r in found) == [("line", "MIT"), ("paragraph", "CC-BY-4.0")]
+
+
+GPL_3 = TEMPLATES["gpl-3-header"][1]
+SIBLINGS = {
+    "GPL-3.0": GPL_3,
+    "GPL-2.0": GPL_3.replace("version 3", "version 2"),
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0": GPL_3.replace("GNU General", "GNU Affero General"),
+    "LGPL-2.1": GPL_3.replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1"),
+    "BSD-3-Clause": ALL_TEMPLATES["bsd-3-text"][1],
+    "BSD-2-Clause": TEMPLATES["bsd-2-text"][1],
+    "Apache-2.0": ALL_TEMPLATES["apache-2-text"][1],
+    "": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+}
+
+
+def test_siblings_are_told_apart(spark):
+    rows = [(name, " ".join(text.split())) for name, text in SIBLINGS.items()]
+    rows += [("in " + name, f"{PROSE} {text} {PROSE}") for name, text in rows]
+    found = license_scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert sorted({(r.doc_id, r.licence) for r in found}) == sorted((doc, doc.removeprefix("in ")) for doc, _ in rows if doc.removeprefix("in "))
