@@ -328,7 +328,7 @@ def _classes(signed: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_key, doc_id, n_shingles, digest, component_id, kept of every row."""
+    """doc_key, doc_id, n_shingles, digest, component (its node), component_id, kept of every row."""
     signed = stored(signatures(documents, size), "signatures")
     classes = _classes(signed)
     found = stored(_meeting(classes), "meetings")
@@ -359,10 +359,10 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE, percent: int = PE
         labels = stored(labels.select("node", F.coalesce("top", "component").alias("component")), "labels")
     named = classes.join(labels, "node", "left").select("digest", "first_id", F.coalesce("component", "node").alias("component"))
     names = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = named.join(names, "component").select("digest", "component_id")
+    named = named.join(names, "component").select("digest", "component", "component_id")
     result = signed.drop("halves").join(named, "digest", "left")
     own = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return result.select("doc_key", "doc_id", "n_shingles", "digest", own.alias("component_id")).withColumn(
+    return result.select("doc_key", "doc_id", "n_shingles", "digest", "component", own.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
 
@@ -373,7 +373,11 @@ def near_duplicate_report(documents: DataFrame, size: int = SHINGLE, percent: in
 
 
 def without_near_duplicates(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One document of each component, that with the smallest id; of repeated rows one stays."""
-    kept = near_duplicates(documents, size, percent).filter("kept").select("doc_key").distinct()
+    """One document of each component, that with the smallest id, NULL last; of repeated rows one stays."""
+    rows = near_duplicates(documents, size, percent)
+    # A text without words is in no component and stays for itself.
+    groups = rows.groupBy("component", F.when(F.col("component").isNull(), F.col("doc_key")).alias("single"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc_key"))
+    kept = groups.agg(first.alias("first")).select("first.doc_key").distinct()
     keyed = nested(documents).withColumn("doc_key", F.xxhash64(f"{ROW}.doc_id", f"{ROW}.text"))
     return unnested(keyed.join(kept, "doc_key").dropDuplicates(["doc_key"]), documents.columns)

@@ -91,6 +91,15 @@ def test_one_of_each_group_stays(tables):
     assert sorted(r.doc_id for r in kept.collect() if r.text == BASE) == [3]
 
 
+def test_one_stays_though_ids_are_repeated_or_null(spark):
+    words = [f"w{i}" for i in range(80)]
+    texts = [" ".join([*words[:at], "other", *words[at:]]) for at in (0, 80, 40)]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[2])] + [(None, text.replace("w", "v")) for text in texts] + [(None, ""), (None, "alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, "w5 " in r.text, "v5 " in r.text) for r in near_duplicates.without_near_duplicates(df, 2).collect()]
+    assert sorted(kept, key=repr) == sorted([(1, True, False), (None, False, True), (None, False, False), (None, False, False)], key=repr)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000 + i, 1000) for i in range(1, 50)] + [(5000, 4000)]
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "x long, y long")).collect()}
