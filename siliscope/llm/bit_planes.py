@@ -62,37 +62,63 @@ def planes_of(values: np.ndarray) -> np.ndarray:
     return np.stack(packed, axis=1)
 
 
-def weights(planes: int) -> list[int]:
-    """What each plane counts."""
-    return [1 << j for j in range(planes - 1)] + [-(1 << (planes - 1))]
+def weighted(planes: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The planes and what each one counts; equal planes that follow each other, such as copies of the sign, are one."""
+    last = planes.shape[1] - 1
+    keep = [j for j in range(last) if (planes[:, j] != planes[:, j + 1]).any()] + [last]
+    starts = [0, *[j + 1 for j in keep[:-1]]]
+    counts = [(1 << (j + 1)) - (1 << start) if j < last else -(1 << start) for start, j in zip(starts, keep)]
+    return planes[:, keep], counts
+
+
+def _kind(*counts: list[int]):
+    """Sums of products of such weights and 64 bits fit a long, or need Python's integers."""
+    return np.int64 if sum(max(map(abs, c)).bit_length() + 1 for c in counts) + 8 < _LONG else object
 
 
 def products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Exact dot products of every row of ``left`` with every row of ``right``, both given as planes."""
-    exact = np.int64 if left.shape[1] + right.shape[1] + 8 < _LONG else object
-    total = np.zeros((left.shape[0], right.shape[0]), dtype=exact)
-    for i, a in enumerate(weights(left.shape[1])):
-        for j, b in enumerate(weights(right.shape[1])):
-            total += np.bitwise_count(left[:, i, None] & right[None, :, j]).astype(exact) * (a * b)
+    (left, ours), (right, theirs) = weighted(left), weighted(right)
+    total = np.zeros((left.shape[0], right.shape[0]), dtype=_kind(ours, theirs))
+    for i, a in enumerate(ours):
+        for j, b in enumerate(theirs):
+            total += np.bitwise_count(left[:, i, None] & right[None, :, j]).astype(total.dtype) * (a * b)
     return total
 
 
 def squares(planes: np.ndarray) -> np.ndarray:
     """Exact sum of squares of every row."""
-    exact = np.int64 if 2 * planes.shape[1] + 8 < _LONG else object
-    total = np.zeros(planes.shape[0], dtype=exact)
-    for i, a in enumerate(weights(planes.shape[1])):
-        for j, b in enumerate(weights(planes.shape[1])):
-            total += np.bitwise_count(planes[:, i] & planes[:, j]).astype(exact) * (a * b)
+    planes, counts = weighted(planes)
+    total = np.zeros(planes.shape[0], dtype=_kind(counts, counts))
+    for i, a in enumerate(counts):
+        for j, b in enumerate(counts):
+            total += np.bitwise_count(planes[:, i] & planes[:, j]).astype(total.dtype) * (a * b)
     return total
 
 
-def nearest(planes: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+# Numbers and planes of the centroids of about the same width.
+Groups = list[tuple[np.ndarray, np.ndarray]]
+
+
+def grouped(centroids: list[list[int]]) -> Groups:
+    """The planes of the centroids; each one of large components by itself, so that it does not slow down the others."""
+    wide = [max(map(abs, c)) >= 1 << 24 for c in centroids]
+    groups = [[k for k, w in enumerate(wide) if not w], *[[k] for k, w in enumerate(wide) if w]]
+    return [(np.array(g), planes_of(np.array([centroids[k] for k in g], dtype=object))) for g in groups if g]
+
+
+def nearest(planes: np.ndarray, centroids: Groups) -> tuple[np.ndarray, np.ndarray]:
     """Number of the nearest centroid and the squared distance to it; of equally near ones the smaller number."""
-    dots, own, theirs = products(planes, centroids), squares(planes), squares(centroids)
-    if any(x.dtype == object for x in (dots, own, theirs)):
-        dots, own, theirs = dots.astype(object), own.astype(object), theirs.astype(object)
-    distances = own[:, None] + theirs[None, :] - 2 * dots
+    own, parts = squares(planes), []
+    for numbers, words in centroids:
+        dots, theirs = products(planes, words), squares(words)
+        if any(x.dtype == object for x in (dots, own, theirs)):
+            dots, theirs = dots.astype(object), theirs.astype(object)
+        parts.append((numbers, own.astype(dots.dtype)[:, None] + theirs[None, :] - 2 * dots))
+    kind = object if any(part.dtype == object for _, part in parts) else np.int64
+    distances = np.zeros((len(planes), sum(len(numbers) for numbers, _ in parts)), dtype=kind)
+    for numbers, part in parts:
+        distances[:, numbers] = part
     best = distances.argmin(axis=1)
     return best, distances[np.arange(len(best)), best]
 
@@ -116,10 +142,8 @@ def packed(table: DataFrame, vector: str, keep: list[str]) -> DataFrame:
 
     def pack(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
             vectors = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, SIZE)
-            large = np.abs(vectors).max(axis=1) >= _WIDE
+            large = np.abs(vectors).max(axis=1, initial=0) >= _WIDE
             for rows in (np.flatnonzero(~large), np.flatnonzero(large)):
                 if len(rows):
                     words = planes_of(scaled(vectors[rows]))
@@ -142,16 +166,12 @@ def first_centroids(table: DataFrame, id_column: str, vector: str, clusters: int
     return [[int(x) for x in scaled(np.array([row.vector]))[0]] for row in found]
 
 
-def _as_planes(centroids: list[list[int]]) -> np.ndarray:
-    return planes_of(np.array(centroids, dtype=object))
-
-
 def plane_counts(vectors: DataFrame, centroids: list[list[int]]) -> DataFrame:
     """cluster, weight (exponent of two; the sign plane has -1 - exponent), n (vectors), counts of set bits by component.
 
     One row per task, cluster and plane.
     """
-    targets = _as_planes(centroids)
+    targets = grouped(centroids)
 
     def count(batches):
         sums: dict[tuple[int, int], np.ndarray] = {}
@@ -190,7 +210,7 @@ def moved(vectors: DataFrame, centroids: list[list[int]]) -> list[list[int]]:
 
 def assigned(vectors: DataFrame, centroids: list[list[int]], id_column: str) -> DataFrame:
     """id, cluster and squared distance (NULL if no long holds it) of every vector."""
-    targets = _as_planes(centroids)
+    targets = grouped(centroids)
 
     def assign(batches):
         for batch in batches:
