@@ -35,7 +35,8 @@ def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[C
     return numbered.filter(F.col("_row_number") == 1).drop("_row_number")
 
 
-def latest_snapshot(df: DataFrame, loaded_at: str, key: str = "url") -> DataFrame:
-    """The last loaded record of each key out of an appended history; records without a key all stay."""
-    known = deduplicate(df.filter(quoted(key).isNotNull()), [key], [quoted(loaded_at).desc_nulls_last()])
-    return known.unionByName(df.filter(quoted(key).isNull()))
+def latest_snapshot(df: DataFrame, loaded_at: str, key: str | Sequence[str] = "url") -> DataFrame:
+    """The last loaded record of each key out of an appended history; records without a (last) key column all stay."""
+    keys = [key] if isinstance(key, str) else list(key)
+    known = deduplicate(df.filter(quoted(keys[-1]).isNotNull()), keys, [quoted(loaded_at).desc_nulls_last()])
+    return known.unionByName(df.filter(quoted(keys[-1]).isNull()))

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import latest_snapshot
 from ..sources import bronze as B
+from ..sources import versions as V
 from ..sources.tables import PRODUCT_TABLES
+from ..streaming.incremental import incremental_sync
 from . import gold, market, silver
 from .extraction import extract_products, specs_to_columns
 
@@ -57,7 +60,7 @@ def sync(
             rows = everything
         audit = B.refresh_audit(rows, path)
         if not by_category and everything is None:
-            everything = spark.read.schema(rows.schema).parquet(path)
+            everything = V.read_published(spark, path)
         dropped = [F.lit(seen.get[count]).cast("long").alias(count) for count in silver.DROP_COUNTS]
         audits.append(audit.select(F.lit(name).alias("table_name"), *dropped, "*"))
     out = audits[0]
@@ -66,8 +69,40 @@ def sync(
     return out
 
 
+def sync_new(
+    spark: SparkSession, bronze_path: str, tables_path: str, progress_path: str, buckets: int = 64, max_files_per_trigger: int = 10_000
+) -> DataFrame:
+    """Bring the product tables up to date with the bronze files that arrived since the last call.
+
+    Gives the same tables as ``sync`` with ``latest_only``, but reads new files and rewrites only the buckets that hold
+    their URLs. Returns the rows of each table.
+    """
+    history = B.read_partitioned_bronze(spark, bronze_path)
+    tables = {category: name for name, category in PRODUCT_TABLES.items()}
+    incremental_sync(
+        spark,
+        bronze_path,
+        history.schema,
+        tables_path,
+        progress_path,
+        table=F.create_map(*[F.lit(text) for pair in tables.items() for text in pair])[F.col(B.RESOURCE)],
+        transform=lambda records: specs_to_columns(records, MODEL_KEYS, keep_map=True),
+        buckets=buckets,
+        max_files_per_trigger=max_files_per_trigger,
+    )
+    counts = []
+    for name in PRODUCT_TABLES:
+        if V.current(spark, f"{tables_path}/{name}") is not None:
+            rows = V.read_published(spark, f"{tables_path}/{name}").agg(F.count(F.lit(1)).alias("rows_stored"))
+            counts.append(rows.select(F.lit(name).alias("table_name"), "rows_stored"))
+    if not counts:
+        return spark.createDataFrame([], "table_name string, rows_stored bigint")
+    return reduce(DataFrame.union, counts)
+
+
 def product_tables(spark: SparkSession, tables_path: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{tables_path}/{name}") for name in PRODUCT_TABLES}
+    """The newest version of each product table, however it was made."""
+    return {name: V.read_published(spark, f"{tables_path}/{name}") for name in PRODUCT_TABLES}
 
 
 def build_models(tables: Mapping[str, DataFrame], models_path: str) -> dict[str, DataFrame]:

@@ -18,13 +18,14 @@ DROP_COUNTS = ["rows_read", "dropped_null_name", "dropped_no_price"]
 # End of fixed values.
 
 
-def _valid() -> Column:
+def valid_record() -> Column:
+    """A record that cleaning keeps: it has a name and a price above zero."""
     return F.col("name").isNotNull() & (F.col("price_inr") > 0)
 
 
 def sync_clean(bronze: DataFrame) -> DataFrame:
     """Records with a name and a price above zero."""
-    return bronze.filter(_valid())
+    return bronze.filter(valid_record())
 
 
 def sync_clean_observed(bronze: DataFrame) -> tuple[DataFrame, Observation]:
@@ -37,7 +38,7 @@ def sync_clean_observed(bronze: DataFrame) -> tuple[DataFrame, Observation]:
         F.count_if(no_name).alias("dropped_null_name"),
         F.count_if(~no_name & ~F.coalesce(F.col("price_inr") > 0, F.lit(False))).alias("dropped_no_price"),
     )
-    return counted.filter(_valid()), seen
+    return counted.filter(valid_record()), seen
 
 
 def sync_report(bronze: DataFrame) -> DataFrame:
@@ -47,7 +48,7 @@ def sync_report(bronze: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(no_name).alias("dropped_null_name"),
         F.count_if(~no_name & ~F.coalesce(F.col("price_inr") > 0, F.lit(False))).alias("dropped_no_price"),
-        F.count_if(_valid()).alias("rows_clean"),
+        F.count_if(valid_record()).alias("rows_clean"),
     )
 
 

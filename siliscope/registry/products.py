@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import products as P
@@ -12,8 +15,9 @@ from ..plans import gold, market, refresh, silver
 from ..session import scratch_path
 from ..sources import bronze as B
 from ..sources.derived import derived_catalogue, listing_pages, product_pages
-from ..sources.tables import Sources, read_table
-from ..streaming.incremental import incremental_sync
+from ..sources import versions as V
+from ..sources.tables import PRODUCT_TABLES, Sources, read_table
+from ..streaming.incremental import incremental_append, incremental_sync
 from .base import Registry, catalogue, over_catalogue
 
 QUERIES = Registry()
@@ -144,7 +148,7 @@ def refresh_table(spark, folder):
     path = scratch_path(spark, "refresh-table")
     B.refresh_table(orders, path, ["o_orderstatus"])
     B.refresh_table(orders.filter("o_orderstatus = 'F' AND o_totalprice > 100000"), path, ["o_orderstatus"])
-    return spark.read.schema(orders.schema).parquet(path)
+    return V.read_published(spark, path)
 
 
 @QUERIES.add(
@@ -157,20 +161,20 @@ def refresh_audit(spark, folder):
 
 @QUERIES.add(
     "view_model",
-    over_catalogue(f"SELECT brand, count(*) AS n FROM catalogue WHERE category = 'cpu' AND {_CLEAN} AND name LIKE '%Processor%' GROUP BY brand"),
+    over_catalogue(f"SELECT brand, count(*) AS n FROM catalogue WHERE {_CLEAN} AND name LIKE '%Processor%' GROUP BY brand"),
 )
 def view_model(spark, folder):
-    B.view_model(silver.stg_cpus(_tables(spark, folder)["cpus"]), "stg_cpus_model")
+    B.view_model(silver.stg_cpus(silver.sync_table(catalogue(spark, folder))), "stg_cpus_model")
     return spark.sql("SELECT brand, count(*) AS n FROM stg_cpus_model GROUP BY brand")
 
 
 @QUERIES.add(
     "table_model",
-    over_catalogue(f"SELECT brand, count(*) AS n FROM catalogue WHERE category = 'gpu' AND {_CLEAN} AND name LIKE '%Graphics Card%' GROUP BY brand"),
+    over_catalogue(f"SELECT brand, count(*) AS n FROM catalogue WHERE {_CLEAN} AND name LIKE '%Graphics Card%' GROUP BY brand"),
 )
 def table_model(spark, folder):
     path = scratch_path(spark, "table-model")
-    B.table_model(silver.stg_gpus(_tables(spark, folder)["gpus"]), "stg_gpus_model", path)
+    B.table_model(silver.stg_gpus(silver.sync_table(catalogue(spark, folder))), "stg_gpus_model", path)
     return spark.sql("SELECT brand, count(*) AS n FROM stg_gpus_model GROUP BY brand")
 
 
@@ -192,10 +196,10 @@ def sources(spark, folder):
     return out
 
 
-@QUERIES.add("incremental_sync", over_catalogue(f"SELECT * FROM catalogue WHERE {_CLEAN}"))
-def incremental(spark, folder):
+@QUERIES.add("incremental_append", over_catalogue(f"SELECT * FROM catalogue WHERE {_CLEAN}"))
+def appended(spark, folder):
     root = scratch_path(spark, "incremental")
-    return incremental_sync(
+    return incremental_append(
         spark,
         folder,
         read_table(spark, folder, "part").schema,
@@ -206,6 +210,39 @@ def incremental(spark, folder):
     )
 
 
+@QUERIES.add(
+    "incremental_sync",
+    over_catalogue(
+        f"""SELECT name, price_inr, url, source, category, brand, cores, CASE category WHEN 'cpu' THEN 'cpus' WHEN 'gpu' THEN 'gpus'
+    WHEN 'laptop' THEN 'laptops' WHEN 'monitor' THEN 'monitors' ELSE 'ram' END AS table_name
+  FROM (SELECT * REPLACE (CASE WHEN source = 'MD Computers' THEN 2 * price_inr WHEN source = 'Vedant' AND cores IS NULL THEN NULL
+    ELSE price_inr END AS price_inr) FROM catalogue) WHERE {_CLEAN}"""
+    ),
+)
+def incremental(spark, folder):
+    """Every record, then a second crawl: new prices, products that lost theirs, and older records that come late."""
+    root = scratch_path(spark, "incremental")
+    records = catalogue(spark, folder).select("name", "price_inr", "url", "source", "category", "brand", "cores", F.col("category").alias(B.RESOURCE))
+    tables = F.create_map(*[F.lit(text) for name, category in PRODUCT_TABLES.items() for text in (category, name)])
+
+    def crawl(hour: int, rows, price):
+        stamp = F.lit(f"2026-01-01 {hour:02d}:00:00").cast("timestamp")
+        B.write_bronze(rows.withColumn("price_inr", price.cast("long")).withColumn("loaded_at", stamp), f"{root}/bronze")
+
+    def sync():
+        schema = B.read_partitioned_bronze(spark, f"{root}/bronze").schema
+        incremental_sync(spark, f"{root}/bronze", schema, f"{root}/tables", f"{root}/progress", table=tables[F.col(B.RESOURCE)], buckets=8)
+
+    crawl(8, records, F.col("price_inr"))
+    sync()
+    crawl(9, records.filter("source = 'MD Computers'"), 2 * F.col("price_inr"))
+    crawl(9, records.filter("source = 'Vedant' AND cores IS NULL"), F.lit(None))
+    crawl(7, records.filter("source <> 'Vedant'"), F.lit(1))
+    sync()
+    found = [V.read_published(spark, f"{root}/tables/{name}").withColumn("table_name", F.lit(name)) for name in PRODUCT_TABLES if V.current(spark, f"{root}/tables/{name}")]
+    return reduce(DataFrame.unionByName, found).drop(B.RESOURCE, "loaded_at")
+
+
 @QUERIES.add(
     "latest_snapshot",
     "SELECT user_id, event_id, ts, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS rn FROM events) WHERE rn = 1",
@@ -585,6 +622,22 @@ def full_refresh_audit(spark, folder):
     return _refreshed(spark, folder)[1]
 
 
+@QUERIES.add(
+    "incremental_refresh",
+    over_catalogue(
+        f"""SELECT CASE category WHEN 'cpu' THEN 'cpus' WHEN 'gpu' THEN 'gpus' WHEN 'laptop' THEN 'laptops' WHEN 'monitor' THEN 'monitors' ELSE 'ram' END AS table_name,
+  count(*) AS rows_stored FROM ({_STORED}) GROUP BY 1"""
+    ),
+)
+def incremental_refresh(spark, folder):
+    """The tables brought up to date after each of two loads of the same pages."""
+    root, pages = scratch_path(spark, "refresh"), _pages(spark, folder)
+    for hour in (0, 1):
+        refresh.ingest(pages, f"{root}/bronze", F.lit(f"2026-01-01 {hour:02d}:00:00").cast("timestamp"))
+        found = refresh.sync_new(spark, f"{root}/bronze", f"{root}/tables", f"{root}/progress", buckets=8)
+    return found
+
+
 @QUERIES.add(
     "market_insights",
     over_catalogue(_top_sql(f"SELECT name, price_inr, url, category FROM ({_STORED}) WHERE category <> 'monitor'")),

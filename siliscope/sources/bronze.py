@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.reshape import quoted
+from . import versions as V
 
 # Records that name the crawl they come from are stored by it: a page cannot change that column.
 RESOURCE = "resource"
@@ -83,28 +84,48 @@ def read_partitioned_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def _write_version(df: DataFrame, path: str, partition_by: Sequence[str]) -> tuple[dict[str, str], dict[str, str], V.Manifest]:
+    """Write ``df`` and publish it: (what the rows sent add up to, the parts written, the new version)."""
+    spark = df.sparkSession
+    base, folder, sent = V.current(spark, path), V.new_data_folder(), Observation()
+    writer = df.observe(sent, *V.digest_columns(df.schema)).write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(f"{path}/{folder}")
+    digest = V.digest_of(sent.get)
+    if partition_by:
+        written = V.partition_folders(spark, path, folder, len(partition_by))
+        kept = base.parts if base and base.partition_by == list(partition_by) else {}
+        schema = V.merged_schema(base, df.schema)
+    else:
+        written, kept, schema = {"": folder}, {}, df.schema.jsonValue()
+    manifest = V.publish(
+        spark, path, base, schema=schema, parts=kept | written, partition_by=list(partition_by), digest=None if kept else digest
+    )
+    return digest, written, manifest
+
+
 def refresh_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Replace the table at ``path`` and return the number of rows sent.
+    """Publish ``df`` as the next version of the table at ``path`` and return the number of rows sent.
 
-    With partitions only the partitions that occur in ``df`` are replaced.
+    With partitions only the partitions that occur in ``df`` are replaced. Readers see the old version until all rows
+    are stored; of two writers that start from the same version one gets a PublishConflict.
     """
-    sent = Observation()
-    writer = df.observe(sent, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    writer.parquet(path)
-    return sent.get["rows"]
+    return int(_write_version(df, path, partition_by)[0]["rows"])
 
 
 def refresh_audit(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Replace the table, then compare the rows sent with the rows found on reading it again."""
-    spark = df.sparkSession
-    sent = refresh_table(df, path, partition_by)
-    found = spark.read.schema(df.schema).parquet(path).agg(F.count(F.lit(1)).alias("rows_stored"))
-    return found.select(
-        F.lit(sent).cast("long").alias("rows_sent"),
-        "rows_stored",
-        (F.col("rows_stored") == F.lit(sent)).alias("matches"),
+    """Replace the table, then compare the rows sent with the rows found on reading it again.
+
+    They match if their number, and the sum and xor of their hashes, are the same.
+    """
+    sent, written, manifest = _write_version(df, path, partition_by)
+    stored = V.read_folders(df.sparkSession, path, manifest, written).select(*[quoted(name) for name in df.columns])
+    same = [F.col(name).cast("string") == F.lit(total) for name, total in sent.items()]
+    return stored.agg(*V.digest_columns(df.schema)).select(
+        F.lit(int(sent["rows"])).cast("long").alias("rows_sent"),
+        F.col("rows").alias("rows_stored"),
+        reduce(lambda a, b: a & b, same).alias("matches"),
     )
 
 
@@ -115,6 +136,6 @@ def view_model(df: DataFrame, name: str) -> DataFrame:
 
 
 def table_model(df: DataFrame, name: str, path: str) -> DataFrame:
-    """Store a model and publish the stored rows under a name."""
+    """Store a model and publish the stored rows under a name; readers of the name keep the version they began with."""
     refresh_table(df, path)
-    return view_model(df.sparkSession.read.schema(df.schema).parquet(path), name)
+    return view_model(V.read_published(df.sparkSession, path), name)

@@ -9,9 +9,11 @@ from siliscope.plans import gold, market, refresh, silver
 from siliscope.plans.extraction import extract_products
 from siliscope.session import scratch_path
 from siliscope.sources import bronze as B
+from siliscope.sources import versions as V
 from siliscope.sources.derived import derived_catalogue, product_pages
 from siliscope.sources.tables import PRODUCT_TABLES, Sources
-from siliscope.streaming.incremental import incremental_sync
+from siliscope.streaming import incremental
+from siliscope.streaming.incremental import incremental_append, incremental_sync
 
 LAPTOP = "name string, model string, brand string, source string, cpu string, memory_type string, gpu string, price_inr bigint, category string"
 
@@ -160,7 +162,7 @@ def test_refresh_table_replaces_only_given_partitions(spark, rows):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "x int, p string")
     assert B.refresh_table(df, path, ["p"]) == 3
     assert B.refresh_table(df.filter("x = 1"), path, ["p"]) == 1
-    assert rows(spark.read.schema(df.schema).parquet(path)) == [(1, "a"), (3, "b")]
+    assert rows(V.read_published(spark, path)) == [(1, "a"), (3, "b")]
     whole = scratch_path(spark, "t")
     B.refresh_table(df, whole)
     assert rows(B.refresh_audit(df.filter("x > 1"), whole)) == [(2, 2, True)]
@@ -224,14 +226,14 @@ def test_pages_can_be_ingested_as_a_stream(spark, catalogue, rows):
     root = scratch_path(spark, "t")
     pages = product_pages(catalogue)
     pages.write.parquet(f"{root}/pages")
-    out = incremental_sync(spark, f"{root}/pages", pages.schema, f"{root}/out", f"{root}/progress", transform=extract_products)
+    out = incremental_append(spark, f"{root}/pages", pages.schema, f"{root}/out", f"{root}/progress", transform=extract_products)
     assert rows(out.drop("specs")) == rows(extract_products(pages).drop("specs"))
 
 
 # --- incremental refresh ---
 
 
-def test_incremental_sync_takes_each_file_once(spark, rows):
+def test_incremental_append_takes_each_file_once(spark, rows):
     root = scratch_path(spark, "t")
     schema = "name string, price_inr bigint"
 
@@ -239,7 +241,7 @@ def test_incremental_sync_takes_each_file_once(spark, rows):
         spark.createDataFrame(list(records), schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
 
     def run():
-        return incremental_sync(spark, f"{root}/in", spark.read.parquet(f"{root}/in").schema, f"{root}/out", f"{root}/progress", max_files_per_trigger=1)
+        return incremental_append(spark, f"{root}/in", spark.read.parquet(f"{root}/in").schema, f"{root}/out", f"{root}/progress", max_files_per_trigger=1)
 
     arrive(("a", 1), (None, 2))
     assert rows(run()) == [("a", 1)]
