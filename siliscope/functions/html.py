@@ -34,9 +34,17 @@ def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+# A map is searched from its start: the references that pages are full of come before it.
+_COMMON = ["&amp;", "&lt;", "&gt;", "&quot;", "&nbsp;", "&apos;"]
 _NAMED = f"from_json({literal(json.dumps({f'&{k}': v for k, v in html5.items()}))}, 'map<string,string>')"
 
 
+def _named(reference: str) -> str:
+    """Character of a named reference, NULL for an unknown name."""
+    common = " ".join(f"WHEN {literal(name)} THEN {literal(html5[name[1:]])}" for name in _COMMON)
+    return f"CASE {reference} {common} ELSE element_at({_NAMED}, {reference}) END"
+
+
 def has_class(name: str) -> str:
     """Condition on a tag: its first class attribute lists ``name``, in this case."""
     listed = rf"""(?:"(?:[^"]*\s)?{name}(?:\s[^"]*)?"|'(?:[^']*\s)?{name}(?:\s[^']*)?'|{name}(?=[\s>]))"""
@@ -81,7 +89,7 @@ def decode_entities(text: str, closed_only: bool = False) -> str:
     valid = "n BETWEEN 1 AND 1114111 AND n NOT BETWEEN 55296 AND 57343"
     numbered = f"get(transform(array(CAST({number} AS BIGINT)), n -> IF({valid}, {character}, '�')), 0)"
     decoded = f"""CASE WHEN NOT c RLIKE {literal(f"^{entity}$")} THEN c WHEN startswith(c, '&#') THEN {numbered}
-      ELSE coalesce(element_at({_NAMED}, c), c) END"""
+      ELSE coalesce({_named('c')}, c) END"""
     pieces = f"regexp_extract_all({text}, {literal(f'{entity}|[^&]+|&')}, 0)"
     return f"IF(contains({text}, '&'), array_join(transform({pieces}, c -> {decoded}), ''), {text})"
 

@@ -144,6 +144,13 @@ def combo_filter(records: DataFrame, name: str = "name") -> DataFrame:
     return records.filter(~is_combo(F.col(name), F.col("category")))
 
 
+def _judged_once(rows: DataFrame, condition: Column) -> DataFrame:
+    """A filter on extracted columns: as a plain one it would move below the extraction and repeat it."""
+    kept = F.when(condition, F.array(F.struct(F.lit(True).alias("_there"), "*")))
+    # The outer form, as Spark tests the array of the plain one in a filter, which moves down again.
+    return rows.select(F.inline_outer(kept)).filter("_there").drop("_there")
+
+
 def base_record(parsed: DataFrame) -> DataFrame:
     """Bronze records: bundles are left out, and a specification row replaces a base column of the same name.
 
@@ -159,7 +166,7 @@ def base_record(parsed: DataFrame) -> DataFrame:
         "form_factor": F.when(category == "ram", ram_form_factor(name)),
     }
     # The base columns are judged as extracted; the page's own rows come on top.
-    return combo_filter(parsed).select(
+    return _judged_once(parsed, ~is_combo(name, category)).select(
         *[F.coalesce(F.element_at("specs", F.lit(c)), base[c]).alias(c) for c in OVERRIDABLE],
         clean_price(F.col("price_text")).alias("price_inr"),
         "highlights",

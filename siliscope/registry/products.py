@@ -16,7 +16,7 @@ from ..session import scratch_path
 from ..sources import bronze as B
 from ..sources.derived import derived_catalogue, listing_pages, product_pages
 from ..sources import versions as V
-from ..sources.tables import PRODUCT_TABLES, Sources, read_table
+from ..sources.tables import PRODUCT_TABLES, Sources, read_table, spread
 from ..streaming.incremental import incremental_append, incremental_sync
 from .base import Registry, catalogue, over_catalogue
 
@@ -107,7 +107,7 @@ def _stg_laptops(spark, folder):
 
 
 def _pages(spark, folder):
-    return product_pages(derived_catalogue(read_table(spark, folder, "part")))
+    return product_pages(derived_catalogue(spread(read_table(spark, folder, "part"))))
 
 
 # --- storage ---

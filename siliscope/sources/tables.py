@@ -24,6 +24,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """The same rows on all cores: a table with fewer splits than there are cores is dealt out, a larger one stays as it is.
+
+    For tables of narrow rows that much work per row follows on, such as the pages of products.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 class Sources:
     """Named tables, read only when asked for."""
 
