@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import slugify_name
-from .neighbours import HOT_GROUP_ROWS, repeat_rows, split_hot, with_neighbour
+from .neighbours import repeat_rows, with_neighbour
 from .reshape import filtered_columns, quoted
 
 _NUMERIC = "decimal(28,6)"
@@ -289,7 +289,6 @@ def sequential_values(
     interval: int = 1,
     datepart: str | None = None,
     group_by: Sequence[str] = (),
-    hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Rows that are not one interval after the previous one of their group; NULLs and first rows pass."""
     previous = f"previous_{slugify_name(column)}"
@@ -302,31 +301,19 @@ def sequential_values(
             datepart.upper(), F.lit(interval), before.cast("timestamp_ntz")
         )
 
-    def windowed(part: DataFrame) -> DataFrame:
-        window = Window.partitionBy(*[quoted(g) for g in group_by]).orderBy(quoted(column))
-        return part.withColumn(previous, F.lag(quoted(column)).over(window)).filter(
-            breaks(quoted(column), quoted(previous))
-        )
-
-    def spread(part: DataFrame) -> DataFrame:
-        # Equal values are counted first; every copy but one has the value itself before it.
-        counted = part.groupBy(*part.columns).agg(F.count(F.lit(1)).alias("_n"))
-        found = with_neighbour(counted, group_by, [column], column, "_before", following=False)
-        cases = F.array(
-            F.struct(F.col("_before").alias("before"), F.lit(1).cast("long").alias("copies")),
-            F.struct(quoted(column).alias("before"), (F.col("_n") - 1).alias("copies")),
-        )
-        flat = found.withColumn("_case", F.explode(cases)).select(
-            *[quoted(c) for c in part.columns],
-            F.col("_case.before").alias(previous),
-            F.col("_case.copies").alias("_copies"),
-        )
-        return repeat_rows(flat.filter(breaks(quoted(column), quoted(previous))), "_copies")
-
-    if not group_by:
-        return spread(rows)
-    ordinary, hot = split_hot(rows, group_by, hot_group_rows)
-    return windowed(ordinary) if hot is None else windowed(ordinary).union(spread(hot))
+    # Equal values are counted first; every copy but one has the value itself before it.
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
+    found = with_neighbour(counted, group_by, [column], column, "_before", following=False, sample_from=rows)
+    cases = F.array(
+        F.struct(F.col("_before").alias("before"), F.lit(1).cast("long").alias("copies")),
+        F.struct(quoted(column).alias("before"), (F.col("_n") - 1).alias("copies")),
+    )
+    flat = found.withColumn("_case", F.explode(cases)).select(
+        *[quoted(c) for c in rows.columns],
+        F.col("_case.before").alias(previous),
+        F.col("_case.copies").alias("_copies"),
+    )
+    return repeat_rows(flat.filter(breaks(quoted(column), quoted(previous))), "_copies")
 
 
 def mutually_exclusive_ranges(
@@ -336,7 +323,6 @@ def mutually_exclusive_ranges(
     partition_by: Column | str | None = None,
     gaps: str = "allowed",
     zero_length_range_allowed: bool = False,
-    hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Ranges that overlap the next one of their group, are empty or have a NULL bound."""
     if gaps not in _GAP_RULES:
@@ -362,25 +348,14 @@ def mutually_exclusive_ranges(
             .filter(~(F.col(length_name) & F.col(gap_name)))
         )
 
-    def windowed(part: DataFrame) -> DataFrame:
-        window = Window.partitionBy(*groups).orderBy(low.asc_nulls_last(), high.asc_nulls_last())
-        return judged(part.withColumn("next_lower_bound", F.lead(low).over(window)))
-
-    def spread(part: DataFrame) -> DataFrame:
-        # Equal ranges are counted first; every copy but the last is followed by its own lower bound.
-        counted = part.groupBy(*part.columns).agg(F.count(F.lit(1)).alias("_n"))
-        found = with_neighbour(counted, groups, ["lower_bound", "upper_bound"], "lower_bound", "_after", following=True)
-        cases = F.array(
-            F.struct(F.col("_after").alias("after"), F.lit(1).cast("long").alias("copies")),
-            F.struct(low.alias("after"), (F.col("_n") - 1).alias("copies")),
-        )
-        flat = found.withColumn("_case", F.explode(cases)).select(
-            *part.columns, F.col("_case.after").alias("next_lower_bound"), F.col("_case.copies").alias("_copies")
-        )
-        judged_rows = judged(flat.filter(F.col("_copies") > 0))
-        return repeat_rows(judged_rows, "_copies")
-
-    if not groups:
-        return spread(rows)
-    ordinary, hot = split_hot(rows, groups, hot_group_rows)
-    return windowed(ordinary) if hot is None else windowed(ordinary).union(spread(hot).select(*windowed(ordinary).columns))
+    # Equal ranges are counted first; every copy but the last is followed by its own lower bound.
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
+    found = with_neighbour(counted, groups, ["lower_bound", "upper_bound"], "lower_bound", "_after", following=True, sample_from=rows)
+    cases = F.array(
+        F.struct(F.col("_after").alias("after"), F.lit(1).cast("long").alias("copies")),
+        F.struct(low.alias("after"), (F.col("_n") - 1).alias("copies")),
+    )
+    flat = found.withColumn("_case", F.explode(cases)).select(
+        *rows.columns, F.col("_case.after").alias("next_lower_bound"), F.col("_case.copies").alias("_copies")
+    )
+    return repeat_rows(judged(flat.filter(F.col("_copies") > 0)), "_copies")

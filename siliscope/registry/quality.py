@@ -227,7 +227,7 @@ def sequential_values_grouped(spark, folder):
 
 @QUERIES.add("sequential_values_hot_groups", _sequence_sql("lineitem", "l_partkey", "1", "l_returnflag"))
 def sequential_values_hot(spark, folder):
-    return Q.sequential_values(_lineitem(spark, folder), "l_partkey", group_by=["l_returnflag"], hot_group_rows=1000)
+    return Q.sequential_values(_lineitem(spark, folder), "l_partkey", group_by=["l_returnflag"])
 
 
 @QUERIES.add("sequential_values_dates", _sequence_sql("orders", "o_orderdate", "INTERVAL 1 DAY"))
@@ -258,7 +258,7 @@ def mutually_exclusive_ranges_global(spark, folder):
 )
 def mutually_exclusive_ranges_hot(spark, folder):
     return Q.mutually_exclusive_ranges(
-        _orders(spark, folder), "o_orderkey", "o_orderkey + 3", partition_by="o_orderstatus", gaps="required", hot_group_rows=500
+        _orders(spark, folder), "o_orderkey", "o_orderkey + 3", partition_by="o_orderstatus", gaps="required"
     )
 
 

@@ -131,7 +131,6 @@ def test_sequential_values(spark, rows):
     assert rows(Q.sequential_values(even, "my_even_sequence")) == [(4, 2), (6, 4)]
     twice = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 5)], "g string, x int")
     assert rows(Q.sequential_values(twice, "x", group_by=["g"])) == [("a", 1, 1)]
-    assert rows(Q.sequential_values(twice, "x", group_by=["g"], hot_group_rows=1)) == [("a", 1, 1)]
 
 
 def test_sequential_timestamps(spark, rows):
@@ -158,10 +157,9 @@ RANGES = "SELECT * FROM VALUES {} AS t(g, lo, hi)"
         ("(1,4,5),(1,4,5),(1,4,5)", "allowed", False, 2),
     ],
 )
-@pytest.mark.parametrize("hot", [0, 1_000_000])
-def test_mutually_exclusive_ranges(spark, values, gaps, zero, bad, hot):
+def test_mutually_exclusive_ranges(spark, values, gaps, zero, bad):
     df = spark.sql(RANGES.format(values))
-    found = Q.mutually_exclusive_ranges(df, "lo", "hi", "g", gaps, zero, hot_group_rows=hot)
+    found = Q.mutually_exclusive_ranges(df, "lo", "hi", "g", gaps, zero)
     assert found.count() == bad
     one = Q.mutually_exclusive_ranges(df.filter("g = 1"), "lo", "hi", None, gaps, zero)
     assert one.count() == bad

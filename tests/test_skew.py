@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from siliscope.operators import quality as Q
 from siliscope.operators.dedupe import deduplicate
+from siliscope.operators.neighbours import order_range
 from siliscope.session import scratch_path
 from siliscope.sources import bronze as B
 
@@ -25,16 +26,42 @@ def skewed(spark):
 def test_sequential_values(skewed, rows):
     window = Window.partitionBy("g").orderBy("v")
     plain = skewed.select("g", "v", F.lag("v").over(window).alias("previous_v")).filter("NOT v = previous_v + 1")
-    found = Q.sequential_values(skewed, "v", group_by=["g"], hot_group_rows=5_000)
+    found = Q.sequential_values(skewed, "v", group_by=["g"])
     assert rows(found) == rows(plain)
 
 
 def test_mutually_exclusive_ranges(skewed, rows):
-    plain = Q.mutually_exclusive_ranges(skewed, "v", "v + 2", "g", hot_group_rows=10**9)
-    found = Q.mutually_exclusive_ranges(skewed, "v", "v + 2", "g", hot_group_rows=5_000)
+    window = Window.partitionBy("g").orderBy("v")
+    plain = skewed.select(F.col("g").alias("partition_by_col"), F.col("v").alias("lower_bound"), F.lead("v").over(window).alias("next_lower_bound"))
+    plain = plain.filter("NOT coalesce(lower_bound + 2 <= next_lower_bound, true)")
+    found = Q.mutually_exclusive_ranges(skewed, "v", "v + 2", "g")
     assert rows(found.select(plain.columns)) == rows(plain)
 
 
+def test_range_checks_put_no_key_into_one_task_and_write_nothing(skewed):
+    found = Q.sequential_values(skewed, "v", group_by=["g"])
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert "Scan ExistingRDD" not in final  # no checkpoint
+    # Rows move when they are counted, by range, and when copies are dealt out; the subqueries move single numbers and the sample.
+    assert "RangePartitioning" not in final and final.count("hashpartitioning(_range") >= 1
+    ranged = skewed.select(order_range(skewed, ["g", "v"], 32).alias("r")).groupBy("r").count().collect()
+    assert len(ranged) > 20
+    distinct = skewed.select("g", "v").distinct()
+    sizes = [r["count"] for r in distinct.select(order_range(skewed, ["g", "v"], 32).alias("r")).groupBy("r").count().collect()]
+    assert max(sizes) < 4 * sum(sizes) / 32
+
+
+def test_ranges_follow_the_order(spark):
+    df = spark.createDataFrame([(None, "b"), ("x", None), ("x", "a"), (None, None), ("a", "z"), ("x", "b")], "g string, v string")
+    for ranges in (1, 2, 5, 100):
+        numbered = df.select("g", "v", order_range(df, ["g", "v"], ranges).alias("r")).collect()
+        order = sorted(numbered, key=lambda t: (t.g is None, t.g or "", t.v is None, t.v or ""))
+        assert [t.r for t in order] == sorted(t.r for t in order) and all(0 <= t.r < max(1, (ranges**0.5 + 1) ** 2) for t in order)
+    assert df.limit(0).select(order_range(df.limit(0), ["g"], 4).alias("r")).count() == 0
+
+
 def test_relationships_where(skewed, rows):
     partners = skewed.filter("v % 2 = 0").select("v")
     found = Q.relationships_where(skewed, "v", partners, "v")
