@@ -123,10 +123,13 @@ def _pages(spark, folder):
 )
 def read_bronze(spark, folder):
     rows, root = catalogue(spark, folder), scratch_path(spark, "read-bronze")
-    cpus = rows.filter("category = 'cpu'").select("name", "price_inr", "url", "cores")
+    cpus = rows.filter("category = 'cpu'").select("name", "price_inr", "url", "cores", "source")
     gpus = rows.filter("category <> 'cpu'")
     gpus = gpus.select("name", F.col("price_inr").cast("string"), "url", F.col("memory_type").alias("memory_size"))
-    cpus.write.parquet(f"{root}/cpu_details")
+    # The price changes its type inside the folder.
+    vedant = F.col("source") == "Vedant"
+    cpus.filter(vedant).drop("source").write.parquet(f"{root}/cpu_details")
+    cpus.filter(~vedant).drop("source").withColumn("price_inr", F.col("price_inr").cast("string")).write.mode("append").parquet(f"{root}/cpu_details")
     gpus.write.parquet(f"{root}/gpu_details")
     return B.read_bronze(spark, [f"{root}/cpu_details", f"{root}/gpu_details"])
 

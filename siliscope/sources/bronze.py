@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +20,8 @@ PARTITIONS = ["category", "source"]
 # Integer types from narrow to wide; mixed with a fraction they become double.
 _INTEGERS = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
 _FRACTIONS = [T.FloatType(), T.DoubleType()]
+# A conflict of types reaches Python as it is thrown in the JVM.
+_READ_ERRORS = (PySparkException, Py4JJavaError)
 
 
 def widest_type(kinds: Sequence[T.DataType]) -> T.DataType:
@@ -35,24 +38,72 @@ def widest_type(kinds: Sequence[T.DataType]) -> T.DataType:
     return T.StringType()
 
 
-def _resource(spark: SparkSession, path: str) -> DataFrame:
-    """One folder: with its partition columns, or, if its files lie in plain subfolders, all of them."""
-    reader = spark.read.option("mergeSchema", "true")
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        return reader.option("recursiveFileLookup", "true").parquet(path)
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The Parquet files below a folder, in the order they were written; no file is opened."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    return [row.path for row in sorted(listed.select("path", "modificationTime").collect(), key=lambda r: (r.modificationTime, r.path))]
 
 
-def read_bronze(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """All records below the given folders, matched by column name.
+def _conflict(error: Exception) -> bool:
+    return "CANNOT_MERGE_SCHEMAS" in str(error) or "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE" in str(error)
+
+
+def _agree(one: T.StructType, other: T.StructType) -> bool:
+    kinds = {field.name.lower(): field.dataType for field in one.fields}
+    return all(kinds.get(field.name.lower(), field.dataType) == field.dataType for field in other.fields)
+
+
+def _by_schema(spark: SparkSession, files: list[str], options: dict[str, str]) -> list[list[str]]:
+    """Files in groups that agree in the types of their columns.
+
+    Spark reads the footers of all files in one job. Only where it meets a conflict are the files, in the order they
+    were written, split in halves: a type changes at a few moments, so the jobs follow the logarithm of their number.
+    Groups that agree are joined, so that there is one scan per set of types.
+    """
 
-    Each folder is one resource with its own columns. A column that is missing
-    in a folder is NULL there; one that differs in type is read as the wider type.
+    def merged(some: list[str]) -> T.StructType:
+        return spark.read.options(**options).parquet(*some).schema
+
+    todo, groups = [files], []
+    while todo:
+        some = todo.pop()
+        try:
+            schema = merged(some)
+        except _READ_ERRORS as error:
+            if len(some) == 1 or not _conflict(error):
+                raise
+            todo += [some[: len(some) // 2], some[len(some) // 2 :]]
+            continue
+        same = next((group for group in groups if _agree(group[0], schema)), None)
+        if same is None:
+            groups.append([schema, list(some)])
+        else:
+            more = [f for f in schema.fields if f.name.lower() not in {n.lower() for n in same[0].names}]
+            same[0] = T.StructType([*same[0].fields, *more])
+            same[1] += some
+    return [found for _, found in groups]
+
+
+def _resource(spark: SparkSession, path: str) -> list[DataFrame]:
+    """One folder: with its partition columns, or, if its files lie in plain subfolders, all of them.
+
+    One table for all its files, or one for each set of types if a column has changed its type.
     """
-    parts = [_resource(spark, path) for path in paths]
+    for more in ({}, {"recursiveFileLookup": "true"}):
+        options = {"mergeSchema": "true", **more}
+        try:
+            return [spark.read.options(**options).parquet(path)]
+        except _READ_ERRORS as error:
+            if _conflict(error):
+                options = {**options, **({} if more else {"basePath": path})}
+                return [spark.read.options(**options).parquet(*files) for files in _by_schema(spark, _files(spark, path), options)]
+            if more or not isinstance(error, AnalysisException) or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+    raise AssertionError("not reached")
+
+
+def _united(parts: Sequence[DataFrame]) -> DataFrame:
+    """Rows of all parts, matched by column name, each column as the widest of its types."""
     kinds: dict[str, list[T.DataType]] = {}
     names: dict[str, str] = {}
     for part in parts:
@@ -69,6 +120,15 @@ def read_bronze(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), aligned)
 
 
+def read_bronze(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """All records below the given folders, matched by column name.
+
+    Each folder is one resource with its own columns. A column that is missing in a folder or file is NULL there; one
+    that differs in type between folders, or between files of one folder, is read as the wider type.
+    """
+    return _united([part for path in paths for part in _resource(spark, path)])
+
+
 def write_bronze(records: DataFrame, path: str, mode: str = "append") -> None:
     """Append records below ``path``, one folder per resource, or per category and source without that column.
 
@@ -81,7 +141,7 @@ def write_bronze(records: DataFrame, path: str, mode: str = "append") -> None:
 
 def read_partitioned_bronze(spark: SparkSession, path: str) -> DataFrame:
     """The dataset that ``write_bronze`` makes, with the columns of all appends; filters on the folder columns skip folders."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    return _united(_resource(spark, path))
 
 
 def _write_version(df: DataFrame, path: str, partition_by: Sequence[str]) -> tuple[dict[str, str], dict[str, str], V.Manifest]:

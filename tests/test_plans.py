@@ -148,6 +148,25 @@ def test_read_bronze_widens_types_and_fills_columns(spark, rows):
     assert rows(df.select("name", "price_inr", "Cores", "tdp")) == [("a", "1", "x", None), ("b", "2", "5", None), ("c", None, None, 7)]
 
 
+def test_read_bronze_with_types_that_change_inside_a_folder(spark, rows):
+    root = scratch_path(spark, "t")
+    for k, kind in enumerate(["int", "bigint", "string", "int", "string", "double"]):
+        df = spark.range(k, k + 1).select(F.col("id").cast(kind).alias("price_inr"), F.lit(k).alias("n"), F.lit("cpu").alias("category"))
+        df = df.withColumn("tdp", F.lit(k)) if k == 5 else df
+        df.write.mode("append").partitionBy("category").parquet(f"{root}/a")
+        df.write.mode("append").parquet(f"{root}/b/deep/{k % 2}")
+    found = B.read_bronze(spark, [f"{root}/a"])
+    assert dict(found.dtypes)["price_inr"] == "string" and dict(found.dtypes)["category"] == "string"
+    expected = [("0", 0, "cpu"), ("1", 1, "cpu"), ("2", 2, "cpu"), ("3", 3, "cpu"), ("4", 4, "cpu"), ("5.0", 5, "cpu")]
+    assert rows(found.select("price_inr", "n", "category")) == expected
+    assert rows(B.read_bronze(spark, [f"{root}/b"]).select("price_inr", "n", "category")) == expected
+    assert rows(B.read_partitioned_bronze(spark, f"{root}/a").select("price_inr", "tdp")) == [(p, 5 if n == 5 else None) for p, n, _ in expected]
+    numbers = scratch_path(spark, "t")
+    spark.range(1).select(F.col("id").cast("int").alias("x")).write.parquet(numbers)
+    spark.range(1).select(F.lit(0.5).alias("x")).write.mode("append").parquet(numbers)
+    assert rows(B.read_bronze(spark, [numbers])) == [(0.0,), (0.5,)]
+
+
 def test_write_bronze_appends_and_prunes(spark, catalogue):
     path = scratch_path(spark, "t")
     B.write_bronze(catalogue, path)
