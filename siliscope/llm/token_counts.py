@@ -4,7 +4,7 @@ Each text is encoded once, in Arrow batches; what is shuffled is one row per len
 as they are read twice and encoding is what costs time. The suffix sums go over the histogram in blocks of lengths, so
 no task sees more than one block or the list of blocks.
 
-A NULL or empty text has 0 tokens and counts as a document. Special token strings are ordinary text. Repeated rows count
+Texts may be of any length and hold runs of any length of one kind of character. A NULL or empty text has 0 tokens and counts as a document. Special token strings are ordinary text. Repeated rows count
 each. An empty table gives an empty histogram.
 """
 
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,6 +25,23 @@ MAX_VOCABULARY_BYTES = 64 << 20
 # The split into pieces that belongs to the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BLOCK = 4096
+# White space as the pattern understands it, in runs that its matcher, which goes back step by step, might not survive.
+_WHITE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_LONG_WHITE = re.compile(_WHITE + "{256,}")
+
+
+def count_tokens(encoding, text: str) -> int:
+    """Tokens of a whole text under ``PATTERN``, whatever runs of white space it holds.
+
+    The pattern takes a run of white space that something follows as one piece but for its last character, which
+    belongs to what follows, and a run at the end as one piece. So a long run is cut there and encoded as a piece.
+    """
+    total, start = 0, 0
+    for run in _LONG_WHITE.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        total += len(encoding.encode_ordinary(text[start : run.start()])) + len(encoding._encode_single_piece(text[run.start() : end]))
+        start = end
+    return total + len(encoding.encode_ordinary(text[start:]))
 
 
 def _shared_vocabulary(spark: SparkSession, path: str):
@@ -35,7 +53,8 @@ def _shared_vocabulary(spark: SparkSession, path: str):
 
 
 def token_lengths(documents: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
-    """doc_id and n_tokens of every document."""
+    """doc_id and n_tokens of every document. Long runs of white space are cut only under the pattern of this module."""
+    count = count_tokens if pattern == PATTERN else lambda encoding, text: len(encoding.encode_ordinary(text))
     shared = _shared_vocabulary(documents.sparkSession, vocabulary)
 
     def encode(batches):
@@ -44,7 +63,7 @@ def token_lengths(documents: DataFrame, vocabulary: str = VOCABULARY, pattern: s
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, shared.value.splitlines()) if token}
         encoding = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         for batch in batches:
-            lengths = [len(encoding.encode_ordinary(text)) if (text := value.as_py()) else 0 for value in batch.column(1)]
+            lengths = [count(encoding, text) if (text := value.as_py()) else 0 for value in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lengths, pa.int64())], ["doc_id", "n_tokens"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
