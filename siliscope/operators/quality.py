@@ -17,6 +17,8 @@ from .neighbours import repeat_rows, with_neighbour
 from .reshape import filtered_columns, quoted
 
 _NUMERIC = "decimal(28,6)"
+# How often a row of a counted result occurs.
+COPIES = "_copies"
 _GAP_RULES = {
     "allowed": (lambda upper, following: upper <= following, "less_than_or_equal_to"),
     "not_allowed": (lambda upper, following: upper == following, "equal_to"),
@@ -147,6 +149,19 @@ def not_null_proportion(
     return shares.filter((value < F.lit(at_least)) | (value > F.lit(at_most)))
 
 
+def recency_threshold(
+    stored: T.DataType, datepart: str, interval: int, ignore_time_component: bool = False, as_of: Column | str | None = None
+) -> Column:
+    """The time that a newest value must not lie before."""
+    if as_of is None:
+        now = F.current_timestamp()
+    else:
+        now = F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of
+    timed = stored if isinstance(stored, (T.TimestampType, T.TimestampNTZType)) else T.TimestampNTZType()
+    kind = T.DateType() if ignore_time_component else timed
+    return F.timestamp_add(datepart.upper(), F.lit(-interval), now).cast(kind)
+
+
 def recency(
     df: DataFrame,
     field: str,
@@ -160,14 +175,7 @@ def recency(
 
     ``as_of`` is the current time unless given; text is taken as a timestamp.
     """
-    if as_of is None:
-        now = F.current_timestamp()
-    else:
-        now = F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of
-    stored = df.schema[field].dataType
-    timed = stored if isinstance(stored, (T.TimestampType, T.TimestampNTZType)) else T.TimestampNTZType()
-    kind = T.DateType() if ignore_time_component else timed
-    threshold = F.timestamp_add(datepart.upper(), F.lit(-interval), now).cast(kind)
+    threshold = recency_threshold(df.schema[field].dataType, datepart, interval, ignore_time_component, as_of)
     newest = F.max(quoted(field))
     if ignore_time_component:
         newest = newest.cast("date")
@@ -186,18 +194,30 @@ def relationships_where(
     from_condition: str | Column = "true",
     to_condition: str | Column = "true",
 ) -> DataFrame:
-    """Values without a partner in ``to``, once per row that holds them.
+    """Values without a partner in ``to``, once per row that holds them."""
+    missing = relationships_where_counted(df, column, to, field, from_condition, to_condition)
+    right_id = F.lit(None).cast(to.schema[field].dataType)
+    return repeat_rows(missing, COPIES).withColumn("right_id", right_id)
+
+
+def relationships_where_counted(
+    df: DataFrame,
+    column: str,
+    to: DataFrame,
+    field: str,
+    from_condition: str | Column = "true",
+    to_condition: str | Column = "true",
+) -> DataFrame:
+    """Values without a partner in ``to``, each with the number of rows that hold it.
 
     Both sides are counted down to distinct values before the join, so a value
     held by very many rows is one row in the shuffle.
     """
     left = df.filter(_expr(from_condition)).filter(quoted(column).isNotNull())
     right = to.filter(_expr(to_condition)).filter(quoted(field).isNotNull())
-    ids = left.groupBy(quoted(column).alias("id")).agg(F.count(F.lit(1)).alias("_copies"))
+    ids = left.groupBy(quoted(column).alias("id")).agg(F.count(F.lit(1)).alias(COPIES))
     partners = right.select(quoted(field).alias("id")).distinct()
-    missing = ids.join(partners, "id", "left_anti")
-    right_id = F.lit(None).cast(to.schema[field].dataType)
-    return repeat_rows(missing, "_copies").withColumn("right_id", right_id)
+    return ids.join(partners, "id", "left_anti")
 
 
 def cardinality_equality(df: DataFrame, column: str, to: DataFrame, field: str) -> DataFrame:
@@ -291,6 +311,17 @@ def sequential_values(
     group_by: Sequence[str] = (),
 ) -> DataFrame:
     """Rows that are not one interval after the previous one of their group; NULLs and first rows pass."""
+    return repeat_rows(sequential_values_counted(df, column, interval, datepart, group_by), COPIES)
+
+
+def sequential_values_counted(
+    df: DataFrame,
+    column: str,
+    interval: int = 1,
+    datepart: str | None = None,
+    group_by: Sequence[str] = (),
+) -> DataFrame:
+    """``sequential_values`` with equal rows as one, and their number."""
     previous = f"previous_{slugify_name(column)}"
     rows = df.filter(quoted(column).isNotNull()).select(*[quoted(g) for g in group_by], quoted(column))
 
@@ -311,12 +342,12 @@ def sequential_values(
     flat = found.withColumn("_case", F.explode(cases)).select(
         *[quoted(c) for c in rows.columns],
         F.col("_case.before").alias(previous),
-        F.col("_case.copies").alias("_copies"),
+        F.col("_case.copies").alias(COPIES),
     )
-    return repeat_rows(flat.filter(breaks(quoted(column), quoted(previous))), "_copies")
+    return flat.filter((F.col(COPIES) > 0) & breaks(quoted(column), quoted(previous)))
 
 
-def mutually_exclusive_ranges(
+def mutually_exclusive_ranges_counted(
     df: DataFrame,
     lower: Column | str,
     upper: Column | str,
@@ -324,7 +355,7 @@ def mutually_exclusive_ranges(
     gaps: str = "allowed",
     zero_length_range_allowed: bool = False,
 ) -> DataFrame:
-    """Ranges that overlap the next one of their group, are empty or have a NULL bound."""
+    """``mutually_exclusive_ranges`` with equal ranges as one, and their number."""
     if gaps not in _GAP_RULES:
         raise ValueError(f"gaps must be one of {sorted(_GAP_RULES)}, got {gaps!r}")
     fits, words = _GAP_RULES[gaps]
@@ -356,6 +387,18 @@ def mutually_exclusive_ranges(
         F.struct(low.alias("after"), (F.col("_n") - 1).alias("copies")),
     )
     flat = found.withColumn("_case", F.explode(cases)).select(
-        *rows.columns, F.col("_case.after").alias("next_lower_bound"), F.col("_case.copies").alias("_copies")
+        *rows.columns, F.col("_case.after").alias("next_lower_bound"), F.col("_case.copies").alias(COPIES)
     )
-    return repeat_rows(judged(flat.filter(F.col("_copies") > 0)), "_copies")
+    return judged(flat.filter(F.col(COPIES) > 0))
+
+
+def mutually_exclusive_ranges(
+    df: DataFrame,
+    lower: Column | str,
+    upper: Column | str,
+    partition_by: Column | str | None = None,
+    gaps: str = "allowed",
+    zero_length_range_allowed: bool = False,
+) -> DataFrame:
+    """Ranges that overlap the next one of their group, are empty or have a NULL bound."""
+    return repeat_rows(mutually_exclusive_ranges_counted(df, lower, upper, partition_by, gaps, zero_length_range_allowed), COPIES)

@@ -275,11 +275,28 @@ _CHECKS = [
     Check("keys unique", "orders", "unique", {"column": "o_orderkey"}, error_if="> 10", warn_if="> 0"),
     Check("some large balance", "customer", "expression_is_true", {"expression": "c_acctbal < 9000"}, error_if="> 1000000"),
 ]
+# With these, every kind of check.
+_MORE_CHECKS = [
+    Check("line has its key twice", "lineitem", "unique_combination_of_columns", {"columns": ["l_orderkey", "l_partkey"]}),
+    Check("part once an order", "lineitem", "not_constant", {"column": "l_partkey", "group_by": ["l_orderkey"]}, where="l_quantity > 10"),
+    Check("order has a small line", "lineitem", "at_least_one", {"column": "l_quantity", "group_by": ["l_orderkey"]}),
+    Check("flags that must not be", "lineitem", "not_accepted_values", {"column": "l_returnflag", "values": ["A", "X"]}),
+    Check("quantity not constant", "lineitem", "not_constant", {"column": "l_quantity"}),
+    Check("some tax", "lineitem", "at_least_one", {"column": "l_tax"}, where="l_tax > 100"),
+    Check("status same twice", "orders", "assert_equal", {"actual": "o_custkey", "expected": "o_orderkey"}),
+    Check("orders are recent", "orders", "recency", {"field": "o_orderdate", "datepart": "day", "interval": 30, "as_of": "1999-01-01 00:00:00"}),
+    Check("each status is recent", "orders", "recency", {"field": "o_orderdate", "datepart": "day", "interval": 30, "group_by": ["o_orderstatus"], "as_of": "1990-01-01 00:00:00"}),
+    Check("prices given", "orders", "not_null_proportion", {"column": "o_totalprice", "at_least": 0.5, "at_most": 0.9}),
+    Check("prices given by customer", "orders", "not_null_proportion", {"column": "o_totalprice", "at_least": 0.9, "group_by": ["o_custkey"]}),
+    Check("same customers", "orders", "cardinality_equality", {"column": "o_custkey", "to": "customer", "field": "c_custkey"}),
+    Check("as many orders", "orders", "equal_rowcount", {"compare": "customer"}),
+    Check("customers equal", "customer", "equality", {"compare": "customer"}),
+    Check("keys follow", "lineitem", "sequential_values", {"column": "l_orderkey"}),
+    Check("spans apart", "orders", "mutually_exclusive_ranges", {"lower": "o_orderdate", "upper": "o_orderdate + INTERVAL 20 DAY", "partition_by": "o_custkey"}),
+]
 
 
-@QUERIES.add(
-    "dq_run",
-    """SELECT "check", table_name, CAST(failures AS BIGINT) AS failures, CASE WHEN is_error THEN 'fail' WHEN is_warn THEN 'warn' ELSE 'pass' END AS status FROM (
+_DQ_SQL = """SELECT "check", table_name, CAST(failures AS BIGINT) AS failures, CASE WHEN is_error THEN 'fail' WHEN is_warn THEN 'warn' ELSE 'pass' END AS status FROM (
   SELECT "check", table_name, failures, CASE "check" WHEN 'status known' THEN false WHEN 'keys unique' THEN failures > 10
     WHEN 'some large balance' THEN failures > 1000000 ELSE failures <> 0 END AS is_error,
     CASE "check" WHEN 'keys unique' THEN failures > 0 ELSE failures <> 0 END AS is_warn FROM (
@@ -291,8 +308,37 @@ _CHECKS = [
   UNION ALL SELECT 'fewer orders', 'orders', CASE WHEN x > y THEN x - y WHEN x = y THEN 1 ELSE 0 END FROM (SELECT (SELECT count(*) FROM orders) AS x, (SELECT count(*) FROM lineitem) AS y)
   UNION ALL SELECT 'order key given', 'orders', count(*) FROM orders WHERE o_orderkey IS NULL
   UNION ALL SELECT 'keys unique', 'orders', count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)
-  UNION ALL SELECT 'some large balance', 'customer', count(*) FROM customer WHERE NOT c_acctbal < 9000))""",
-)
+  UNION ALL SELECT 'some large balance', 'customer', count(*) FROM customer WHERE NOT c_acctbal < 9000 {more}))"""
+_MORE_SQL = """
+  UNION ALL SELECT 'line has its key twice', 'lineitem', count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_partkey HAVING count(*) > 1)
+  UNION ALL SELECT 'part once an order', 'lineitem', count(*) FROM (SELECT 1 FROM lineitem WHERE l_quantity > 10 GROUP BY l_orderkey HAVING count(DISTINCT l_partkey) = 1)
+  UNION ALL SELECT 'order has a small line', 'lineitem', count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey HAVING count(l_quantity) = 0)
+  UNION ALL SELECT 'flags that must not be', 'lineitem', count(DISTINCT l_returnflag) FROM lineitem WHERE l_returnflag IN ('A', 'X')
+  UNION ALL SELECT 'quantity not constant', 'lineitem', CASE WHEN count(DISTINCT l_quantity) = 1 THEN 1 ELSE 0 END FROM lineitem
+  UNION ALL SELECT 'some tax', 'lineitem', CASE WHEN count(l_tax) = 0 THEN 1 ELSE 0 END FROM lineitem WHERE l_tax > 100
+  UNION ALL SELECT 'status same twice', 'orders', count(*) FROM orders WHERE o_custkey <> o_orderkey
+  UNION ALL SELECT 'orders are recent', 'orders', CASE WHEN max(o_orderdate) < TIMESTAMP '1998-12-02' THEN 1 ELSE 0 END FROM orders
+  UNION ALL SELECT 'each status is recent', 'orders', count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderstatus HAVING max(o_orderdate) < TIMESTAMP '1989-12-02')
+  UNION ALL SELECT 'prices given', 'orders', CASE WHEN count(o_totalprice) / count(*) NOT BETWEEN 0.5 AND 0.9 THEN 1 ELSE 0 END FROM orders
+  UNION ALL SELECT 'prices given by customer', 'orders', count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey HAVING count(o_totalprice) / count(*) NOT BETWEEN 0.9 AND 1)
+  UNION ALL SELECT 'same customers', 'orders', count(*) FROM (
+    (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1 EXCEPT SELECT c_custkey, count(*) FROM customer GROUP BY 1)
+    UNION ALL (SELECT c_custkey, count(*) FROM customer GROUP BY 1 EXCEPT SELECT o_custkey, count(*) FROM orders GROUP BY 1))
+  UNION ALL SELECT 'as many orders', 'orders', abs((SELECT count(*) FROM orders) - (SELECT count(*) FROM customer))
+  UNION ALL SELECT 'customers equal', 'customer', 0
+  UNION ALL SELECT 'keys follow', 'lineitem', count(*) FROM (SELECT l_orderkey, lag(l_orderkey) OVER (ORDER BY l_orderkey) AS p FROM lineitem WHERE l_orderkey IS NOT NULL)
+    WHERE l_orderkey <> p + 1
+  UNION ALL SELECT 'spans apart', 'orders', count(*) FROM (SELECT o_orderdate + INTERVAL 20 DAY AS hi, lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS nx FROM orders)
+    WHERE NOT coalesce(hi <= nx, true)"""
+
+
+@QUERIES.add("dq_run", _DQ_SQL.replace("{more}", ""))
 def run_checks(spark, folder):
     tables = {name: read_table(spark, folder, name) for name in ("lineitem", "orders", "customer")}
     return dq_run(tables, _CHECKS)
+
+
+@QUERIES.add("dq_run_all_kinds", _DQ_SQL.replace("{more}", _MORE_SQL))
+def run_all_checks(spark, folder):
+    tables = {name: read_table(spark, folder, name) for name in ("lineitem", "orders", "customer")}
+    return dq_run(tables, _CHECKS + _MORE_CHECKS)

@@ -210,3 +210,48 @@ def test_dq_run(spark, rows):
     )
     with pytest.raises(ValueError):
         dq_run({"t": t}, [Check("x", "t", "no such kind")])
+
+
+# --- many checks in one pass ---
+
+
+def _odd_table(spark):
+    rows = [(1, "a", 1.0, "x"), (2, "a", None, "x"), (2, "b", 3.0, None), (None, "b", 3.0, "y"), (5, None, 7.0, "x"), (5, None, 7.0, " "), (9, "c", None, "z")]
+    return spark.createDataFrame(rows, "k int, g string, v double, t string").withColumn("at", F.expr("timestamp_ntz'2026-01-01' + make_interval(0, 0, 0, k)"))
+
+
+ONE_TABLE = [
+    ("unique", {"column": "k"}), ("unique_combination_of_columns", {"columns": ["k", "g"]}), ("unique_combination_of_columns", {"columns": ["g"]}),
+    ("accepted_values", {"column": "g", "values": ["a"]}), ("not_accepted_values", {"column": "g", "values": ["a", "c", "q"]}), ("at_least_one", {"column": "v"}),
+    ("at_least_one", {"column": "v", "group_by": ["g"]}), ("not_constant", {"column": "v"}), ("not_constant", {"column": "v", "group_by": ["g"]}),
+    ("not_constant", {"column": "t", "group_by": ["g", "k"]}), ("not_null_proportion", {"column": "v", "at_least": 0.8, "group_by": ["g"]}),
+    ("recency", {"field": "at", "datepart": "day", "interval": 3, "as_of": "2026-01-10 00:00:00"}),
+    ("recency", {"field": "at", "datepart": "day", "interval": 3, "as_of": "2026-01-10 00:00:00", "group_by": ["g"]}),
+    ("recency", {"field": "at", "datepart": "day", "interval": 1, "as_of": "2026-01-11 00:00:00", "ignore_time_component": True}),
+    ("not_null", {"column": "k"}), ("not_empty_string", {"column": "t"}), ("accepted_range", {"column": "v", "max_value": 5}), ("sequential_values", {"column": "k"}),
+    ("mutually_exclusive_ranges", {"lower": "k", "upper": "k + 1", "partition_by": "g"}), ("relationships_where", {"column": "k", "to": "t", "field": "v"}),
+]
+
+
+@pytest.mark.parametrize("where", [None, "t = 'x'", "v > 2", "g = 'nothing'"])
+def test_one_pass_counts_what_the_checks_return(spark, where):
+    df = _odd_table(spark)
+    checks = [Check(f"{i} {kind}", "t", kind, args, where=where) for i, (kind, args) in enumerate(ONE_TABLE)]
+    found = {r["check"]: r["failures"] for r in dq_run({"t": df}, checks).collect()}
+    rows = df if where is None else df.filter(where)
+    for i, (kind, args) in enumerate(ONE_TABLE):
+        own = {k: df if k == "to" else v for k, v in args.items()}
+        assert found[f"{i} {kind}"] == getattr(Q, kind)(rows, **own).count(), (kind, args)
+
+
+def test_checks_share_their_scans_and_expand_nothing(spark, data):
+    orders, lines = (spark.read.parquet(f"{data}/{name}.parquet") for name in ("orders", "lineitem"))
+    checks = [
+        Check("a", "orders", "not_null", {"column": "o_custkey"}), Check("b", "orders", "not_constant", {"column": "o_custkey"}),
+        Check("c", "orders", "recency", {"field": "o_orderdate", "datepart": "day", "interval": 3}), Check("d", "orders", "unique", {"column": "o_custkey"}),
+        Check("e", "orders", "accepted_values", {"column": "o_custkey", "values": [1]}), Check("f", "orders", "at_least_one", {"column": "o_totalprice", "group_by": ["o_custkey"]}),
+    ]
+    plan = dq_run({"orders": orders}, checks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2  # one without groups, one by customer
+    check = [Check("x", "orders", "relationships_where", {"column": "o_custkey", "to": "lines", "field": "l_partkey"})]
+    assert "Generate" not in dq_run({"orders": orders, "lines": lines}, check)._jdf.queryExecution().executedPlan().toString()
