@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,13 +99,15 @@ def column_values(
 
 
 def column_value_list(
-    df: DataFrame | None, column: str, max_records: int | None, default: list | None = None, **options
+    df: DataFrame | None, column: str, max_records: int, default: list | None = None, **options
 ) -> list:
-    """The first ``max_records`` of ``column_values`` as a list, for naming pivot columns; None takes all of them.
+    """The first ``max_records`` of ``column_values`` as a list, for naming pivot columns.
 
-    The caller answers for the size: ``pivot_long`` needs no list. ``default`` is used when there is no table
-    (``df`` is None) or it has no rows.
+    The list comes to the driver, so its length must be bounded; ``pivot_map`` and ``pivot_long`` need no list.
+    ``default`` is used when there is no table (``df`` is None) or it has no rows.
     """
+    if max_records is None or max_records < 1:
+        raise ValueError("a list of values needs a bound")
     if df is None:
         if default is None:
             raise ValueError("the table does not exist and no default was given")
@@ -154,11 +156,66 @@ def pivot_columns(
     return out
 
 
+def _pivot_distinct(
+    df: DataFrame, group_by: Sequence[str], column: str, values: Sequence, agg: str, then_value, else_value, named: Callable[[object], str]
+) -> DataFrame:
+    """A pivot over distinct operands of equal values: rows are made distinct per group, value and operand, then aggregated.
+
+    Of the rows that do not match, all that counts is that there is one: they give the else value once, unless a
+    matching row gives it as well.
+    """
+    operand = then_value if isinstance(then_value, Column) else F.expr(then_value) if isinstance(then_value, str) else F.lit(then_value)
+    hit = F.when(F.lit(True), operand).otherwise(F.lit(else_value))  # the type that both share
+    keys = [quoted(name) for name in group_by]
+    cells = df.select(*keys, quoted(column).alias("_value"), hit.alias("_operand")).distinct()
+    out = []
+    for value in values:
+        matches = F.coalesce(F.col("_value") == F.lit(value), F.lit(False))
+        own = F.when(matches, F.col("_operand"))
+        if else_value is None:
+            other = F.lit(None)
+        else:
+            same = F.coalesce(F.col("_operand") == F.lit(else_value), F.lit(False))
+            other = F.when(F.bool_or(~matches) & ~F.bool_or(matches & same), F.lit(else_value))
+        if agg == "count":
+            result = F.count(own) + F.when(other.isNotNull(), 1).otherwise(0)
+        else:
+            summed = F.sum(own)
+            result = F.when(summed.isNull(), other).when(other.isNull(), summed).otherwise(summed + other)
+        out.append(result.alias(named(value)))
+    return cells.groupBy(*keys).agg(*out)
+
+
 def pivot(df: DataFrame, group_by: Sequence[str], column: str, values: Sequence, **options) -> DataFrame:
-    """One row per group, one column per value; combinations without rows give the else value."""
+    """One row per group, one column per value; combinations without rows give the else value.
+
+    Distinct sums and counts of equal values go in two phases; other comparisons let Spark expand the rows once per value.
+    """
+    plain = not isinstance(options.get("else_value", 0), (Column, str))
+    agg, same = options.get("agg", "sum"), options.get("cmp", "=") == "="
+    if options.get("distinct") and agg in _DISTINCT and same and plain and options.get("alias", True):
+        prefix, suffix = options.get("prefix", ""), options.get("suffix", "")
+
+        def named(value) -> str:
+            name = f"{prefix}{value}{suffix}"
+            return name if options.get("quote_identifiers", True) else slugify_name(name)
+
+        return _pivot_distinct(df, group_by, column, values, agg, options.get("then_value", 1), options.get("else_value", 0), named)
     return df.groupBy(*[quoted(name) for name in group_by]).agg(*pivot_columns(column, values, **options))
 
 
+def pivot_map(df: DataFrame, group_by: Sequence[str], column: str, aggregate: Column, out: str = "cells") -> DataFrame:
+    """One row per group with a map of value to aggregate: the values need not be known, and none goes through the driver.
+
+    Rows are aggregated per group and value first; a NULL value is left out, as a map has no such key. A map holds one
+    entry per value of its group; where a group may have very many values, ``pivot_long`` keeps them as rows.
+    """
+    cells = pivot_long(df.filter(quoted(column).isNotNull()), group_by, column, aggregate.alias("_cell"))
+    entries = F.array_sort(F.collect_list(F.struct("value", "_cell")))
+    found = cells.groupBy(*[quoted(name) for name in group_by]).agg(F.map_from_entries(entries).alias(out))
+    return found
+
+
 def unpivot(
     df: DataFrame,
     cast_to: str = "string",

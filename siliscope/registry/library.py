@@ -124,6 +124,27 @@ def pivot_values_from_table(spark, folder):
     )
 
 
+@QUERIES.add(
+    "pivot_distinct",
+    """SELECT user_id, count(DISTINCT CASE WHEN event_type = 'click' THEN CAST(value AS INTEGER) ELSE 7 END) AS click,
+  count(DISTINCT CASE WHEN event_type = 'view' THEN CAST(value AS INTEGER) ELSE 7 END) AS view FROM events GROUP BY user_id""",
+)
+def pivot_distinct(spark, folder):
+    events = read_table(spark, folder, "events").withColumn("whole", F.rint("value").cast("int"))
+    return R.pivot(events, ["user_id"], "event_type", ["click", "view"], agg="count", distinct=True, then_value="whole", else_value=7)
+
+
+@QUERIES.add(
+    "pivot_map",
+    """SELECT o_custkey, count(DISTINCT o_orderpriority) AS n_values, count(*) FILTER (o_orderpriority = '1-URGENT') AS urgent,
+  count(*) FILTER (o_orderpriority = '5-LOW') AS low FROM orders GROUP BY o_custkey""",
+)
+def pivot_map(spark, folder):
+    cells = R.pivot_map(read_table(spark, folder, "orders"), ["o_custkey"], "o_orderpriority", F.count(F.lit(1)))
+    entry = lambda name: F.coalesce(F.element_at("cells", F.lit(name)), F.lit(0).cast("long"))
+    return cells.select("o_custkey", F.size("cells").cast("long").alias("n_values"), entry("1-URGENT").alias("urgent"), entry("5-LOW").alias("low"))
+
+
 @QUERIES.add(
     "unpivot",
     """SELECT o_orderkey, 'o_custkey' AS prop, CAST(o_custkey AS VARCHAR) AS val FROM orders

@@ -43,14 +43,14 @@ def test_base_model(spark):
 
 def test_column_values(spark):
     df = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2), ("c", 2), (None, 9)], "field string, x int")
-    assert R.column_value_list(df, "field", None) == ["b", "a", "c", None]
+    assert R.column_value_list(df, "field", 99) == ["b", "a", "c", None]
     assert R.column_value_list(df, "field", max_records=1) == ["b"]
-    assert R.column_value_list(df, "field", None, where="x = 2") == ["b", "c"]
-    assert R.column_value_list(df, "field", None, order_by=[(F.max("x"), False)])[0] is None
-    assert R.column_value_list(df, "field", None, where="x = 77", default=["z"]) == ["z"]
-    assert R.column_value_list(None, "field", None, default=["z"]) == ["z"]
+    assert R.column_value_list(df, "field", 99, where="x = 2") == ["b", "c"]
+    assert R.column_value_list(df, "field", 99, order_by=[(F.max("x"), False)])[0] is None
+    assert R.column_value_list(df, "field", 99, where="x = 77", default=["z"]) == ["z"]
+    assert R.column_value_list(None, "field", 99, default=["z"]) == ["z"]
     with pytest.raises(ValueError):
-        R.column_value_list(None, "field", None)
+        R.column_value_list(None, "field", 99)
 
 
 # --- pivot, unpivot, union ---
@@ -69,6 +69,25 @@ def test_pivot(spark, rows):
     assert rows(distinct) == [("L", 0), ("M", 1), ("S", 1)]
 
 
+@pytest.mark.parametrize("agg", ["sum", "count"])
+@pytest.mark.parametrize("else_value", [0, 5, None])
+def test_distinct_pivot_equals_distinct_aggregates(spark, rows, agg, else_value):
+    values = [("g", "a", 5), ("g", "a", 5), ("g", "a", None), ("g", "b", 7), ("g", None, 8), ("h", "b", 5), ("h", "b", 6), ("i", None, None), (None, "a", 1), (None, "a", 2)]
+    df = spark.createDataFrame(values, "g string, v string, x int")
+    two = R.pivot(df, ["g"], "v", ["a", "b", "no"], agg=agg, distinct=True, then_value="x", else_value=else_value)
+    columns = R.pivot_columns("v", ["a", "b", "no"], agg=agg, distinct=True, then_value="x", else_value=else_value)
+    assert rows(two) == rows(df.groupBy("g").agg(*columns)) and two.columns == ["g", "a", "b", "no"]
+    assert "Expand" not in two._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pivot_map(spark):
+    df = spark.createDataFrame([("g", "a", 1), ("g", "a", 2), ("g", None, 3), ("h", "b", 4)], "g string, v string, x int")
+    found = {r.g: r.cells for r in R.pivot_map(df, ["g"], "v", F.sum("x")).collect()}
+    assert found == {"g": {"a": 3}, "h": {"b": 4}}
+    with pytest.raises(ValueError):
+        R.column_value_list(df, "v", None)
+
+
 def test_unpivot(spark, rows):
     df = spark.createDataFrame([(1, "2020-01-01", True, 5, "x")], "customer_id int, created_at string, flag boolean, n int, name string")
     out = R.unpivot(df, exclude=["customer_id", "created_at"], remove=["NAME"], field_name="prop", value_name="val")
