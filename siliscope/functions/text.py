@@ -17,9 +17,9 @@ def parsed(text: Column, kind: str) -> Column:
 
 
 def clean_price(text: Column) -> Column:
-    """Digits before the first point as a long; anything without digits is 0."""
+    """Digits before the first point as a long; anything without digits is 0, more digits than a long holds are NULL."""
     digits = F.regexp_replace(F.substring_index(text, ".", 1), "[^0-9]", "")
-    return F.coalesce(parsed(digits, "bigint"), F.lit(0).cast("bigint"))
+    return F.when(digits.isNull() | (digits == ""), F.lit(0).cast("bigint")).otherwise(parsed(digits, "bigint"))
 
 
 def normalize_spec_key(key: Column, drop_colon: bool = False) -> Column:

@@ -43,7 +43,7 @@ def sync(
     """
     bronze = specs_to_columns(B.read_partitioned_bronze(spark, bronze_path), MODEL_KEYS, keep_map=True)
     if bronze.isEmpty():
-        counts = "rows_read bigint, dropped_null_name bigint, dropped_no_price bigint"
+        counts = ", ".join(f"{count} bigint" for count in silver.DROP_COUNTS)
         return spark.createDataFrame([], f"table_name string, {counts}, rows_sent bigint, rows_stored bigint, matches boolean")
 
     def cleaned(category: str | None) -> tuple[DataFrame, Observation]:

@@ -14,7 +14,7 @@ RTX_MARK = "rtx"
 NAME_PREFIX = 50
 DEFAULT_RAM_GB = 8
 UPDATED_AT = "dbt_updated_at"
-DROP_COUNTS = ["rows_read", "dropped_null_name", "dropped_no_price"]
+DROP_COUNTS = ["rows_read", "dropped_null_name", "dropped_no_price", "dropped_unread_price"]
 # End of fixed values.
 
 
@@ -29,7 +29,10 @@ def sync_clean(bronze: DataFrame) -> DataFrame:
 
 
 def sync_clean_observed(bronze: DataFrame) -> tuple[DataFrame, Observation]:
-    """``sync_clean`` plus the dropped counts, taken in the same pass when the result is used."""
+    """``sync_clean`` plus the dropped counts, taken in the same pass when the result is used.
+
+    Prices that could not be read (NULL, such as more digits than a long holds) are among those without a price, and have a count of their own.
+    """
     seen = Observation()
     no_name = F.col("name").isNull()
     counted = bronze.observe(
@@ -37,6 +40,7 @@ def sync_clean_observed(bronze: DataFrame) -> tuple[DataFrame, Observation]:
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(no_name).alias("dropped_null_name"),
         F.count_if(~no_name & ~F.coalesce(F.col("price_inr") > 0, F.lit(False))).alias("dropped_no_price"),
+        F.count_if(~no_name & F.col("price_inr").isNull()).alias("dropped_unread_price"),
     )
     return counted.filter(valid_record()), seen
 
@@ -48,6 +52,7 @@ def sync_report(bronze: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(no_name).alias("dropped_null_name"),
         F.count_if(~no_name & ~F.coalesce(F.col("price_inr") > 0, F.lit(False))).alias("dropped_no_price"),
+        F.count_if(~no_name & F.col("price_inr").isNull()).alias("dropped_unread_price"),
         F.count_if(valid_record()).alias("rows_clean"),
     )
 

@@ -311,7 +311,8 @@ def extract_price_text(spark, folder):
 
 @QUERIES.add(
     "clean_price",
-    """SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS whole, CAST(0 AS BIGINT) AS marked, CAST(0 AS BIGINT) AS nothing FROM orders""",
+    """SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS whole, CAST(0 AS BIGINT) AS marked, CAST(0 AS BIGINT) AS nothing,
+  TRY_CAST('9' || lpad(CAST(o_orderkey AS VARCHAR), 17 + CAST(o_custkey % 3 AS INTEGER), '0') AS BIGINT) AS long FROM orders""",
 )
 def clean_prices(spark, folder):
     orders = read_table(spark, folder, "orders")
@@ -321,6 +322,7 @@ def clean_prices(spark, folder):
         clean_price(F.concat(F.lit("  ₹ "), money, F.lit(" "))).alias("whole"),
         clean_price(F.concat(F.lit("Rs. "), money)).alias("marked"),
         clean_price(F.lower(F.col("o_orderstatus"))).alias("nothing"),
+        clean_price(F.concat(F.lit("₹9,"), F.lpad(F.col("o_orderkey").cast("string"), (17 + F.col("o_custkey") % 3).cast("int"), "0"), F.lit(".50"))).alias("long"),
     )
 
 
@@ -457,7 +459,7 @@ def sync_clean(spark, folder):
     over_catalogue(
         f"""SELECT count(*) AS rows_read, count(*) FILTER (name IS NULL) AS dropped_null_name,
   count(*) FILTER (name IS NOT NULL AND (price_inr IS NULL OR price_inr <= 0)) AS dropped_no_price,
-  count(*) FILTER ({_CLEAN}) AS rows_clean FROM catalogue"""
+  count(*) FILTER (name IS NOT NULL AND price_inr IS NULL) AS dropped_unread_price, count(*) FILTER ({_CLEAN}) AS rows_clean FROM catalogue"""
     ),
 )
 def sync_report(spark, folder):
@@ -617,6 +619,7 @@ _STORED = f"SELECT * FROM ({_RECORD}) WHERE price_inr > 0"
     over_catalogue(
         f"""SELECT CASE category WHEN 'cpu' THEN 'cpus' WHEN 'gpu' THEN 'gpus' WHEN 'laptop' THEN 'laptops' WHEN 'monitor' THEN 'monitors' ELSE 'ram' END AS table_name,
   count(*) AS rows_read, count(*) FILTER (name IS NULL) AS dropped_null_name, count(*) FILTER (price_inr <= 0) AS dropped_no_price,
+  count(*) FILTER (price_inr IS NULL) AS dropped_unread_price,
   count(*) FILTER (price_inr > 0) AS rows_sent, count(*) FILTER (price_inr > 0) AS rows_stored, true AS matches
   FROM ({_RECORD}) GROUP BY 1"""
     ),

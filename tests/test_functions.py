@@ -25,7 +25,7 @@ def one(spark, schema, values, column):
 
 def test_clean_price(spark):
     texts = ["₹12,345.00", "Rs. 12,345", "  1 200 ", "", None, "call us", "9" * 30, "0"]
-    assert one(spark, "t string", [(t,) for t in texts], clean_price(F.col("t"))) == [12345, 0, 1200, 0, 0, 0, 0, 0]
+    assert one(spark, "t string", [(t,) for t in texts], clean_price(F.col("t"))) == [12345, 0, 1200, 0, 0, 0, None, 0]
 
 
 def test_normalize_spec_key(spark):

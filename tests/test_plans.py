@@ -35,8 +35,8 @@ def test_sync_clean_counts_what_it_drops(spark, rows):
     assert rows(silver.sync_clean(df)) == [("a", 1)]
     clean, seen = silver.sync_clean_observed(df)
     assert clean.count() == 1
-    assert seen.get == {"rows_read": 5, "dropped_null_name": 2, "dropped_no_price": 2}
-    assert rows(silver.sync_report(df)) == [(5, 2, 2, 1)]
+    assert seen.get == {"rows_read": 5, "dropped_null_name": 2, "dropped_no_price": 2, "dropped_unread_price": 1}
+    assert rows(silver.sync_report(df)) == [(5, 2, 2, 1, 1)]
 
 
 def test_stg_cpus_keeps_the_predicate(spark):
