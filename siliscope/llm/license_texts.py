@@ -1,5 +1,6 @@
 """Full licence texts, as their publishers give them."""
 
+# The words of the licence.
 APACHE_2 = """
 Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION,
 AND DISTRIBUTION 1. Definitions. "License" shall mean the terms and conditions for use, reproduction, and
@@ -83,3 +84,4 @@ responsibility, not on behalf of any other Contributor, and only if You agree to
 Contributor harmless for any liability incurred by, or claims asserted against, such Contributor by reason of your
 accepting any such warranty or additional liability.
 """
+# End of fixed values.

@@ -126,7 +126,7 @@ def _gnu_header(name: str, version: str, work: str = "program") -> str:
         https://www.gnu.org/licenses/."""
 
 
-# What the first templates lack; LICENSE_SQL does not hold these.
+# Notices and texts that the first templates lack; LICENSE_SQL does not hold these.
 MORE_TEMPLATES = {
     "gpl-2-header": ("GPL-2.0", _gnu_header("General ", "2")),
     "lgpl-2.1-notice": ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
@@ -145,6 +145,7 @@ MORE_TEMPLATES = {
     ),
     "apache-2-text": ("Apache-2.0", APACHE_2),
 }
+# End of fixed values.
 ALL_TEMPLATES = TEMPLATES | MORE_TEMPLATES
 
 # Bigrams that tell a licence from its siblings: a text that gets its name holds one of each tuple ...
