@@ -212,6 +212,37 @@ def equality_rounded(spark, folder):
     return found.withColumn("price", (F.col("price") * 10).cast("bigint"))
 
 
+_ALMOST = "SELECT * EXCLUDE (o_totalprice), o_totalprice + CASE WHEN o_orderkey % 5003 = 0 THEN 1 ELSE 0 END AS o_totalprice FROM orders"
+
+
+def _almost_orders(spark, folder):
+    """The orders with a few changed prices."""
+    changed = F.when(F.col("o_orderkey") % 5003 == 0, 1).otherwise(0)
+    return _orders(spark, folder).withColumn("o_totalprice", F.col("o_totalprice") + changed)
+
+
+@QUERIES.add(
+    "equality_by_digest",
+    f"""WITH a AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders),
+  b AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM ({_ALMOST}))
+  SELECT 'a_minus_b' AS which_diff, * FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
+  UNION ALL SELECT 'b_minus_a', * FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""",
+)
+def equality_by_digest(spark, folder):
+    columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
+    return Q.equality(_orders(spark, folder), _almost_orders(spark, folder), compare_columns=columns, by_digest=True)
+
+
+@QUERIES.add(
+    "cardinality_equality_by_digest",
+    f"""SELECT * FROM (WITH a AS (SELECT o_totalprice, count(*) AS num_rows FROM orders GROUP BY 1),
+  b AS (SELECT o_totalprice, count(*) AS num_rows FROM ({_ALMOST}) GROUP BY 1)
+  (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT SELECT * FROM a))""",
+)
+def cardinality_equality_by_digest(spark, folder):
+    return Q.cardinality_equality(_orders(spark, folder), "o_totalprice", _almost_orders(spark, folder), "o_totalprice", by_digest=True)
+
+
 # --- order of rows ---
 
 
