@@ -93,7 +93,12 @@ _PAGE_SPECS = """SELECT item_id, source, category, 'cores' AS spec_key, coalesce
     WHERE source = 'MD Computers' OR (source = 'PrimeABGB' AND category = 'monitor')
   UNION ALL SELECT item_id, source, category, 'memory_type', memory_type FROM catalogue
     WHERE memory_type IS NOT NULL AND (source <> 'PrimeABGB' OR category = 'monitor')
-  UNION ALL SELECT item_id, source, category, 'brand', brand FROM catalogue WHERE source = 'MD Computers' AND item_id % 3 = 0"""
+  UNION ALL SELECT item_id, source, category, 'brand', brand FROM catalogue WHERE source = 'MD Computers' AND item_id % 3 = 0
+  UNION ALL SELECT item_id, source, category, 'category', 'Components' FROM catalogue WHERE source = 'MD Computers' AND item_id % 10 = 3
+  UNION ALL SELECT item_id, source, category, 'category', 'Hardware' FROM catalogue WHERE source = 'Vedant' AND item_id % 4 = 1
+  UNION ALL SELECT item_id, source, category, 'source', 'Imported & boxed' FROM catalogue WHERE source = 'MD Computers' AND item_id % 14 = 5
+  UNION ALL SELECT item_id, source, category, 'warranty_term', CAST(item_id % 3 + 1 AS VARCHAR) || ' Years' FROM catalogue WHERE source = 'MD Computers'
+  UNION ALL SELECT item_id, source, category, 'box_contents', brand FROM catalogue WHERE source = 'Vedant' AND brand IS NOT NULL"""
 _NOT_COMBO = f"""NOT (category = 'cpu' AND {_CPU_COMBO.replace("(t)", "(n)")}) AND NOT (category = 'gpu' AND {_GPU_COMBO.replace("(t)", "(n)")})"""
 
 
@@ -338,9 +343,10 @@ def extract_specs(spark, folder):
 @QUERIES.add(
     "spec_key_census",
     over_catalogue(
-        f"""SELECT category, spec_key, count(*) AS n_records FROM
-  (SELECT s.*, {_PAGE_NAME} AS n FROM ({_PAGE_SPECS}) s JOIN (SELECT item_id, name FROM catalogue) USING (item_id))
-  WHERE {_NOT_COMBO} GROUP BY category, spec_key"""
+        f"""SELECT coalesce(v.own, r.category) AS category, spec_key, count(*) AS n_records FROM
+  (SELECT s.*, {_PAGE_NAME} AS n FROM ({_PAGE_SPECS}) s JOIN (SELECT item_id, name FROM catalogue) USING (item_id)) r
+  LEFT JOIN (SELECT item_id, spec_value AS own FROM ({_PAGE_SPECS}) WHERE spec_key = 'category') v USING (item_id)
+  WHERE {_NOT_COMBO.replace('category', 'r.category')} GROUP BY 1, spec_key"""
     ),
 )
 def spec_key_census(spark, folder):
@@ -370,36 +376,45 @@ def extract_highlights(spark, folder):
     return X.extract_highlights(_pages(spark, folder))
 
 
-_RECORD = f"""SELECT c.name, c.url, c.source, c.category,
+_RECORD = f"""SELECT c.name, c.url, coalesce(f.spec_value, c.source) AS source, coalesce(k.spec_value, c.category) AS category, c.category AS resource,
   coalesce(b.spec_value, CASE c.category WHEN 'cpu' THEN {_CPU_BRAND.replace('(t)', '(c.n)')} WHEN 'gpu' THEN {_GPU_BRAND.replace('(t)', '(c.n)')} END) AS brand,
   CASE WHEN c.category = 'ram' THEN {_FORM.replace('(t)', '(c.n)')} END AS form_factor, c.price_inr,
   CASE WHEN c.source = 'PrimeABGB' AND c.category <> 'monitor' THEN coalesce(c.cores || ' | ', '') || c.speed || ' > 1' END AS highlights,
   c.item_id
   FROM (SELECT item_id, url, source, category, cores, speed, {_PAGE_NAME} AS name, {_PAGE_NAME} AS n, {_PAGE_PRICE} AS price_inr FROM catalogue) c
   LEFT JOIN (SELECT * FROM ({_PAGE_SPECS}) WHERE spec_key = 'brand') b USING (item_id)
+  LEFT JOIN (SELECT * FROM ({_PAGE_SPECS}) WHERE spec_key = 'category') k USING (item_id)
+  LEFT JOIN (SELECT * FROM ({_PAGE_SPECS}) WHERE spec_key = 'source') f USING (item_id)
   WHERE {_NOT_COMBO.replace('category', 'c.category')}"""
 
 
 @QUERIES.add(
     "base_record",
-    over_catalogue(f"SELECT name, url, source, category, brand, form_factor, price_inr, highlights FROM ({_RECORD})"),
+    over_catalogue(f"SELECT name, url, source, category, resource, brand, form_factor, price_inr, highlights FROM ({_RECORD})"),
 )
 def base_records(spark, folder):
-    return X.extract_products(_pages(spark, folder)).drop("specs", "resource")
+    return X.extract_products(_pages(spark, folder)).drop("specs")
 
 
 @QUERIES.add(
     "specs_to_columns",
     over_catalogue(
-        f"""SELECT r.url, r.brand, r.price_inr, k.spec_value AS cores, s.spec_value AS speed, m.spec_value AS memory_type FROM ({_RECORD}) r
+        f"""SELECT r.url, r.source, r.category, r.resource, r.brand, r.price_inr, k.spec_value AS cores, s.spec_value AS speed,
+    m.spec_value AS memory_type, w.spec_value AS warranty_term, n.n_specs FROM ({_RECORD}) r
   LEFT JOIN (SELECT * FROM ({_PAGE_SPECS}) WHERE spec_key = 'cores') k USING (item_id)
   LEFT JOIN (SELECT * FROM ({_PAGE_SPECS}) WHERE spec_key = 'speed') s USING (item_id)
-  LEFT JOIN (SELECT * FROM ({_PAGE_SPECS}) WHERE spec_key = 'memory_type') m USING (item_id)"""
+  LEFT JOIN (SELECT * FROM ({_PAGE_SPECS}) WHERE spec_key = 'memory_type') m USING (item_id)
+  LEFT JOIN (SELECT * FROM ({_PAGE_SPECS}) WHERE spec_key = 'warranty_term') w USING (item_id)
+  JOIN (SELECT item_id, CAST(count(spec_key) AS INTEGER) AS n_specs FROM (SELECT item_id FROM catalogue)
+    LEFT JOIN ({_PAGE_SPECS}) USING (item_id) GROUP BY 1) n USING (item_id)"""
     ),
 )
 def specs_to_columns(spark, folder):
-    wide = X.specs_to_columns(X.extract_products(_pages(spark, folder)), ["cores", "speed", "memory_type", "brand"])
-    return wide.select("url", "brand", "price_inr", "cores", "speed", "memory_type")
+    """Requested keys as columns; the map, with the keys that nobody asked for, is kept beside them."""
+    records = X.extract_products(_pages(spark, folder))
+    wide = X.specs_to_columns(records, ["cores", "speed", "memory_type", "warranty_term", "brand", "category"], keep_map=True)
+    columns = ["url", "source", "category", "resource", "brand", "price_inr", "cores", "speed", "memory_type", "warranty_term"]
+    return wide.select(*columns, F.size("specs").alias("n_specs"))
 
 
 # --- names and predicates ---
@@ -617,7 +632,7 @@ _STORED = f"SELECT * FROM ({_RECORD}) WHERE price_inr > 0"
 @QUERIES.add(
     "full_refresh_audit",
     over_catalogue(
-        f"""SELECT CASE category WHEN 'cpu' THEN 'cpus' WHEN 'gpu' THEN 'gpus' WHEN 'laptop' THEN 'laptops' WHEN 'monitor' THEN 'monitors' ELSE 'ram' END AS table_name,
+        f"""SELECT CASE resource WHEN 'cpu' THEN 'cpus' WHEN 'gpu' THEN 'gpus' WHEN 'laptop' THEN 'laptops' WHEN 'monitor' THEN 'monitors' ELSE 'ram' END AS table_name,
   count(*) AS rows_read, count(*) FILTER (name IS NULL) AS dropped_null_name, count(*) FILTER (price_inr <= 0) AS dropped_no_price,
   count(*) FILTER (price_inr IS NULL) AS dropped_unread_price,
   count(*) FILTER (price_inr > 0) AS rows_sent, count(*) FILTER (price_inr > 0) AS rows_stored, true AS matches
@@ -631,7 +646,7 @@ def full_refresh_audit(spark, folder):
 @QUERIES.add(
     "incremental_refresh",
     over_catalogue(
-        f"""SELECT CASE category WHEN 'cpu' THEN 'cpus' WHEN 'gpu' THEN 'gpus' WHEN 'laptop' THEN 'laptops' WHEN 'monitor' THEN 'monitors' ELSE 'ram' END AS table_name,
+        f"""SELECT CASE resource WHEN 'cpu' THEN 'cpus' WHEN 'gpu' THEN 'gpus' WHEN 'laptop' THEN 'laptops' WHEN 'monitor' THEN 'monitors' ELSE 'ram' END AS table_name,
   count(*) AS rows_stored FROM ({_STORED}) GROUP BY 1"""
     ),
 )
@@ -646,7 +661,7 @@ def incremental_refresh(spark, folder):
 
 @QUERIES.add(
     "market_insights",
-    over_catalogue(_top_sql(f"SELECT name, price_inr, url, category FROM ({_STORED}) WHERE category <> 'monitor'")),
+    over_catalogue(_top_sql(f"SELECT name, price_inr, url, resource AS category FROM ({_STORED}) WHERE resource <> 'monitor'")),
 )
 def market_insights(spark, folder):
     root, _ = _refreshed(spark, folder)

@@ -57,7 +57,11 @@ def _row(*cells: Column | str, tag: str = "td") -> Column:
 
 
 def product_pages(catalogue: DataFrame) -> DataFrame:
-    """A product page per record, marked up the way its site does."""
+    """A product page per record, marked up the way its site does.
+
+    Some pages have rows called Category and Source, which replace those columns of the record but not its resource,
+    and rows that no model asks for.
+    """
     item, source, price = F.col("item_id"), F.col("source"), F.col("price_inr")
 
     def amount(value: Column) -> Column:
@@ -90,6 +94,9 @@ def product_pages(catalogue: DataFrame) -> DataFrame:
         _row("Speed", F.concat(F.lit("<b>"), F.col("speed"), F.lit("</b>"))),
         F.when(item % 3 == 0, _row("Brand", F.col("brand"))).otherwise(F.lit("")),
         _row("Memory Type", F.col("memory_type")),
+        F.when(item % 10 == 3, _row("Category", "Components")).otherwise(F.lit("")),
+        F.when(item % 14 == 5, _row(" Source ", "Imported &amp; boxed")).otherwise(F.lit("")),
+        _row("Warranty Term", F.concat((item % 3 + 1).cast("string"), F.lit(" Years"))),
         _row("Three", "cells", "here"),
         F.lit("</table></div><table><tr><td>Outside</td><td>no</td></tr></table>"),
     )
@@ -98,6 +105,8 @@ def product_pages(catalogue: DataFrame) -> DataFrame:
         _row("Specification", "heading"),
         _row("Cores:", F.col("cores"), "note"),
         _row("Memory Type:", F.col("memory_type")),
+        F.when(item % 4 == 1, _row("Category:", "Hardware")).otherwise(F.lit("")),
+        _row("Box Contents:", F.col("brand")),
         _row("", "empty"),
         F.lit("</table>"),
     )
