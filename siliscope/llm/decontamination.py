@@ -6,7 +6,9 @@ Karp-Rabin: rolling hashes of runs of a search length find matches of unmarked t
 search length falls to ``MIN_MATCH``. The share of the item's tokens that lie in tiles is its coverage, wherever in the
 document and in whatever order the tiles stand, so reordered passages are caught.
 
-An item with fewer than ``MIN_MATCH`` tokens is one seed and one tile as a whole; an item without tokens matches nothing.
+An item with fewer than ``MIN_MATCH`` tokens says nothing: "Yes." stands in clean documents as well. Such items, those without
+tokens among them, match nothing and are listed by ``undecidable_items``. An item with fewer than twice as many tokens would
+pass the threshold by one common phrase, so all of it must be covered.
 A NULL text has no tokens. Repeated documents give repeated rows, items with the same id and different texts are items of
 their own, NULL ids are allowed, empty tables give an empty result, and further columns do not matter.
 
@@ -20,7 +22,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ROW, nested, texts_for_python, unnested
@@ -42,60 +44,60 @@ def _seeds(hashes: np.ndarray, firsts: np.ndarray, size: int) -> tuple[np.ndarra
     return runs + np.uint64(size * int(STEP) % (1 << 64)), owners
 
 
-def _document_seeds(documents: DataFrame, lengths: list[int]) -> DataFrame:
+def _document_seeds(documents: DataFrame, min_match: int) -> DataFrame:
     """doc_key, seed: every seed of every document."""
     words = letters_and_digits()
 
     def seeds(batches):
         for batch in slices(batches, 1):
-            keys = batch.column(0).to_numpy()
-            hashes, firsts = words.hashes(*text_arrays(batch.column(1)))
-            for size in lengths:
-                runs, owners = _seeds(hashes, firsts, size)
-                columns = [pa.array(keys[owners]), pa.array(runs.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_key", "seed"])
+            runs, owners = _seeds(*words.hashes(*text_arrays(batch.column(1))), min_match)
+            keys = pa.array(batch.column(0).to_numpy()[owners])
+            yield pa.RecordBatch.from_arrays([keys, pa.array(runs.view(np.int64))], ["doc_key", "seed"])
 
     return documents.select("doc_key", "text").mapInArrow(seeds, "doc_key long, seed long")
 
 
-def _item_seeds(items: DataFrame, lengths: list[int], min_match: int) -> DataFrame:
-    """item_key, seed, places (how often the seed stands in the item), item_tokens. A short item is one seed as a whole."""
+def _item_seeds(items: DataFrame, min_match: int) -> DataFrame:
+    """item_key, seed, places (how often the seed stands in the item), item_tokens."""
     words = letters_and_digits()
 
     def seeds(batches):
         for batch in slices(batches, 1):
-            keys = batch.column(0).to_numpy()
             hashes, firsts = words.hashes(*text_arrays(batch.column(1)))
-            counts = np.diff(firsts)
-            for size in lengths:
-                runs, owners = _seeds(hashes, firsts, size)
-                wanted = np.minimum(counts[owners], min_match) == size
-                runs, owners = runs[wanted], owners[wanted]
-                columns = [pa.array(keys[owners]), pa.array(runs.view(np.int64)), pa.array(counts[owners].astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["item_key", "seed", "item_tokens"])
+            runs, owners = _seeds(hashes, firsts, min_match)
+            columns = [batch.column(0).to_numpy()[owners], runs.view(np.int64), np.diff(firsts)[owners].astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["item_key", "seed", "item_tokens"])
 
     rows = items.select("item_key", "text").mapInArrow(seeds, "item_key long, seed long, item_tokens long")
     return rows.groupBy("item_key", "seed", "item_tokens").agg(F.count(F.lit(1)).alias("places"))
 
 
-def _short_lengths(benchmark: DataFrame, min_match: int) -> list[int]:
-    """The distinct numbers of tokens below ``min_match`` of the items: at most min_match - 1 numbers."""
-    token = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"))
-    rows = benchmark.select(token.alias("n")).filter(F.col("n").between(1, min_match - 1)).distinct().collect()
-    return sorted(row.n for row in rows)
+def undecidable_items(benchmark: DataFrame, min_match: int = MIN_MATCH) -> DataFrame:
+    """item_id, item_tokens of the items that are too short to be looked for."""
+    words = letters_and_digits()
+
+    def count(batches):
+        for batch in slices(batches, 1):
+            counts = np.diff(words.hashes(*text_arrays(batch.column(1)))[1]).astype(np.int64)
+            rows = pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts)], ["item_id", "item_tokens"])
+            yield rows.filter(pa.array(counts < min_match))
+
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+    items = texts_for_python(benchmark.select("item_id", "text").distinct())
+    return items.mapInArrow(count, f"item_id {kind}, item_tokens long")
 
 
 def candidate_pairs(documents: DataFrame, items: DataFrame, min_match: int, min_coverage: float) -> DataFrame:
     """doc_key, item_key of the pairs whose shared seeds could cover enough of the item."""
-    lengths = [*_short_lengths(items, min_match), min_match]
-    item_seeds = _item_seeds(items, lengths, min_match)
+    item_seeds = _item_seeds(items, min_match)
     if item_seeds.count() <= BROADCAST_SEEDS:
         item_seeds = F.broadcast(item_seeds)
-    pairs = _document_seeds(documents, lengths).join(item_seeds, "seed").groupBy("doc_key", "item_key")
+    pairs = _document_seeds(documents, min_match).join(item_seeds, "seed").groupBy("doc_key", "item_key")
     # A seed that the document repeats is counted again: more than enough for a bound.
     pairs = pairs.agg(F.sum("places").alias("seeds"), F.max("item_tokens").alias("item_tokens"))
     most = F.least(F.col("seeds") * min_match, F.col("item_tokens"))
-    return pairs.filter(most >= F.col("item_tokens") * min_coverage).select("doc_key", "item_key")
+    wanted = F.when(F.col("item_tokens") < 2 * min_match, 1.0).otherwise(min_coverage)
+    return pairs.filter(most >= F.col("item_tokens") * wanted).select("doc_key", "item_key")
 
 
 def _rolling(tokens: np.ndarray, size: int) -> np.ndarray:
@@ -172,50 +174,58 @@ def tiles(document: np.ndarray, item: np.ndarray, min_match: int = MIN_MATCH, st
         size = max(min_match, size // 2)
 
 
+def document_keys(doc_id: str, text: str) -> dict[str, Column]:
+    """Two hashes of id and text. Candidates are found by the first, as one too many does no harm; rows go by both."""
+    return {"doc_key": F.xxhash64(doc_id, text), "doc_key_2": F.xxhash64(F.lit(2), text, doc_id)}
+
+
 def contaminated_pairs(
     documents: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, min_coverage: float = MIN_COVERAGE
 ) -> DataFrame:
-    """doc_key, doc_id, item_id, item_tokens, covered_tokens, n_tiles, coverage of pairs with enough coverage."""
+    """doc_key, doc_key_2, doc_id, item_id, item_tokens, covered_tokens, n_tiles, coverage of pairs with enough coverage."""
     items = benchmark.select("item_id", "text").distinct()
     items = items.withColumn("item_key", F.xxhash64("item_id", "text"))
-    keyed = texts_for_python(documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("doc_key")))
+    keyed = documents.select("doc_id", "text").withColumns(document_keys("doc_id", "text"))
+    keyed = texts_for_python(keyed)
     pairs = candidate_pairs(keyed, items, min_match, min_coverage)
     pairs = pairs.join(items.select("item_key", "item_id", F.col("text").alias("item_text")), "item_key")
-    pairs = pairs.join(keyed, "doc_key").select("doc_key", "doc_id", "item_id", "text", "item_text")
+    pairs = pairs.join(keyed, "doc_key").select("doc_key", "doc_key_2", "doc_id", "item_id", "text", "item_text")
     words = letters_and_digits()
 
     def tile(batches):
-        for batch in slices(batches, 3):
-            doc_words, doc_firsts = words.hashes(*text_arrays(batch.column(3)))
-            item_words, item_firsts = words.hashes(*text_arrays(batch.column(4)))
+        for batch in slices(batches, 4):
+            doc_words, doc_firsts = words.hashes(*text_arrays(batch.column(4)))
+            item_words, item_firsts = words.hashes(*text_arrays(batch.column(5)))
             rows, kept = [], []
             for row in range(batch.num_rows):
                 item = item_words[item_firsts[row] : item_firsts[row + 1]]
                 laid = tiles(doc_words[doc_firsts[row] : doc_firsts[row + 1]], item, min_match)
                 covered = sum(length for _, _, length in laid)
-                if covered and covered >= min_coverage * len(item):
+                wanted = 1.0 if len(item) < 2 * min_match else min_coverage
+                if covered >= min_match and covered >= wanted * len(item):
                     kept.append(row)
                     rows.append((len(item), covered, len(laid), covered / len(item)))
             columns = list(zip(*rows)) if rows else [()] * 4
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
             where = pa.array(kept, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i).take(where) for i in range(3)] + [pa.array(c, k) for c, k in zip(columns, kinds)],
-                ["doc_key", "doc_id", "item_id", "item_tokens", "covered_tokens", "n_tiles", "coverage"],
+                [batch.column(i).take(where) for i in range(4)] + [pa.array(c, k) for c, k in zip(columns, kinds)],
+                ["doc_key", "doc_key_2", "doc_id", "item_id", "item_tokens", "covered_tokens", "n_tiles", "coverage"],
             )
 
     doc_kind, item_kind = (t.schema[c].dataType.simpleString() for t, c in ((documents, "doc_id"), (benchmark, "item_id")))
-    schema = f"doc_key long, doc_id {doc_kind}, item_id {item_kind}, item_tokens long, covered_tokens long, n_tiles long, coverage double"
+    schema = f"doc_key long, doc_key_2 long, doc_id {doc_kind}, item_id {item_kind}, item_tokens long, covered_tokens long, n_tiles long, coverage double"
     return pairs.mapInArrow(tile, schema)
 
 
 def contamination_report(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """One row per contaminated document and benchmark item; clean documents have none."""
-    return contaminated_pairs(documents, benchmark, **options).drop("doc_key")
+    return contaminated_pairs(documents, benchmark, **options).drop("doc_key", "doc_key_2")
 
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that hold no benchmark item."""
-    leaks = contaminated_pairs(documents, benchmark, **options).select("doc_key").distinct()
-    keyed = nested(documents).withColumn("doc_key", F.xxhash64(f"{ROW}.doc_id", f"{ROW}.text"))
-    return unnested(keyed.join(leaks, "doc_key", "left_anti"), documents.columns)
+    keys = ["doc_key", "doc_key_2"]
+    leaks = contaminated_pairs(documents, benchmark, **options).select(*keys).distinct()
+    keyed = nested(documents).withColumns(document_keys(f"{ROW}.doc_id", f"{ROW}.text"))
+    return unnested(keyed.join(leaks, keys, "left_anti"), documents.columns)

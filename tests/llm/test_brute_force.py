@@ -219,19 +219,55 @@ def test_decontamination(spark, tables):
     halves = item.split()
     rows = [
         (1, "before " + item.upper() + ", after"), (2, " ".join(halves[10:]) + " mid " + " ".join(halves[:10])), (3, "nothing of it"),
-        (4, " ".join(halves[:8])), (None, item), (5, None), (6, ""), (7, "short one here"), (1, "before " + item.upper() + ", after"),
+        (4, " ".join(halves[:8])), (None, item), (5, None), (6, ""), (7, "short one here and Yes."), (1, "before " + item.upper() + ", after"),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("doc_key", F.lit(1)).withColumn("seed", F.lit(1))
-    bench = spark.createDataFrame([(1, item), (2, "short one"), (3, None), (4, "")], "item_id long, text string").withColumn("seeds", F.lit(0))
+    bench = spark.createDataFrame([(1, item), (2, "short one"), (3, None), (4, ""), (5, "Yes.")], "item_id long, text string").withColumn("seeds", F.lit(0))
     found = decontamination.contamination_report(docs, bench).collect()
     assert sorted(((r.doc_id, r.item_id, r.n_tiles, r.coverage) for r in found), key=repr) == sorted(
-        [(1, 1, 1, 1.0), (1, 1, 1, 1.0), (2, 1, 2, 1.0), (None, 1, 1, 1.0), (7, 2, 1, 1.0)], key=repr
+        [(1, 1, 1, 1.0), (1, 1, 1, 1.0), (2, 1, 2, 1.0), (None, 1, 1, 1.0)], key=repr
     )
-    assert sorted(r.doc_id for r in decontamination.decontaminated(docs, bench).collect()) == [3, 4, 5, 6]
+    assert sorted(r.doc_id for r in decontamination.decontaminated(docs, bench).collect()) == [3, 4, 5, 6, 7]
+    short = decontamination.undecidable_items(bench).collect()
+    assert sorted((r.item_id, r.item_tokens) for r in short) == [(2, 2), (3, 0), (4, 0), (5, 1)]
     assert decontamination.contamination_report(docs, bench.limit(0)).count() == 0
     assert decontamination.contamination_report(tables["empty"], bench).count() == 0
 
 
+def test_short_items_need_full_coverage(spark):
+    """Five to nine tokens: one shared phrase is not enough; every token counts, in one piece or, from ten on, in several."""
+    five, eight = "one two three four five", "red green blue black white pink grey brown"
+    rows = [(1, f"so {five} it is"), (2, "one two three four six"), (3, f"x {eight} y"), (4, "red green blue black white pink grey")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, five), (2, eight)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id, r.coverage) for r in decontamination.contamination_report(docs, bench).collect()}
+    assert found == {(1, 1, 1.0), (3, 2, 1.0)}
+    assert sorted(r.doc_id for r in decontamination.decontaminated(docs, bench).collect()) == [2, 4]
+
+
+def test_report_equals_tiling_of_every_pair(spark, data):
+    """The whole query against the plain definition: each document with each item, no candidates."""
+    docs = spark.read.parquet(f"{data}/documents.parquet").filter("doc_id % 4 = 0")
+    bench = spark.read.parquet(f"{data}/benchmark.parquet")
+    items = [(r.item_id, TOKEN.findall((r.text or "").lower())) for r in bench.collect()]
+    expected = set()
+    for doc_id, text in rows_of(docs):
+        tokens = TOKEN.findall((text or "").lower())
+        runs = {tuple(tokens[i : i + 5]) for i in range(len(tokens) - 4)}
+        for item_id, item in items:
+            # Without a common run of five there is no tile.
+            if not any(tuple(item[i : i + 5]) in runs for i in range(len(item) - 4)):
+                continue
+            covered = sum(n for _, _, n in plain_tiling(tokens, item, 5))
+            if covered >= (1.0 if len(item) < 10 else 0.5) * len(item):
+                expected.add((doc_id, item_id, covered))
+    found = decontamination.contamination_report(docs, bench).collect()
+    assert {(r.doc_id, r.item_id, r.covered_tokens) for r in found} == expected and expected
+
+
+TOKEN = re.compile("[0-9a-z\x80-\U0010FFFF]+")
+
+
 def plain_tiling(document, item, least):
     """Greedy tiling by the definition: the longest free match, the first of equals, until none has ``least`` tokens."""
     doc_free, item_free, laid = [True] * len(document), [True] * len(item), []
