@@ -5,7 +5,9 @@ of words; a source gets at most ``MAX_REPEATS`` times its own words and the exce
 over size is the source's repetition rate: each document is emitted floor(rate) times, plus once more if a seeded hash of
 its id, as a number in [0, 1), is below the fraction. Reruns agree, as the hash decides.
 
-The table of sources has one row per source and is what one task orders; documents are only joined to it.
+The table of sources has one row per source; one task orders it, and it is written to the shared folder before documents are
+joined to it. So Spark knows its size: up to ``spark.sql.autoBroadcastJoinThreshold`` it goes to the documents, which then
+are not shuffled at all; a larger table is joined by source, and adaptive execution splits a hot one.
 
 NULL sources are one source, a NULL text has 0 words, a NULL id is hashed as an empty one. A source without words has
 rate 0. Repeated rows have the same id and share its decision. An empty table gives an empty result.
@@ -16,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, WORD, nested, text_or_empty, unnested
+from .common import ROW, WORD, nested, stored, text_or_empty, unnested
 
 WEIGHTS = (5, 2, 1)
 BUDGET_HALVES = 3  # the budget in halves of all words: 150 percent
@@ -74,7 +76,7 @@ def _fraction(seed: str):
 def rated(documents: DataFrame, seed: str = SEED) -> DataFrame:
     """The nested row with size, source_size, target and the number of copies the mix takes."""
     sizes = sized(documents)
-    table = sizes.join(source_targets(sizes), "source_key")
+    table = sizes.join(stored(source_targets(sizes), "targets"), "source_key")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     extra = F.when(_fraction(seed) < F.col("rate") - F.floor("rate"), 1).otherwise(0)
     return table.withColumn("rate", rate).withColumn("copies", (F.floor("rate") + extra).cast("int"))
