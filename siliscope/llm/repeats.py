@@ -166,6 +166,19 @@ def _later(entries: np.ndarray, new: np.ndarray) -> np.ndarray:
     return entries[(entries["doc"] != first["doc"]) | (entries["start"] != first["start"])]
 
 
+def by_part(entries: np.ndarray, hot: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries and heralds by part, and the part of each: that of the name, or for hot names that of the fragment.
+
+    A name is the least of many hashes, so most names are small numbers; it is mixed to fall on all parts alike.
+    """
+    heralds = entries[np.flatnonzero(hot)[np.unique(entries["name"][hot], return_index=True)[1]]]
+    heralds["windows"] = 0  # tells the name's own part
+    where = np.concatenate([np.where(hot, entries["name"] ^ entries["whole"], entries["name"]), heralds["name"]])
+    entries, part = np.concatenate([entries, heralds]), (mix(where) >> np.uint64(32)).astype(np.int64) * parts >> 32
+    order = np.lexsort((entries["start"], entries["doc"], part))
+    return entries[order], part[order]
+
+
 def _by_name(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For sorted entries: the number of the name of each, and how many entries each name has."""
     change = np.ones(len(entries), bool)
@@ -188,14 +201,8 @@ def _fragments(documents: DataFrame) -> DataFrame:
             marks, entries = _later(entries, new), entries[new]
             number, counts = _by_name(entries)
             hot = counts[number] > HOT_IN_TASK
-            where = np.where(hot, mix(entries["name"] ^ entries["whole"]), entries["name"])
             entries["windows"][hot] |= 128  # dealt by fragment: its name is known to have several
-            heralds = entries[np.flatnonzero(hot)[np.unique(number[hot], return_index=True)[1]]]
-            heralds["windows"] = 0  # tells the name's own part
-            entries, where = np.concatenate([entries, heralds]), np.concatenate([where, heralds["name"]])
-            part = (where >> np.uint64(32)).astype(np.int64) * parts >> 32
-            order = np.lexsort((entries["start"], entries["doc"], part))
-            entries, part = entries[order], part[order]
+            entries, part = by_part(entries, hot, parts)
             cuts = np.searchsorted(part, np.arange(parts + 1))
             full = np.flatnonzero(np.diff(cuts)).astype(np.int32)
             pieces = [(p, a, min(a + ROW_ENTRIES, cuts[p + 1])) for p in full for a in range(cuts[p], cuts[p + 1], ROW_ENTRIES)]

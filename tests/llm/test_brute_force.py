@@ -131,6 +131,23 @@ def test_repeats(tables, name):
     assert sorted((tuple(r) for r in found), key=repr) == removal(rows_of(tables[name]))
 
 
+def test_names_fall_on_all_parts_alike():
+    """A name is the least of many hashes; dealt by its size, a third of all entries would meet in one part."""
+    text = np.random.default_rng(5).integers(32, 127, 200_000).astype(np.uint8)
+    _, start, windows, name, whole = repeats.Fragments()(text, np.array([0, len(text)]))
+    entries = np.zeros(len(name), repeats._ENTRY)
+    entries["name"], entries["whole"], entries["start"], entries["windows"] = name, whole, start, windows
+    hot = np.arange(len(name)) < 40
+    found, part = repeats.by_part(entries, hot, 64)
+    counts = np.bincount(part, minlength=64)
+    assert counts.max() < 2 * counts.mean()
+    heralds = found["windows"] == 0
+    assert set(found["name"][heralds].tolist()) == set(name[hot].tolist())
+    where = dict(zip(found["name"][heralds].tolist(), part[heralds].tolist()))
+    cold, own = repeats.by_part(entries, ~np.ones(len(name), bool), 64)
+    assert all(where.get(n, p) == p for n, p in zip(cold["name"].tolist(), own.tolist()))
+
+
 def test_repeats_of_a_hot_name(spark, monkeypatch):
     """A short passage in many surroundings: beyond the block's limit single windows are compared."""
     monkeypatch.setattr(repeats, "BLOCK_FRAGMENTS", 10)
