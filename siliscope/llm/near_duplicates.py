@@ -12,7 +12,7 @@ with probability 2 * (1 - s^HALF)^COLLECTION at most: 0.0015 at 0.8, 0.0002 at 0
 3. Pairs are confirmed on the full sets; confirmed pairs make components.
 4. In a larger table whose members are in several components, the pairs between components are confirmed as well, so no
    pair that meets in a table is left out. Pairs that could not change a component are not looked at, nor pairs whose
-   sets do not share one of their rarest shingles, as similar sets must.
+   sets do not share one of their rarest shingles, as similar sets must, or whose sketches show that they differ too much.
 
 A key with many classes in one task is settled there: the task links them and passes on one of them, so that no key is
 more than ``TABLE`` rows per task. Documents are shuffled once, narrow rows otherwise; all links stay distributed.
@@ -25,10 +25,12 @@ Further columns do not matter, an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ROW, nested, shuffle_partitions, stored, texts_for_python, unnested
@@ -43,6 +45,7 @@ TABLE = 16
 LINKED_TABLES = 8
 ROW_ENTRIES = 1024
 CHUNK = 8192
+SKETCH_LONGS = 16
 
 _rng = np.random.default_rng(20240501)
 _FLIPS = _rng.integers(0, 1 << 63, 2 * COLLECTION * HALF, dtype=np.uint64)
@@ -260,13 +263,24 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return held.select("x", "y", "found_x", "found_y").mapInArrow(compare, "x long, y long")
 
 
+def _sketch() -> list[Column]:
+    """For the shingles of a set: columns b0, b1, ...; a bit is set if an odd number of them falls on it.
+
+    Each shingle that only one of two sets has flips one bit, so the sketches differ in as many bits at most as the sets
+    have shingles apart. Where few shingles fall on a bit, that is nearly their number.
+    """
+    lane, bit = f"shingle & {SKETCH_LONGS - 1}", "CAST(shiftrightunsigned(shingle, 32) & 63 AS INT)"
+    return [F.expr(f"coalesce(bit_xor(CASE WHEN {lane} = {i} THEN shiftleft(1L, {bit}) END), 0L)").alias(f"b{i}") for i in range(SKETCH_LONGS)]
+
+
 def _crossing(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """x, y: pairs of members (table, x, component) of different components that could be similar.
+    """x, y: pairs of members (table, x, component, n) of different components that could be similar.
 
     Two sets of n and m shingles must share ``least = percent * (n + m) / (100 + percent)``. So of any order of the
     shingles they share one among the first n - least + 1 of one and the first m - least + 1 of the other; in the order
     of frequency few sets meet there. A set also shares no more shingles than stand in sets of other components at all.
-    Within a shingle only the members outside its most frequent component look for partners.
+    Within a shingle only the members outside its most frequent component look for partners. Sets that differ in more
+    bits of their sketches than they may in shingles are not similar; of a large group of variants few others are left.
     """
 
     def spread(batches):
@@ -289,20 +303,21 @@ def _crossing(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ranked = ranked.agg(
         F.sort_array(F.collect_list(F.struct("often", "across", "shingle"))).alias("ranked"),
         F.sum(F.col("across").cast("long")).alias("outer"),
+        *_sketch(),
     )
     ranked = stored(ranked, "ranked")
 
     # The smallest set that a member meets in its tables.
-    sized = members.join(ranked.select(F.col("node").alias("x"), "n"), "x")
-    smallest = sized.groupBy("table").agg(F.min("n").alias("smallest"))
+    smallest = members.groupBy("table").agg(F.min("n").alias("smallest"))
     smallest = members.join(smallest, "table").groupBy(F.col("x").alias("node")).agg(F.min("smallest").alias("m"))
     least = F.greatest(
         F.ceil(F.col("n") * percent / 100 - 1e-9), F.ceil((F.col("n") + F.col("m")) * percent / (100 + percent) - 1e-9)
     )
     entries = ranked.join(smallest, "node").filter(F.col("outer") >= least)
     first = F.slice("ranked", 1, (F.col("n") - least + 1).cast("int"))
-    entries = entries.select("node", "component", "n", "outer", F.posexplode(first).alias("place", "s")).filter("s.across")
-    entries = stored(entries.select("node", "component", "n", "outer", "place", F.col("s.shingle").alias("shingle")), "entries")
+    bits = [f"b{i}" for i in range(SKETCH_LONGS)]
+    entries = entries.select("node", "component", "n", "outer", *bits, F.posexplode(first).alias("place", "s")).filter("s.across")
+    entries = stored(entries.select("node", "component", "n", "outer", *bits, "place", F.col("s.shingle").alias("shingle")), "entries")
 
     groups = entries.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("k"))
     groups = groups.groupBy("shingle").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count(F.lit(1)).alias("n"))
@@ -310,20 +325,22 @@ def _crossing(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     common = F.least("a.outer", "b.outer")
     both = F.col("a.n") + F.col("b.n")
     shared = F.ceil(both * percent / (100 + percent) - 1e-9)
+    apart = reduce(add, [F.bit_count(F.col(f"a.{b}").bitwiseXOR(F.col(f"b.{b}"))) for b in bits])
     able = (
         (F.col("a.component") != F.col("b.component"))
         & (common * 100 >= (both - common) * percent)
         & (F.col("a.place") <= F.col("a.n") - shared)
         & (F.col("b.place") <= F.col("b.n") - shared)
+        & (apart <= both - 2 * shared)
     )
     met = seeking.alias("a").join(entries.alias("b"), (F.col("a.shingle") == F.col("b.shingle")) & able)
     return met.select(F.least("a.node", "b.node").alias("x"), F.greatest("a.node", "b.node").alias("y")).distinct()
 
 
 def _classes(signed: DataFrame) -> DataFrame:
-    """node, digest, doc_key, smallest doc_id, halves: one row per distinct set."""
+    """node, digest, doc_key, smallest doc_id, halves, n: one row per distinct set."""
     classes = signed.filter("digest IS NOT NULL").groupBy("digest")
-    classes = classes.agg(F.min("doc_id").alias("first_id"), F.first("doc_key").alias("doc_key"), F.first("halves").alias("halves"))
+    classes = classes.agg(F.min("doc_id").alias("first_id"), F.first("doc_key").alias("doc_key"), F.first("halves").alias("halves"), F.first("n_shingles").alias("n"))
     return stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
@@ -342,8 +359,9 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE, percent: int = PE
     labels = components(links)
 
     # Pairs between the components that still meet in a larger table.
-    placed = members.join(labels.withColumnRenamed("node", "x"), "x", "left")
-    placed = stored(placed.select("table", "x", F.coalesce("component", "x").alias("component")), "members")
+    known = classes.select("node", "n").join(labels, "node", "left").select(F.col("node").alias("x"), "n", "component")
+    placed = members.join(known, "x", "left").select("table", "x", F.coalesce("component", "x").alias("component"), "n")
+    placed = stored(placed, "members")
     split = placed.groupBy("table").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("table")
     left = stored(placed.join(split, "table"), "split-members")
     crossing = stored(_crossing(left, sets, percent).join(pairs, ["x", "y"], "left_anti"), "crossing")

@@ -148,6 +148,36 @@ def test_names_fall_on_all_parts_alike():
     assert all(where.get(n, p) == p for n, p in zip(cold["name"].tolist(), own.tolist()))
 
 
+def _variants(n: int) -> list[np.ndarray]:
+    """Sets of 200 shingles that differ from each other in about 28, and each tenth from the one before in 8 at most."""
+    random_, sets = np.random.default_rng(11), []
+    base = random_.integers(-(1 << 62), 1 << 62, (6, 200))
+    for i in range(n):
+        pick = np.where(random_.random(200) < 0.08, random_.integers(1, 6, 200), 0)
+        if i % 10 == 9:
+            pick = last.copy()
+            pick[random_.integers(0, 200, 4)] = 5
+        last = pick
+        sets.append(np.sort(base[pick, np.arange(200)]))
+    return sets
+
+
+def test_few_pairs_of_a_group_of_variants_are_confirmed(spark):
+    """All members of one table, each its own component: every link is a candidate, but few of the other pairs are."""
+    sets = _variants(240)
+    links = set()
+    for a in range(len(sets)):
+        for b in range(a + 1, len(sets)):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * common >= 80 * (400 - common):
+                links.add((a, b))
+    members = spark.createDataFrame([(7, i, i, 200) for i in range(len(sets))], "table long, x long, component long, n long")
+    packed = spark.createDataFrame([(i, found.tobytes()) for i, found in enumerate(sets)], "node long, found binary")
+    found = {tuple(r) for r in near_duplicates._crossing(members, packed, 80).collect()}
+    assert len(links) >= 24 and links <= found
+    assert len(found) <= 3 * len(links) < 240 * 239 / 8
+
+
 def test_repeats_of_a_hot_name(spark, monkeypatch):
     """A short passage in many surroundings: beyond the block's limit single windows are compared."""
     monkeypatch.setattr(repeats, "BLOCK_FRAGMENTS", 10)
