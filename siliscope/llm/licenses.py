@@ -181,18 +181,61 @@ def bounds(size: int, threshold: float) -> tuple[int, int]:
     return math.ceil(size * threshold / (2 - threshold) - 1e-9), math.floor(size * (2 - threshold) / threshold + 1e-9)
 
 
-def anchors(bigrams: list[str], threshold: float) -> set[str]:
-    """Words of a template of which a unit must hold one to reach the threshold.
+# What a search for a word costs, by its length: short words are in most texts.
+_COMMON = {1: 10_000, 2: 3_000, 3: 1_000, 4: 200, 5: 40, 6: 4}
+_EVERYDAY = set("a an and any are as at be by for from have if in is it may no not of on or other shall that the this to under use with you your".split())
+_STEM = 7
 
-    A unit must share ``bounds(n)[0]`` of the n bigrams. The longest words are taken until fewer bigrams than that are
-    left without any of them.
+
+def _price(word: str) -> int:
+    return _COMMON.get(len(word), 1) * (20 if word in _EVERYDAY else 1)
+
+
+def _touching(word: str, grams) -> set[str]:
+    return {gram for gram in grams if any(word in part for part in gram.split())}
+
+
+def anchors(sets: dict[str, list[str]], licences: dict[str, str], threshold: float) -> list[str]:
+    """Words or beginnings of words of which a unit must hold one to match any of the templates, as few as are found.
+
+    A unit must share ``bounds(n)[0]`` of a template's n bigrams. So it holds one of some words if fewer bigrams than that
+    are without any of them, or if each of some telling bigrams has one. Words that count for many templates come first.
     """
-    least, chosen, left = bounds(len(bigrams), threshold)[0], set(), bigrams
-    for word in sorted({word for gram in bigrams for word in gram.split()}, key=lambda word: (-len(word), word)):
-        if len(left) < least:
-            break
-        chosen.add(word)
-        left = [gram for gram in left if word not in gram.split()]
+    chosen: list[str] = []
+    for licence in dict.fromkeys(licences.values()):
+        tuples = [[max(gram.split(), key=lambda word: (len(word), word)) for gram in grams] for grams in TELLING.get(licence, [])]
+        rare = [words for words in tuples if min(map(len, words)) > max(_COMMON)]
+        if rare:
+            chosen += [word for word in min(rare, key=lambda words: (len(words), words)) if word not in chosen]
+
+    every = {(name, gram) for name, grams in sets.items() for gram in grams}
+    stems = {part[: max(i, 1)] for _, gram in every for part in gram.split() for i in (_STEM, len(part))}
+    held = {stem: {(name, gram) for name, gram in every if _touching(stem, [gram])} for stem in sorted(stems | set(chosen))}
+    needed = {name: len(grams) - bounds(len(grams), threshold)[0] + 1 for name, grams in sets.items()}
+
+    def missing(words: list[str]) -> dict[str, int]:
+        """How many bigrams the words lack to be anchors of each template."""
+        held_by = set().union(*[held[word] for word in words])
+        lacking = {}
+        for name in sets:
+            told = any(all(any(_touching(word, [gram]) for word in words) for gram in grams) for grams in TELLING.get(licences[name], []))
+            lacking[name] = 0 if told else max(0, needed[name] - sum(1 for other, _ in held_by if other == name))
+        return lacking
+
+    while any((lacking := missing(chosen)).values()):
+        held_by = set().union(*[held[word] for word in chosen])
+
+        def worth(stem: str) -> float:
+            more: dict[str, int] = {}
+            for name, _ in held[stem] - held_by:
+                more[name] = more.get(name, 0) + 1
+            return sum(min(n, lacking[name]) / needed[name] for name, n in more.items()) / _price(stem)
+
+        chosen.append(max((stem for stem in held if stem not in chosen), key=worth))
+    for word in sorted(chosen, key=lambda word: (-_price(word), word)):
+        rest = [other for other in chosen if other != word]
+        if rest and not any(missing(rest).values()):
+            chosen = rest
     return chosen
 
 
@@ -202,10 +245,16 @@ def _holds(part: Column, holding: set[str]) -> Column:
     return reduce(or_, [part.contains(word) for word in wanted]) if wanted else F.lit(True)
 
 
+def _exploded(table: DataFrame, kept: list[str], values: Column, name: str) -> DataFrame:
+    """A row per value, none of which is NULL. Of the plain form Spark would test the size of the array in a filter below,
+    with a second copy of the expression."""
+    return table.select(*kept, F.explode_outer(values).alias(name)).filter(F.col(name).isNotNull())
+
+
 def texts_holding(documents: DataFrame, holding: set[str] = frozenset()) -> DataFrame:
     """doc_id, part: the texts in small letters that hold a word of ``holding``; each is lowered once."""
     lowered = F.filter(F.array(F.lower(text_or_empty())), lambda text: _holds(text, holding))
-    return documents.select("doc_id", F.explode(lowered).alias("part"))
+    return _exploded(documents, ["doc_id"], lowered, "part")
 
 
 def units(documents: DataFrame, holding: set[str] = frozenset()) -> DataFrame:
@@ -223,7 +272,7 @@ def units(documents: DataFrame, holding: set[str] = frozenset()) -> DataFrame:
         F.when(text.rlike(BLANK_LINE), numbered(F.array(text), "text")).otherwise(F.array()),
     )
     table = texts_holding(documents, holding)
-    return table.select("doc_id", F.explode(every).alias("u")).select("doc_id", "u.unit", "u.unit_no", "u.part")
+    return _exploded(table, ["doc_id"], every, "u").select("doc_id", "u.unit", "u.unit_no", "u.part")
 
 
 def _words(part: Column) -> Column:
@@ -255,7 +304,7 @@ def _wanted(table: DataFrame, value: Column, name: str, condition) -> DataFrame:
     A filter above a projection would be moved below it with a second copy of the expression; this one computes it once.
     """
     kept = [column for column in ("doc_id", "unit", "unit_no", "part", "grams") if column in table.columns and column != name]
-    return table.select(*kept, F.explode(F.filter(F.array(value), condition)).alias(name))
+    return _exploded(table, kept, F.filter(F.array(value), condition), name)
 
 
 class _Templates:
@@ -270,7 +319,7 @@ class _Templates:
         telling = {gram for sets in TELLING.values() for grams in sets for gram in grams}
         self.every = sorted(telling.union(*self.sets.values(), *BARRED.values()))
         self.least, self.most = min(low for low, _ in self.limits.values()), max(high for _, high in self.limits.values())
-        self.anchors = {word for grams in self.sets.values() for word in anchors(grams, threshold)}
+        self.anchors = set(anchors(self.sets, self.licences, threshold))
 
     def told(self, name: str, grams: str) -> str:
         """Whether the bigrams tell the template's licence from its siblings."""
@@ -349,7 +398,7 @@ def passages(documents: DataFrame, known: _Templates) -> DataFrame:
     apart = f"""aggregate({ranked}, CAST(array() AS {kind}), (kept, x) -> CASE
         WHEN exists(kept, other -> other.first <= x.last + 1 AND x.first <= other.last + 1) THEN kept
         ELSE concat(kept, CAST(array(x) AS {kind})) END)"""
-    table = table.select("doc_id", "part", F.explode(F.expr(apart)).alias("best"))
+    table = _exploded(table, ["doc_id", "part"], F.expr(apart), "best")
     first, last, text = F.col("best.first"), F.col("best.last") + 1, F.col("part")
     holders = F.concat(_holding(F.split(text, "\n"), first, last), _holding(F.split(text, BLANK_LINE), first, last), F.array(text))
     grams = F.transform(holders, lambda part: F.array_distinct(_pairs(_words(part))))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from siliscope.llm.licenses import ALL_TEMPLATES, TEMPLATES, license_scan
+from siliscope.llm.licenses import ALL_TEMPLATES, TELLING, TEMPLATES, THRESHOLD, anchors, bounds, license_scan, template_bigrams
 
 PROSE = " ".join(f"The committee of day{i} met and talked of door{i} until member{i} had gone home{i} again." for i in range(60))
 MIT = TEMPLATES["mit-text"][1]
@@ -57,3 +57,22 @@ def test_siblings_are_told_apart(spark):
     rows += [("in " + name, f"{PROSE} {text} {PROSE}") for name, text in rows]
     found = license_scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
     assert sorted({(r.doc_id, r.licence) for r in found}) == sorted((doc, doc.removeprefix("in ")) for doc, _ in rows if doc.removeprefix("in "))
+
+
+def test_few_anchors_and_no_match_without_one():
+    sets = {name: template_bigrams(text) for name, (_, text) in ALL_TEMPLATES.items()}
+    licences = {name: licence for name, (licence, _) in ALL_TEMPLATES.items()}
+    words = anchors(sets, licences, THRESHOLD)
+    assert len(words) <= 40 and "by" not in words
+    for name, grams in sets.items():
+        left = [gram for gram in grams if not any(word in gram for word in words)]
+        told = all(any(gram in left for gram in one_of) for one_of in TELLING.get(licences[name], []))
+        assert len(left) < bounds(len(grams), THRESHOLD)[0] or not told
+    # Telling bigrams count even where the template does not have them.
+    for licence, tuples in TELLING.items():
+        alone = [name for name in sets if licences[name] == licence]
+        own = anchors({name: sets[name] for name in alone}, {name: licence for name in alone}, THRESHOLD)
+        for name in alone:
+            left = [gram for gram in sets[name] if not any(word in gram for word in own)]
+            free = all(any(not any(word in gram for word in own) for gram in one_of) for one_of in tuples)
+            assert len(left) < bounds(len(sets[name]), THRESHOLD)[0] or not free
