@@ -8,11 +8,13 @@ with probability 2 * (1 - s^HALF)^COLLECTION at most: 0.0015 at 0.8, 0.0002 at 0
 1. Equal sets are one class (a 128-bit digest of the sorted set); only classes go on.
 2. Table keys travel packed, one row per task and range of keys. Tables where a few classes meet give all their pairs.
    A larger table gives links of all members to one of them and, in some tables, to their neighbours in an order of its
-   own, and the list of its members. A text stands in many tables, so this is a sample of its partners that joins a group.
+   own, and its members once per task. A text stands in many tables, so this is a sample of its partners that joins a group.
 3. Pairs are confirmed on the full sets; confirmed pairs make components.
-4. In a larger table whose members are in several components, the pairs between components are confirmed as well, so no
-   pair that meets in a table is left out. Pairs that could not change a component are not looked at, nor pairs whose
-   sets do not share one of their rarest shingles, as similar sets must, or whose sketches show that they differ too much.
+4. Members of larger tables that share a half key of the first collection, as all members of a table do, are a group: at
+   most COLLECTION rows per member instead of COLLECTION squared. In a group of several components, the pairs between
+   components are confirmed as well, so no pair that meets in a table is left out. Pairs that could not change a component
+   are not looked at, nor pairs whose sets do not share one of their rarest shingles, as similar sets must, or whose
+   sketches show that they differ too much.
 
 A key with many classes in one task is settled there: the task links them and passes on one of them, so that no key is
 more than ``TABLE`` rows per task. Documents are shuffled once, narrow rows otherwise; all links stay distributed.
@@ -118,14 +120,14 @@ def _small_pairs(nodes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> n
     return np.unique(np.concatenate(parts), axis=0) if parts else np.zeros((0, 2), np.int64)
 
 
-def _large_tables(keys, nodes, counts, large) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _large_tables(keys, nodes, counts, large) -> tuple[np.ndarray, np.ndarray]:
     """Of larger tables: pairs of every node with one node of the table, and in one of LINKED_TABLES tables also with its
-    neighbour; keys and nodes of all members.
+    neighbour; the nodes of all members, each once.
 
     The one node is the first in an order that all tasks share, so tables of the same texts give the same pairs.
     """
     if not large.any():
-        return np.zeros((0, 2), np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
     inside = np.repeat(large, counts)
     keys, nodes, counts = keys[inside], nodes[inside], counts[large]
     table = np.repeat(np.arange(len(counts)), counts)
@@ -138,28 +140,27 @@ def _large_tables(keys, nodes, counts, large) -> tuple[np.ndarray, np.ndarray, n
     linked = (table[near] == table[far]) & (keys[near] % np.uint64(LINKED_TABLES) == 0)
     near, far = nodes[near[linked]], nodes[far[linked]]
     pairs.append(np.stack([np.minimum(near, far), np.maximum(near, far)], axis=1))
-    return np.unique(np.concatenate(pairs), axis=0), keys, nodes
+    return np.unique(np.concatenate(pairs), axis=0), np.unique(nodes)
 
 
-def _found_batch(pairs: np.ndarray, keys: np.ndarray, nodes: np.ndarray, part=None, packed=None) -> pa.RecordBatch:
-    """Rows of the exchange: x and y of a pair; or table and x of a member; or packed keys and nodes for a part."""
-    n, m = len(pairs), len(keys)
+def _found_batch(pairs: np.ndarray, nodes: np.ndarray, part=None, packed=None) -> pa.RecordBatch:
+    """Rows of the exchange: x and y of a pair; or x of a member; or packed keys and nodes for a part."""
+    n, m = len(pairs), len(nodes)
     extra = 0 if part is None else len(part)
     empty = lambda kind, size: pa.nulls(size, kind)
     x = pa.concat_arrays([pa.array(pairs[:, 0]), pa.array(nodes), empty(pa.int64(), extra)])
     y = pa.concat_arrays([pa.array(pairs[:, 1]), empty(pa.int64(), m + extra)])
-    table = pa.concat_arrays([empty(pa.int64(), n), pa.array(keys.view(np.int64)), empty(pa.int64(), extra)])
     spread = (np.concatenate([pairs[:, 0], nodes]) % 997).astype(np.int32)  # rows that only pass through
     part_column = pa.concat_arrays([pa.array(spread), pa.array(part if extra else [], pa.int32())])
     packed_columns = [pa.concat_arrays([empty(pa.binary(), n + m), pa.array([p[i] for p in packed or []], pa.binary())]) for i in (0, 1)]
-    return pa.RecordBatch.from_arrays([part_column, x, y, table, *packed_columns], ["part", "x", "y", "table", "keys", "nodes"])
+    return pa.RecordBatch.from_arrays([part_column, x, y, *packed_columns], ["part", "x", "y", "keys", "nodes"])
 
 
-_FOUND = "part int, x long, y long, table long, keys binary, nodes binary"
+_FOUND = "part int, x long, y long, keys binary, nodes binary"
 
 
 def _meeting(classes: DataFrame) -> DataFrame:
-    """x, y of candidate pairs, and table, x of the members of larger tables (y is NULL there)."""
+    """x, y of candidate pairs, and x of the members of larger tables (y is NULL there)."""
     partitions = shuffle_partitions(classes.sparkSession)
     parts = 4 * partitions
 
@@ -172,7 +173,7 @@ def _meeting(classes: DataFrame) -> DataFrame:
             keys = mix(first * STEP + second).reshape(-1)
             keys, members, starts, counts = _groups(keys, np.repeat(nodes, COLLECTION * COLLECTION))
             large = counts > TABLE
-            pairs, large_keys, large_nodes = _large_tables(keys, members, counts, large)
+            pairs, large_nodes = _large_tables(keys, members, counts, large)
             # Of a table that is settled here one node goes on, as its complement: the table is then a larger one everywhere.
             keep = np.repeat(~large, counts)
             keep[starts[large]] = True
@@ -183,7 +184,7 @@ def _meeting(classes: DataFrame) -> DataFrame:
             full = np.flatnonzero(np.diff(cuts)).astype(np.int32)
             pieces = [(p, a, min(a + ROW_ENTRIES, cuts[p + 1])) for p in full for a in range(cuts[p], cuts[p + 1], ROW_ENTRIES)]
             blobs = [(keys[a:b].tobytes(), members[a:b].tobytes()) for _, a, b in pieces]
-            return _found_batch(pairs, large_keys, large_nodes, np.array([p for p, _, _ in pieces], np.int32), blobs)
+            return _found_batch(pairs, large_nodes, np.array([p for p, _, _ in pieces], np.int32), blobs)
 
         node_parts, half_parts, held = [], [], 0
         for batch in batches:
@@ -204,9 +205,9 @@ def _meeting(classes: DataFrame) -> DataFrame:
             settled_before = np.unique(keys[nodes < 0])
             keys, nodes, starts, counts = _groups(keys, np.where(nodes < 0, ~nodes, nodes))
             large = (counts > TABLE) | (np.isin(keys[starts], settled_before) & (counts > 1))
-            pairs, large_keys, large_nodes = _large_tables(keys, nodes, counts, large)
+            pairs, large_nodes = _large_tables(keys, nodes, counts, large)
             small = _small_pairs(nodes, starts[~large], counts[~large])
-            return _found_batch(np.concatenate([small, pairs]), large_keys, large_nodes)
+            return _found_batch(np.concatenate([small, pairs]), large_nodes)
 
         current, keys, nodes = None, [], []
         for batch in batches:
@@ -225,7 +226,7 @@ def _meeting(classes: DataFrame) -> DataFrame:
             yield settled(keys, nodes)
 
     dealt = classes.select("node", "halves").mapInArrow(keyed, _FOUND).repartition(partitions, "part")
-    return dealt.sortWithinPartitions("part").mapInArrow(meet, _FOUND).select("x", "y", "table")
+    return dealt.sortWithinPartitions("part").mapInArrow(meet, _FOUND).select("x", "y")
 
 
 def _shingle_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -276,6 +277,7 @@ def _sketch() -> list[Column]:
 def _crossing(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """x, y: pairs of members (table, x, component, n) of different components that could be similar.
 
+    Only members of tables with several components are looked at; any grouping whose tables hold all pairs in question does.
     Two sets of n and m shingles must share ``least = percent * (n + m) / (100 + percent)``. So of any order of the
     shingles they share one among the first n - least + 1 of one and the first m - least + 1 of the other; in the order
     of frequency few sets meet there. A set also shares no more shingles than stand in sets of other components at all.
@@ -293,7 +295,10 @@ def _crossing(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 columns += [np.concatenate(found), np.repeat(counts, counts)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "component", "shingle", "n"])
 
-    nodes = members.select(F.col("x").alias("node"), "component").distinct()
+    # Tables with several components, and the smallest set that a member meets in its tables.
+    tables = members.groupBy("table").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.min("n").alias("smallest"))
+    nodes = members.join(tables.filter("a <> b").select("table", "smallest"), "table").groupBy(F.col("x").alias("node"), "component")
+    nodes = stored(nodes.agg(F.min("smallest").alias("m")), "split-members")
     held = nodes.join(sets, "node").select("node", "component", "found")
     rows = held.mapInArrow(spread, "node long, component long, shingle long, n long")
     often = rows.groupBy("shingle").agg(
@@ -307,13 +312,10 @@ def _crossing(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     ranked = stored(ranked, "ranked")
 
-    # The smallest set that a member meets in its tables.
-    smallest = members.groupBy("table").agg(F.min("n").alias("smallest"))
-    smallest = members.join(smallest, "table").groupBy(F.col("x").alias("node")).agg(F.min("smallest").alias("m"))
     least = F.greatest(
         F.ceil(F.col("n") * percent / 100 - 1e-9), F.ceil((F.col("n") + F.col("m")) * percent / (100 + percent) - 1e-9)
     )
-    entries = ranked.join(smallest, "node").filter(F.col("outer") >= least)
+    entries = ranked.join(nodes.select("node", "m"), "node").filter(F.col("outer") >= least)
     first = F.slice("ranked", 1, (F.col("n") - least + 1).cast("int"))
     bits = [f"b{i}" for i in range(SKETCH_LONGS)]
     entries = entries.select("node", "component", "n", "outer", *bits, F.posexplode(first).alias("place", "s")).filter("s.across")
@@ -337,6 +339,11 @@ def _crossing(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("a.node", "b.node").alias("x"), F.greatest("a.node", "b.node").alias("y")).distinct()
 
 
+def _first_halves() -> Column:
+    """One row per half key of the first collection; members of a table share one of them."""
+    return F.explode(F.transform(F.sequence(F.lit(0), F.lit(COLLECTION - 1)), lambda i: F.xxhash64(i, F.substring("halves", 8 * i + 1, 8))))
+
+
 def _classes(signed: DataFrame) -> DataFrame:
     """node, digest, doc_key, smallest doc_id, halves, n: one row per distinct set."""
     classes = signed.filter("digest IS NOT NULL").groupBy("digest")
@@ -350,7 +357,7 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE, percent: int = PE
     classes = _classes(signed)
     found = stored(_meeting(classes), "meetings")
     pairs = stored(found.filter("y IS NOT NULL").select("x", "y").distinct(), "pairs")
-    members = found.filter("y IS NULL").select("table", "x").distinct()
+    members = found.filter("y IS NULL").select("x").distinct()
 
     nodes = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).union(members.select("x")).distinct()
     wanted = classes.select("node", "digest", "doc_key").join(nodes, "node")
@@ -358,13 +365,11 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE, percent: int = PE
     links = stored(_confirmed(pairs, sets, percent), "links")
     labels = components(links)
 
-    # Pairs between the components that still meet in a larger table.
-    known = classes.select("node", "n").join(labels, "node", "left").select(F.col("node").alias("x"), "n", "component")
-    placed = members.join(known, "x", "left").select("table", "x", F.coalesce("component", "x").alias("component"), "n")
+    # Pairs between the components that may still meet in a larger table.
+    known = classes.select("node", "n", "halves").join(labels, "node", "left").withColumnRenamed("node", "x")
+    placed = members.join(known, "x").select(_first_halves().alias("table"), "x", F.coalesce("component", "x").alias("component"), "n")
     placed = stored(placed, "members")
-    split = placed.groupBy("table").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("table")
-    left = stored(placed.join(split, "table"), "split-members")
-    crossing = stored(_crossing(left, sets, percent).join(pairs, ["x", "y"], "left_anti"), "crossing")
+    crossing = stored(_crossing(placed, sets, percent).join(pairs, ["x", "y"], "left_anti"), "crossing")
     more = stored(_confirmed(crossing, sets, percent), "links")
     if not more.isEmpty():
         name = {end: labels.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}")) for end in ("x", "y")}

@@ -85,6 +85,28 @@ def test_large_group_of_near_copies(spark):
     assert found == near(rows, 2, 80)
 
 
+def test_members_of_a_large_group_stay_few_rows(spark, monkeypatch):
+    """The rows looked up by table: a few per class, however many tables its members share."""
+    rng, stored, rows = random.Random(3), near_duplicates.stored, []
+    for doc in range(120):
+        words = [f"w{i}" for i in range(120)]
+        for _ in range(6):
+            words[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
+        rows.append((doc, " ".join(words)))
+    counts = {}
+
+    def counted(table, name):
+        out = stored(table, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(near_duplicates, "stored", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_duplicates.near_duplicate_report(df, 2).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=repr) == near(rows, 2, 80)
+    assert 100 < counts["members"] <= near_duplicates.COLLECTION * counts["classes"]
+
+
 def test_one_of_each_group_stays(tables):
     kept = near_duplicates.without_near_duplicates(tables["odd"], 2)
     assert kept.columns == tables["odd"].columns
