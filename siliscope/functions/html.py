@@ -94,9 +94,21 @@ def decode_entities(text: str, closed_only: bool = False) -> str:
     return f"IF(contains({text}, '&'), array_join(transform({pieces}, c -> {decoded}), ''), {text})"
 
 
+def _split(name: str, pattern: str) -> str:
+    """``split`` of the text called ``name``.
+
+    Spark's own compiles its pattern for every row, ``regexp_replace`` does not; so the separators become one character
+    that the text does not hold, and the text is split there.
+    """
+    found = literal(pattern)
+    return f"IF(contains({name}, chr(1)), split({name}, {found}), split(regexp_replace({name}, {found}, chr(1)), chr(1)))"
+
+
 def text_nodes(fragment: str) -> str:
     """Stripped, non-empty texts of a fragment in document order."""
-    nodes = f"transform(split({fragment}, {literal(_TAG)}), t -> {strip(decode_entities('t'))})"
+    # Bound to a name, so that the fragment is cut out once; most cells hold no tag at all.
+    pieces = f"CASE WHEN contains(f, '<') THEN {_split('f', _TAG)} WHEN f IS NOT NULL THEN array(f) END"
+    nodes = f"transform(get(transform(array({fragment}), f -> {pieces}), 0), t -> {strip(decode_entities('t'))})"
     return f"filter({nodes}, t -> t <> '')"
 
 
@@ -113,8 +125,8 @@ def _balanced(element: str, tag: str) -> str:
     depth = "(d.depth + IF(startswith(p, '/'), -1, 1))"
     step = f"IF(d.depth = 0 AND d.kept > 0, d, named_struct('depth', {depth}, 'kept', d.kept + IF({depth} > 0, 1, 0)))"
     kept = f"aggregate(slice(s, 2, size(s)), named_struct('depth', 0, 'kept', 0), (d, p) -> {step}, d -> d.kept)"
-    split = f"split({element}, {literal(rf'<(?=/?(?i:{tag})\b)')})"
-    whole = f"get(transform(array({split}), s -> concat('<', array_join(slice(s, 2, {kept}), '<'))), 0)"
+    split = _split("f", rf"<(?=/?(?i:{tag})\b)")
+    whole = f"get(transform(transform(array({element}), f -> {split}), s -> concat('<', array_join(slice(s, 2, {kept}), '<'))), 0)"
     return f"regexp_replace({whole}, {literal(f'^{opening(tag)}')}, '')"
 
 

@@ -25,12 +25,13 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(table: DataFrame) -> DataFrame:
-    """The same rows on all cores: a table with fewer splits than there are cores is dealt out, a larger one stays as it is.
+    """The same rows, dealt evenly on all cores.
 
-    For tables of narrow rows that much work per row follows on, such as the pages of products.
+    For tables of narrow rows that much work per row follows on, such as the pages of products. A file may have many splits
+    and few row groups, whose rows then all lie in few of the splits; so tables with enough splits are dealt out as well.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    return table.repartition(max(cores, table.rdd.getNumPartitions()))
 
 
 class Sources:

@@ -94,7 +94,7 @@ def upsert_batch(
             raise ValueError(f"{name} has {versions[name].buckets} buckets, not {buckets}")
     if not due:
         return []
-    merged = staged.filter(F.col(_TABLE).isin(due)).drop(_BUCKET)
+    merged, stored = staged.filter(F.col(_TABLE).isin(due)).drop(_BUCKET), False
     for name in due:
         base = versions[name]
         if base is not None:
@@ -103,8 +103,9 @@ def upsert_batch(
                 old = {b: folder for b, folder in parts.items() if b in own}
                 if old:
                     rows = V.read_folders(spark, f"{tables_path}/{name}", base, old).withColumn(_TABLE, F.lit(name))
-                    merged = merged.unionByName(rows, allowMissingColumns=True)
-    merged = latest_snapshot(merged, loaded_at, [_TABLE, key])
+                    merged, stored = merged.unionByName(rows, allowMissingColumns=True), True
+    # The staged rows are the last of their keys already.
+    merged = latest_snapshot(merged, loaded_at, [_TABLE, key]) if stored else merged
     shown = F.coalesce(valid_record(), F.lit(False))
     merged = merged.withColumn(_BUCKET, _bucket(key, buckets)).withColumn(_SHOWN, shown)
     kept = T.StructType([merged.schema[name] for name in merged.columns if name not in (_TABLE, _BUCKET, _SHOWN)])

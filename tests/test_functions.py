@@ -168,3 +168,14 @@ def test_decode_entities_round_trip(spark, words):
     coded = ["".join(f"&#{ord(c)};" if i % 2 else stdlib.escape(c) for i, c in enumerate(w)) for w in words]
     if words:
         assert one(spark, "t string", [(c,) for c in coded], F.expr(H.decode_entities("t"))) == words
+
+
+def test_texts_are_split_without_a_pattern_per_row(spark):
+    """A mark stands for the tags; a text that holds the mark itself, one without tags, and none at all stay right."""
+    rows = [("a<b>b</b> c",), ("a\x01<i>b\x01c</i>",), ("plain",), ("",), (None,), ("<p></p>",)]
+    df = spark.createDataFrame(rows, "h string")
+    found = [r[0] for r in df.select(F.expr(H.text_of("h", "|"))).collect()]
+    assert found == ["a|b|c", "a\x01|b\x01c", "plain", "", None, ""]
+    nested = spark.createDataFrame([("<div id='x'>\x01<div>a</div>b</div>c",), ("<div id='x'><div>a</div>b</div>c",)], "h string")
+    assert [r[0] for r in nested.select(F.expr(H.first_inner("h", "div", H.has_id("x")))).collect()] == ["\x01<div>a</div>b", "<div>a</div>b"]
+    assert "IF(contains(f, chr(1))" in H.text_of("h")

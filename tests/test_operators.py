@@ -12,7 +12,7 @@ from siliscope.operators.neighbours import repeat_rows, with_neighbour
 from siliscope.operators.ranking import global_rank
 from siliscope.operators.scalar import get_single_value, single_value
 from siliscope.operators.series import date_spine, generate_series, intervals_between
-from siliscope.sources.tables import read_table, tables_by_pattern, tables_by_prefix, union_tables_by_pattern
+from siliscope.sources.tables import read_table, spread, tables_by_pattern, tables_by_prefix, union_tables_by_pattern
 
 
 def plan(df) -> str:
@@ -211,3 +211,18 @@ def test_with_neighbour_equals_the_plain_window(spark, rows, following, shape):
 def test_repeat_rows(spark):
     df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 250_001)], "k string, n bigint")
     assert {r["k"]: r["count"] for r in repeat_rows(df, "n").groupBy("k").count().collect()} == {"b": 1, "c": 250_001}
+
+
+def test_spread_deals_out_a_file_of_one_row_group(spark, tmp_path):
+    """Many splits of a file may hold one row group, which then lies in one of them."""
+    spark.range(20_000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        table = spark.read.parquet(str(tmp_path / "one"))
+        assert table.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        rows = spread(table).groupBy(F.spark_partition_id().alias("part")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sum(r["count"] for r in rows) == 20_000
+    assert max(r["count"] for r in rows) <= 20_000 // 2
